@@ -5,7 +5,9 @@ tables. DuckDB typing differs from Spark's (decimal division and avg are DOUBLE,
 `x/0` is inf, regexp_replace needs 'g'), so each NUMERIC value is cast back to
 DECIMAL(38,9) at the same points as the Spark code, and every query ends with the
 same presentation casts as `present()` on the Spark side: integers BIGINT, other
-numbers `round(cast(x as double), 6)`.
+numbers rounded to 6 decimals as `floor(x * 1e6 + 0.5) / 1e6` in double arithmetic.
+The engines' own round() functions disagree on exact half-way values, the IEEE
+expression above gives bit-identical results in both.
 """
 
 from __future__ import annotations
@@ -213,7 +215,42 @@ def presented(cols_sql: dict[str, str], source: str) -> str:
         if kind == "i":
             sel.append(f"cast({name} AS BIGINT) AS {name}")
         elif kind == "n":
-            sel.append(f"round(cast({name} AS DOUBLE), 6) AS {name}")
+            sel.append(f"{round6(name)} AS {name}")
         else:
             sel.append(name)
     return f"SELECT {', '.join(sel)} FROM {source}"
+
+
+def round6(expr: str) -> str:
+    """6-decimal rounding written the same way as `bazaar.plans.registry.round6`."""
+    return f"floor(cast({expr} AS DOUBLE) * 1000000 + 0.5) / 1000000"
+
+
+def normalize_rounding(sql: str) -> str:
+    """Rewrite every `round(<expr>, 6)` of an oracle text into `round6(<expr>)`."""
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while k < len(sql):
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = normalize_rounding(sql[j + 6:k])
+        head, sep, digits = inner.rpartition(",")
+        if sep and digits.strip() == "6":
+            out.append(sql[i:j] + round6(head.strip()))
+        else:
+            out.append(sql[i:j] + "round(" + inner + ")")
+        i = k + 1

@@ -2,8 +2,9 @@
 
 Every builder reads the driver tables under `sf_dir` through the fixture adapter,
 so its work grows with the tables. Results pass through `present()`: integers as
-BIGINT and every other number as `round(double, 6)`, the same casts the oracle
-SQL ends with (DuckDB and Spark type decimal arithmetic differently).
+BIGINT and every other number rounded to 6 decimals in plain double arithmetic,
+the same casts the oracle SQL ends with (DuckDB and Spark type decimal arithmetic
+differently, and their round() functions break exact ties differently).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from bazaar.plans import dashboard as dash
 from bazaar.plans import models as m
-from bazaar.plans.oracle import presented, with_models
+from bazaar.plans.oracle import normalize_rounding, presented, with_models
 from bazaar.session import configure
 from bazaar.sources import fixtures
 
@@ -25,6 +26,11 @@ QUERIES: dict[str, Builder] = {}
 ORACLE: dict[str, str] = {}
 
 
+def round6(c):
+    """floor(x * 1e6 + 0.5) / 1e6 on doubles (identical IEEE steps in both engines)."""
+    return F.floor(c.cast("double") * F.lit(1000000.0) + F.lit(0.5)).cast("double") / F.lit(1000000.0)
+
+
 def present(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema.fields:
@@ -32,7 +38,7 @@ def present(df: DataFrame) -> DataFrame:
         if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             out.append(c.cast("bigint").alias(f.name))
         elif isinstance(f.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
-            out.append(F.round(c.cast("double"), 6).alias(f.name))
+            out.append(round6(c).alias(f.name))
         else:
             out.append(c)
     return df.select(*out)
@@ -56,7 +62,7 @@ def register(name: str, oracle: str | None = None):
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if oracle is not None:
-            ORACLE[name] = oracle
+            ORACLE[name] = normalize_rounding(oracle)
         return run
     return deco
 
@@ -271,3 +277,5 @@ INTO NAME metric_type VALUE value"""
 def q_breakdown_by_bucket(spark, d):
     """Bucket-group breakdown, unpivoted."""
     return dash.q_breakdown_by_bucket(rpt_latest(spark, d))
+
+from bazaar.plans import registry_ops as _ops  # noqa: E402,F401  (registers the per-operator queries)

@@ -74,3 +74,105 @@ def item_price_history_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _row_id(l).alias("_dlt_id"),
     )
     return conform(out, schemas.ITEM_PRICE_HISTORY_RAW, "item_price_history_raw")
+
+
+# --- archived pages derived from the same tables -------------------------------------------
+
+# Fixed fixture mapping: fetch status of an item's listing page by part size; two sizes
+# get damaged pages (a body that is not JSON, or a newest point without a valid date).
+STATUS_BY_SIZE = {47: 500, 48: 403, 49: 429, 50: 404}
+BAD_JSON_SIZE = 46
+BAD_POINT_SIZE = 45
+FAKE_POINT = '["not a date","1","1"]'
+
+
+def listing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """items_raw rows nested back into API records, with the redundant fields present."""
+    r = items_raw(spark, sf_dir)
+    asset = F.struct(
+        F.col("asset_description__market_hash_name").alias("name"),
+        F.col("asset_description__market_hash_name").alias("market_name"),
+        F.lit(1).cast("bigint").alias("appid"),
+        F.lit("icon").alias("icon_url"),
+        F.col("asset_description__classid").alias("classid"),
+        F.col("asset_description__background_color").alias("background_color"),
+        F.col("asset_description__tradable").alias("tradable"),
+        F.col("asset_description__name_color").alias("name_color"),
+        F.col("asset_description__type").alias("type"),
+        F.col("asset_description__market_hash_name").alias("market_hash_name"),
+        F.col("asset_description__commodity").alias("commodity"),
+        F.col("asset_description__market_bucket_group_name").alias("market_bucket_group_name"),
+        F.col("asset_description__market_bucket_group_id").alias("market_bucket_group_id"),
+    )
+    return r.select(
+        F.col("snapshot_timestamp"),
+        F.struct(F.col("asset_description__market_hash_name").alias("name"),
+                 F.col("asset_description__market_hash_name").alias("hash_name"),
+                 F.lit("icon").alias("app_icon"), F.lit("Market").alias("app_name"),
+                 "sell_listings", "sell_price", "sell_price_text", "sale_price_text",
+                 asset.alias("asset_description")).alias("rec"))
+
+
+def listing_pages(spark: SparkSession, sf_dir: str, page_size: int = 10) -> DataFrame:
+    """Archived API result pages (fetched_at, page_no, body JSON), at most `page_size` records.
+
+    Pages are cut from consecutive rows of one input partition
+    (monotonically_increasing_id is consecutive inside a partition), so no global
+    numbering is needed and a page never exceeds `page_size` records.
+    """
+    # sorting inside each input partition (no shuffle) keeps one day's rows adjacent
+    recs = (listing_records(spark, sf_dir).sortWithinPartitions("snapshot_timestamp")
+            .withColumn("page_no", F.floor(F.monotonically_increasing_id() / F.lit(page_size))))
+    pages = recs.groupBy("snapshot_timestamp", "page_no").agg(F.collect_list("rec").alias("results"))
+    return pages.select(F.col("snapshot_timestamp").alias("fetched_at"), "page_no",
+                        F.to_json(F.struct(F.size("results").cast("bigint").alias("total_count"),
+                                           F.col("results"))).alias("body"))
+
+
+def history_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages (market_hash_name, status, body) with the embedded daily series.
+
+    One page per item and month holds that month's deduplicated daily points sorted
+    by date (at most 31), as `var line1=[["Nov 05 2024 01: +0","1.5","4"],...];`.
+    """
+    from bazaar.plans.models import stg_item_price_history  # the deduplicated series
+    h = stg_item_price_history(item_price_history_raw(spark, sf_dir))
+    point = F.array(F.concat(F.date_format("priced_at", "MMM dd yyyy"), F.lit(" 01: +0")),
+                    F.col("median_sale_price_usd").cast("string"), F.col("units_sold").cast("string"))
+    per_month = (h.groupBy("item_name", F.trunc(F.to_date("priced_at"), "MM").alias("month"))
+                 .agg(F.array_sort(F.collect_list(F.struct(F.col("priced_at").alias("t"), point.alias("p"))))
+                      .alias("pts")))
+    body = F.concat(F.lit("var line1="), F.to_json(F.transform("pts", lambda x: x["p"])), F.lit(";"))
+    part = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("ITEM-"), F.col("p_partkey").cast("string")).alias("item_name"), "p_size")
+    pm = per_month.select("item_name", "month", body.alias("body")).join(part, "item_name", "left")
+    status = F.lit(200)
+    for size, code in STATUS_BY_SIZE.items():
+        status = F.when(F.col("p_size") == size, F.lit(code)).otherwise(status)
+    damaged = (F.when(F.col("p_size") == BAD_JSON_SIZE, F.regexp_replace("body", r"^var line1=\[\[", "var line1=[{"))
+               .when(F.col("p_size") == BAD_POINT_SIZE,
+                     F.regexp_replace("body", r"\]\];$", "]," + FAKE_POINT.replace("\\", "\\\\") + "];"))
+               .otherwise(F.col("body")))
+    return pm.select(F.col("item_name").alias("market_hash_name"), status.cast("int").alias("status"),
+                     damaged.alias("body"), F.col("month"))
+
+
+def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw web pages as fetched pages without a series (the no-match path)."""
+    p = table(spark, sf_dir, "pages")
+    return p.select(F.concat(F.lit("PAGE-"), F.col("page_id").cast("string")).alias("market_hash_name"),
+                    F.lit(200).cast("int").alias("status"), F.col("html").alias("body"),
+                    F.lit(None).cast("date").alias("month"))
+
+
+# A previous run is taken to have loaded every point before this day.
+PREVIOUS_RUN_CUTOFF = "1998-01-01"
+
+
+def history_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-item mark left by the previous run: the last day it loaded."""
+    from bazaar.plans.models import stg_item_price_history
+    h = stg_item_price_history(item_price_history_raw(spark, sf_dir))
+    return (h.where(F.col("priced_at") < F.lit(PREVIOUS_RUN_CUTOFF).cast("timestamp"))
+            .groupBy(F.col("item_name").alias("market_hash_name"))
+            .agg(F.max(F.to_date("priced_at")).alias("last_seen")))
