@@ -20,7 +20,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from bazaar import schemas
 from bazaar.sources.sinks import write_table
 
 EPOCH = _dt.date(1970, 1, 1)
@@ -119,6 +121,16 @@ def materialize_monthly(spark: SparkSession, target: str, stg_history: DataFrame
 
 # --- per-key extraction state ---------------------------------------------------------
 
+def with_load_id(schema: T.StructType, part_col: str = "load_id") -> T.StructType:
+    return T.StructType(list(schema.fields) + [T.StructField(part_col, T.StringType())])
+
+
+def read_loads(spark: SparkSession, path: str, schema: T.StructType, part_col: str = "load_id") -> DataFrame:
+    """Read a table partitioned by load id; the id stays text (no type inference), so
+    fixed-width ids keep their order."""
+    return spark.read.schema(with_load_id(schema, part_col)).parquet(path)
+
+
 def state_from_data(history: DataFrame, key: str = "market_hash_name", ts_col: str = "date") -> DataFrame:
     """Recovery: the mark of each key is the newest day present in the loaded data."""
     return history.groupBy(F.col(key)).agg(F.max(F.to_date(F.col(ts_col))).alias("last_seen"))
@@ -132,13 +144,26 @@ def commit_state(state: DataFrame, state_root: str, load_id: str) -> str:
 
 
 def read_state(spark: SparkSession, state_root: str, data: DataFrame | None = None,
-               data_load_id: str | None = None, key: str = "market_hash_name") -> DataFrame | None:
-    """The newest committed state; if the data has a newer load than the state (a crash
-    between the data and the state write), derive the state from the data instead."""
-    if not path_exists(spark, state_root):
-        return state_from_data(data, key) if data is not None else None
-    st = spark.read.parquet(state_root)
-    latest = st.agg(F.max("load_id")).first()[0]
-    if data is not None and data_load_id is not None and (latest is None or str(latest) < str(data_load_id)):
-        return state_from_data(data, key)
-    return st.where(F.col("load_id") == F.lit(latest)).drop("load_id")
+               before_load_id: str | None = None, key: str = "market_hash_name") -> DataFrame | None:
+    """The per-key marks a load must start from: the newest state committed by an
+    *earlier* load (so a replayed load sees exactly what its first run saw).
+
+    If the data holds a newer earlier load than the newest state (a crash between
+    the data write and the state write), the marks are derived from that data.
+    `data` must carry the `load_id` partition column.
+    """
+    prior = None
+    if data is not None:
+        prior = data if before_load_id is None else data.where(F.col("load_id") < F.lit(before_load_id))
+    st = None
+    if path_exists(spark, state_root):
+        st = read_loads(spark, state_root, schemas.ITEM_STATE)
+        if before_load_id is not None:
+            st = st.where(F.col("load_id") < F.lit(before_load_id))
+    latest = st.agg(F.max("load_id")).first()[0] if st is not None else None
+    data_latest = prior.agg(F.max("load_id")).first()[0] if prior is not None else None
+    if latest is not None and (data_latest is None or latest >= data_latest):
+        return st.where(F.col("load_id") == F.lit(latest)).drop("load_id")
+    if data_latest is not None:
+        return state_from_data(prior, key)
+    return None

@@ -66,17 +66,25 @@ def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, his
     (items.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(wh.path("items_raw")))
     hist_path = wh.path("item_price_history_raw")
-    prior = spark.read.parquet(hist_path) if inc.path_exists(spark, hist_path) else None
-    state = inc.read_state(spark, wh.path("_state"), prior, None)
+    prior = inc.read_loads(spark, hist_path, schemas.ITEM_PRICE_HISTORY_RAW) if inc.path_exists(spark, hist_path) \
+        else None
+    state = inc.read_state(spark, wh.path("_state"), prior, before_load_id=load_id)
     ex = load_history(history_pages, state, load_id, grain)
     (ex.records.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(hist_path))
-    written = spark.read.parquet(hist_path).where(F.col("load_id") == load_id)
+    written = inc.read_loads(spark, hist_path, schemas.ITEM_PRICE_HISTORY_RAW).where(F.col("load_id") == load_id)
     inc.commit_state(ig.advance_state(state, written), wh.path("_state"), load_id)
+    # failed pages go to an errors table (replay-safe, partitioned by load)
+    (ex.errors.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(wh.path("_errors")))
+    errors = spark.read.schema("market_hash_name string, reason string, load_id string").parquet(
+        wh.path("_errors")).where(F.col("load_id") == load_id)
+    # one row per outcome class: bounded, safe to bring to the driver for the gate
     counts = ig.outcome_counts(ex.outcomes)
+    counts = spark.createDataFrame(counts.collect(), counts.schema)
     if max_failed_pages is not None:
         qa.gate_load(counts, max_failed_pages)
-    return {"outcomes": counts, "errors": ex.errors}
+    return {"outcomes": counts, "errors": errors}
 
 
 # --- transform ------------------------------------------------------------------------
@@ -127,7 +135,9 @@ def read_models(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
 
 
 def run_tests(spark: SparkSession, wh: Warehouse, as_of: _dt.date | None = None, gate: bool = True) -> DataFrame:
+    """The declared data tests on the written models; one row per test (19 rows)."""
     results = qa.run_tests(read_models(spark, wh), as_of=as_of)
+    results = spark.createDataFrame(results.collect(), results.schema)
     if gate:
         qa.gate_build(results)
     return results
@@ -148,8 +158,8 @@ def run_daily(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, hist
               as_of: _dt.date | None = None, max_failed_pages: int | None = None) -> dict:
     """Extract/load, gate, transform, test, export — one daily batch."""
     ingest = run_ingest(spark, wh, listing_pages, history_pages, run_ts, load_id, grain, max_failed_pages)
-    items_raw = spark.read.parquet(wh.path("items_raw")).drop("load_id")
-    hist_all = spark.read.parquet(wh.path("item_price_history_raw"))
+    items_raw = inc.read_loads(spark, wh.path("items_raw"), schemas.ITEMS_RAW).drop("load_id")
+    hist_all = inc.read_loads(spark, wh.path("item_price_history_raw"), schemas.ITEM_PRICE_HISTORY_RAW)
     new_hist = m.stg_item_price_history_projected(hist_all.where(F.col("load_id") == load_id).drop("load_id"))
     info = run_models(spark, wh, items_raw, hist_all.drop("load_id"), new_history=new_hist)
     results = run_tests(spark, wh, as_of=as_of, gate=False)

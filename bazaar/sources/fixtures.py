@@ -15,8 +15,32 @@ from bazaar import schemas
 from bazaar.sources.raw import conform
 
 
+def _bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
+def spread_small(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Round-robin a small input over all cores.
+
+    A file smaller than one split (or written as a single row group) is read by one
+    task, which then runs every narrow step after the scan alone. When the input is
+    smaller than one split per core, a cheap round-robin exchange spreads it; a large
+    input (the cluster case: thousands of splits) is left exactly as scanned.
+    """
+    par = spark.sparkContext.defaultParallelism
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
+    split = int(split[:-1]) * 1024 * 1024 if split.lower().endswith("m") else int(split.rstrip("bB"))
+    size = _bytes(spark, path)
+    if par > 1 and size < split * par and size > 256 * 1024:
+        return df.repartition(par)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spread_small(spark, spark.read.parquet(path), path)
 
 
 def _load_id(l) -> F.Column:
