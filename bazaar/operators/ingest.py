@@ -12,7 +12,7 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,6 +141,10 @@ def parse_point_volume(text) -> Column:
     return col_of(text).try_cast(T.LongType())
 
 
+_POINT_TYPE = T.StructType([T.StructField("date", T.TimestampType()), T.StructField("price", schemas.WORK),
+                            T.StructField("volume", T.LongType())])
+
+
 def _typed_point(p: Column, grain: str) -> Column:
     return F.struct(parse_point_date(F.get(p, 0), grain).alias("date"),
                     parse_point_price(F.get(p, 1)).alias("price"),
@@ -151,6 +155,22 @@ def _point_ok(t: Column) -> Column:
     return t["date"].isNotNull() & t["price"].isNotNull() & t["volume"].isNotNull()
 
 
+def typed_points(points: Column, grain: str = "day", newest_first: bool = True) -> Column:
+    """array<array<string>> -> array<struct<date, price, volume>> (NULL where unparseable)."""
+    src = F.reverse(points) if newest_first else points
+    return F.transform(src, lambda p: _typed_point(p, grain))
+
+
+def stop_position(typed_newest_first: Column, mark: Column) -> Column:
+    """1-based position of the first point at or before the mark; 0 when none."""
+    return F.array_position(F.transform(typed_newest_first, lambda t: t["date"] <= mark), F.lit(True))
+
+
+def take_before(typed_newest_first: Column, stop: Column) -> Column:
+    return F.when(stop == 0, typed_newest_first).otherwise(
+        F.slice(typed_newest_first, F.lit(1), (stop - 1).cast("int")))
+
+
 def take_new_points(points: Column, mark: Column, grain: str = "day") -> Column:
     """Points newer than `mark`, scanning from the newest end and stopping at the first
     point at or before the mark (exactly the early-stop loop; for a date-sorted series
@@ -158,9 +178,8 @@ def take_new_points(points: Column, mark: Column, grain: str = "day") -> Column:
     A point without a parseable date is never a stop point, so it stays in the
     result and is caught by `all_points_ok`.
     """
-    typed = F.transform(F.reverse(points), lambda p: _typed_point(p, grain))
-    stop = F.array_position(F.transform(typed, lambda t: t["date"] <= mark), F.lit(True))
-    return F.when(stop == 0, typed).otherwise(F.slice(typed, F.lit(1), (stop - 1).cast("int")))
+    typed = typed_points(points, grain)
+    return take_before(typed, stop_position(typed, mark))
 
 
 def filter_new_points(points: Column, mark: Column, grain: str = "day") -> Column:
@@ -210,18 +229,29 @@ def extract_price_history(pages: DataFrame, state: DataFrame | None = None, grai
     else:
         ok = ok.withColumn("__mark", F.lit(None).cast(T.TimestampType()))
     mark = F.coalesce(F.col("__mark"), F.lit(DEFAULT_MARK).cast(T.TimestampType()))
-    take = take_new_points if mode == "take_while" else filter_new_points
-    judged = ok.select(
-        F.col(key), mark.alias("mark"),
-        take(F.col("__pts"), mark, grain).alias("points"),
-        F.col("__pts").isNull().alias("bad_json"),
-    ).withColumn("ok", ~F.col("bad_json") & all_points_ok(F.col("points")))
+    # Stacked projections: each expensive array is computed once and referenced by name
+    # afterwards (Catalyst keeps projections apart when collapsing them would evaluate
+    # a non-cheap expression twice).
+    base = ok.select(F.col(key), mark.alias("mark"), F.col("__pts").isNull().alias("bad_json"),
+                     typed_points(F.col("__pts"), grain, newest_first=(mode == "take_while")).alias("typed"))
+    if mode == "take_while":
+        base = base.withColumn("stop", stop_position(F.col("typed"), F.col("mark")))
+        typed = base.select(key, "mark", "bad_json", take_before(F.col("typed"), F.col("stop")).alias("points"))
+    else:
+        typed = base.select(key, "mark", "bad_json", F.filter(
+            "typed", lambda t: t["date"].isNull() | (t["date"] > F.col("mark"))).alias("points"))
+    judged = typed.select(key, "mark", "bad_json", "points",
+                          (~F.col("bad_json") & all_points_ok(F.col("points"))).alias("ok"))
     errors = judged.where(~F.col("ok")).select(
         F.col(key), F.when(F.col("bad_json"), F.lit("bad_json")).otherwise(F.lit("bad_point")).alias("reason"))
-    good = judged.where(F.col("ok"))
+    good = judged
     if isolate == "key":
-        good = good.join(errors.select(key), key, "left_anti")
-    records = good.select(F.col(key), F.inline("points")).select(
+        # a key with any failed page emits nothing in this batch; pages per key are few
+        # (one per item and run; one per item-month for archived series), so a window
+        # over the key is one shuffle of the parsed pages with no recomputation
+        good = good.withColumn("ok", F.min("ok").over(Window.partitionBy(key)))
+    records = good.select(F.col(key), F.inline(F.when(F.col("ok"), F.col("points")).otherwise(
+        F.array().cast(T.ArrayType(_POINT_TYPE))))).select(
         F.col(key).alias("market_hash_name"), F.col("date"), F.col("price"), F.col("volume"))
     return Extracted(records=records, errors=errors, outcomes=outcomes, pages=judged)
 
