@@ -90,9 +90,17 @@ def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, his
 # --- transform ------------------------------------------------------------------------
 
 def run_models(spark: SparkSession, wh: Warehouse, items_raw: DataFrame, history_raw: DataFrame,
-               new_history: DataFrame | None = None, lookback_days: int = 0) -> dict:
-    """Build every model from the raw tables; incremental where the target exists."""
-    stg = m.stg_items(items_raw)
+               new_history: DataFrame | None = None, lookback_days: int = 0, load_id: str | None = None) -> dict:
+    """Build every model from the raw tables; incremental where the target exists.
+
+    Listing rows without a snapshot date are quarantined (written aside per load) and
+    kept out of the fact, so full and incremental runs agree (SURVEY D8).
+    """
+    stg_all = m.stg_items(items_raw)
+    bad = stg_all.where(F.col("snapshot_date").isNull())
+    (bad.withColumn("load_id", F.lit(load_id or "full")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(wh.path("_quarantine/stg_items")))
+    stg = stg_all.where(F.col("snapshot_date").isNotNull())
     hist = m.stg_item_price_history(history_raw)
     info = {"int_item_price_history_daily": inc.materialize_monthly(
         spark, wh.path("int_item_price_history_daily"), hist, new_history)}
@@ -161,7 +169,7 @@ def run_daily(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, hist
     items_raw = inc.read_loads(spark, wh.path("items_raw"), schemas.ITEMS_RAW).drop("load_id")
     hist_all = inc.read_loads(spark, wh.path("item_price_history_raw"), schemas.ITEM_PRICE_HISTORY_RAW)
     new_hist = m.stg_item_price_history_projected(hist_all.where(F.col("load_id") == load_id).drop("load_id"))
-    info = run_models(spark, wh, items_raw, hist_all.drop("load_id"), new_history=new_hist)
+    info = run_models(spark, wh, items_raw, hist_all.drop("load_id"), new_history=new_hist, load_id=load_id)
     results = run_tests(spark, wh, as_of=as_of, gate=False)
     exports = run_exports(spark, wh, export_root) if export_root else {}
     return {"ingest": ingest, "models": info, "tests": results, "exports": exports}
