@@ -25,23 +25,31 @@ def unpivot(df: DataFrame, ids: Sequence[str], measures: Mapping[str, str], name
     return long
 
 
-def share_of_total(df: DataFrame, value: str, within: Sequence[str], out: str = "share") -> DataFrame:
-    """value / sum(value) over rows with the same `within` key (stacked bars to 100 %).
+def share_of_total_window(df: DataFrame, value: str, within: Sequence[str], out: str = "share") -> DataFrame:
+    """value / sum(value) over rows with the same `within` key, as a windowed sum.
 
-    A windowed sum per group: the group totals are computed next to the rows in one
-    shuffle on `within`. For few, huge groups use `share_of_total_agg`.
+    One shuffle on `within`, but a whole group lands in one task: only for groups
+    of bounded size. `share_of_total` is the default.
     """
     w = Window.partitionBy(*[F.col(c) for c in within])
     return df.withColumn(out, F.try_divide(F.col(value), F.sum(F.col(value)).over(w)))
 
 
-def share_of_total_agg(df: DataFrame, value: str, within: Sequence[str], out: str = "share") -> DataFrame:
-    """Same result via a pre-aggregated total joined back.
+def share_of_total(df: DataFrame, value: str, within: Sequence[str], out: str = "share") -> DataFrame:
+    """value / sum(value) over rows with the same `within` key (stacked bars to 100 %),
+    via a pre-aggregated total joined back.
 
     The totals are aggregated map-side (one row per key and task), so a key holding
     a third of the rows never lands in one task; the join back is on the (small,
     one row per key) totals.
     """
     totals = df.groupBy(*within).agg(F.sum(F.col(value)).alias("__total"))
-    return (df.join(totals, list(within), "left")
-            .withColumn(out, F.try_divide(F.col(value), F.col("__total"))).drop("__total"))
+    # the join is null-safe on the group keys so a NULL group gets its own total
+    t = totals.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(within)], "__total")
+    cond = None
+    for i, c in enumerate(within):
+        e = df[c].eqNullSafe(F.col(f"__k{i}"))
+        cond = e if cond is None else cond & e
+    joined = df.join(t, cond, "left")
+    return (joined.withColumn(out, F.try_divide(F.col(value), F.col("__total")))
+            .drop("__total", *[f"__k{i}" for i in range(len(within))]))

@@ -899,10 +899,14 @@ def q_topk_latest_day(spark, d):
     "SELECT asset_description__market_hash_name AS market_hash_name, sell_price FROM items_raw "
     "ORDER BY market_hash_name", "items_raw"))
 def q_order_by_name(spark, d):
-    """Records in name order, ascending (range-partitioned sort)."""
+    """Records in name order, ascending (range-partitioned sort).
+
+    Ties are ordered by the remaining columns, which also lets the range partitioner
+    split one very frequent name over several tasks.
+    """
     r = _records(spark, d)
     return r.select(F.col("asset_description.market_hash_name").alias("market_hash_name"), "sell_price").orderBy(
-        "market_hash_name")
+        "market_hash_name", "sell_price")
 
 
 @register("concat_tables", M(presented(K_RPT_MARKET, "rpt_market_metrics_daily"), "rpt_market_metrics_daily"))

@@ -33,7 +33,12 @@ def layout(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence
     if not keys:
         return df
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+    # a deterministic row hash as the last range key lets the range partitioner split
+    # even a single hot (partition, cluster) value over several tasks; being a pure
+    # function of the row, a retried task sends every row to the same place
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return (df.repartitionByRange(n, *[F.col(k) for k in keys], spread)
+              .sortWithinPartitions(*keys))
 
 
 def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
@@ -103,12 +108,19 @@ def read_export(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(merged).parquet(*files)
 
 
-def merge_parquet_shards(spark: SparkSession, folder: str, out: str) -> str:
-    """Concatenate the shards of one export into a single Parquet file under `out`.
+def merge_parquet_shards(spark: SparkSession, folder: str, out: str,
+                         max_rows_per_file: int = MAX_RECORDS_PER_FILE) -> str:
+    """Concatenate the shards of one export into as few Parquet files as the size allows.
 
-    The single file is the dashboard's contract (a report, not a fact table):
-    coalesce(1) narrows without a shuffle, and the reports are small by
-    construction (one row per day, per day x flag, per item).
+    The dashboard wants one file per report. When the report has at most
+    `max_rows_per_file` rows (true of every report: one row per day, per day and
+    flag, or per item) the shards are narrowed into one task (coalesce, no shuffle)
+    and written as a single file; a larger export is written as contiguous,
+    size-bounded files, so no task ever holds more than the bound.
     """
-    read_export(spark, folder).coalesce(1).write.mode("overwrite").parquet(out)
+    df = read_export(spark, folder)
+    n = df.count()
+    files = max(1, -(-n // int(max_rows_per_file)))
+    shaped = df.coalesce(1) if files == 1 else df.repartitionByRange(files, *[F.col(f"`{c}`") for c in df.columns])
+    shaped.write.mode("overwrite").parquet(out)
     return out

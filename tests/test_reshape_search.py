@@ -1,4 +1,4 @@
-from bazaar.operators.reshape import share_of_total, share_of_total_agg, unpivot
+from bazaar.operators.reshape import share_of_total, share_of_total_window, unpivot
 from bazaar.operators.search import apply_selection, current_selection, search_filter
 
 
@@ -13,7 +13,7 @@ def test_share_of_total_both_forms(spark):
     df = spark.createDataFrame([("m1", "a", 1.0), ("m1", "b", 3.0), ("m2", "a", 0.0), ("m2", "b", 0.0)],
                                "metric string, cat string, value double")
     a = sorted(map(tuple, share_of_total(df, "value", ["metric"]).collect()))
-    b = sorted(map(tuple, share_of_total_agg(df, "value", ["metric"]).select(*df.columns, "share").collect()))
+    b = sorted(map(tuple, share_of_total_window(df, "value", ["metric"]).select(*df.columns, "share").collect()))
     assert a == b
     assert a[0][3] == 0.25 and a[2][3] is None  # zero total -> NULL, not an error
 
