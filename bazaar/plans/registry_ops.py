@@ -1067,11 +1067,20 @@ def _gate_sql() -> str:
 
 @register("gate_build", _gate_sql())
 def q_gate_build(spark, d):
-    """All 19 declared tests (16 not_null, 3 unique); the gate raises on any failure."""
-    tables = {"int_item_price_history_daily": daily(spark, d), "dim_item": m.dim_item(stg_items(spark, d)),
-              "fct_market_daily": fct(spark, d), "rpt_commodity_velocity_daily": rpt_commodity(spark, d),
-              "rpt_item_metrics_latest": rpt_latest(spark, d), "rpt_market_metrics_daily": rpt_market(spark, d)}
-    results = qa.run_tests(tables, as_of=_as_of(spark, d))
+    """All 19 declared tests (16 not_null, 3 unique) on built models, as a build runs
+    them; the gate raises on any failure. The models are built once and written to the
+    shared checkpoint folder (lineage cut), so the test branches read them instead of
+    recomputing them."""
+    from bazaar.session import materialize
+    stg = materialize(stg_items(spark, d), "gate-stg")
+    dl = materialize(daily(spark, d), "gate-daily")
+    f = materialize(m.fct_market_daily(stg, dl), "gate-fct")
+    tables = {"int_item_price_history_daily": dl, "dim_item": m.dim_item(stg), "fct_market_daily": f,
+              "rpt_commodity_velocity_daily": m.rpt_commodity_velocity_daily(f),
+              "rpt_item_metrics_latest": m.rpt_item_metrics_latest(f),
+              "rpt_market_metrics_daily": m.rpt_market_metrics_daily(f)}
+    results = qa.run_tests(tables, as_of=f.agg(F.max("market_date")).first()[0])
+    results = spark.createDataFrame(results.collect(), results.schema)  # 19 rows, one per test
     qa.gate_build(results)
     return results
 

@@ -79,3 +79,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Cut the lineage of `df`: write it once as Parquet under the shared checkpoint
+    folder and return the frame read back (computed once, unlike an RDD checkpoint of
+    an unpersisted frame, and readable by any executor after a loss)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
