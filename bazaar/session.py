@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -49,6 +51,24 @@ def get_spark(master: str | None = None, app: str = "bazaar", shuffle_partitions
     return spark
 
 
+def sizing(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2, cores: int | None = None) -> dict:
+    """Shuffle / scan settings for an input of `input_bytes`.
+
+    The initial shuffle partition count is chosen so a partition holds about
+    `target_partition_bytes` even before AQE coalesces (AQE can merge small
+    partitions but never splits a partition that is too large for executor
+    memory), and never fewer than 2x the cores. Scan splits stay at 128 MB (256 MB
+    above 10 TB) so a 100 TB scan is ~400k tasks instead of millions.
+    """
+    parts = max(int(input_bytes // target_partition_bytes) + 1, 2 * (cores or 1))
+    split = 256 * 1024 ** 2 if input_bytes > 10 * 1024 ** 4 else 128 * 1024 ** 2
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on to an existing session."""
     for k, v in REQUIRED_CONF.items():

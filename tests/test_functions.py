@@ -63,3 +63,11 @@ def test_ts_to_date_is_utc(spark):
 def test_money_product_keeps_scale(spark):
     df = spark.createDataFrame([(3, Decimal("0.123456789"))], "u bigint, p decimal(38,9)")
     assert df.select(F.sum(fx.money_product("u", "p"))).first()[0] == Decimal("0.370370367")
+
+
+def test_sizing_scales_partitions_with_input():
+    from bazaar.session import sizing
+    small, big = sizing(10 * 1024 ** 2, cores=8), sizing(100 * 1024 ** 4, cores=8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) > 400_000
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
