@@ -129,8 +129,8 @@ def q_scan_items_pages(spark, d):
 
 
 @register("scan_history_pages", P(
-    "SELECT market_hash_name, status FROM hist_pages UNION ALL "
-    "SELECT concat('PAGE-', cast(page_id AS VARCHAR)), 200 FROM pages", "hist_pages"))
+    "SELECT market_hash_name, cast(status AS BIGINT) AS status FROM hist_pages UNION ALL "
+    "SELECT concat('PAGE-', cast(page_id AS VARCHAR)), cast(200 AS BIGINT) FROM pages", "hist_pages"))
 def q_scan_history_pages(spark, d):
     """Fetched listing pages (key, status, body) from the archive."""
     return _pages(spark, d).select("market_hash_name", "status")
@@ -480,7 +480,7 @@ def q_fn_cast(spark, d):
 @register("fn_safe_cast", M("""
 SELECT try_cast(asset_description__classid AS BIGINT) AS class_id,
        try_cast(asset_description__name_color AS BIGINT) AS color_as_int,
-       try_cast(sale_price_text AS DECIMAL(38,9)) AS text_as_numeric,
+       round(try_cast(sale_price_text AS DECIMAL(38,9)), 6) AS text_as_numeric,
        try_cast(snapshot_timestamp AS DATE) AS snapshot_date FROM items_raw""", "items_raw"))
 def q_fn_safe_cast(spark, d):
     """Safe casts: NULL instead of an error."""
@@ -1098,7 +1098,7 @@ def q_gate_load(spark, d):
 
 
 @register("report_schema_contract", M(
-    "SELECT 'rpt_market_metrics_daily' AS report, count(*) AS rows_checked, 0 AS contract_mismatches "
+    "SELECT 'rpt_market_metrics_daily' AS report, count(*) AS rows_checked, cast(0 AS BIGINT) AS contract_mismatches "
     "FROM rpt_market_metrics_daily UNION ALL "
     "SELECT 'rpt_commodity_velocity_daily', count(*), 0 FROM rpt_commodity_velocity_daily UNION ALL "
     "SELECT 'rpt_item_metrics_latest', count(*), 0 FROM rpt_item_metrics_latest",

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tools.oracle_check import TABLES, rows_key
+from tools.oracle_check import TABLES, rows_key, type_diffs
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,4 +42,5 @@ def test_query_matches_oracle(spark, duck, name):
     cur = duck.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
+    assert type_diffs(df.schema, cur.description) == []
     assert rows_key(df.columns, [tuple(r) for r in df.collect()]) == rows_key(ocols, cur.fetchall())
