@@ -131,9 +131,11 @@ def read_loads(spark: SparkSession, path: str, schema: T.StructType, part_col: s
     return spark.read.schema(with_load_id(schema, part_col)).parquet(path)
 
 
-def state_from_data(history: DataFrame, key: str = "market_hash_name", ts_col: str = "date") -> DataFrame:
-    """Recovery: the mark of each key is the newest day present in the loaded data."""
-    return history.groupBy(F.col(key)).agg(F.max(F.to_date(F.col(ts_col))).alias("last_seen"))
+def state_from_data(history: DataFrame, key: str = "market_hash_name", ts_col: str = "date",
+                    grain: str = "day") -> DataFrame:
+    """Recovery: the mark of each key is the newest day (hour grain: instant) in the loaded data."""
+    newest = F.max(F.col(ts_col))
+    return history.groupBy(F.col(key)).agg((newest if grain == "hour" else F.to_date(newest)).alias("last_seen"))
 
 
 def commit_state(state: DataFrame, state_root: str, load_id: str) -> str:
@@ -144,7 +146,8 @@ def commit_state(state: DataFrame, state_root: str, load_id: str) -> str:
 
 
 def read_state(spark: SparkSession, state_root: str, data: DataFrame | None = None,
-               before_load_id: str | None = None, key: str = "market_hash_name") -> DataFrame | None:
+               before_load_id: str | None = None, key: str = "market_hash_name",
+               grain: str = "day") -> DataFrame | None:
     """The per-key marks a load must start from: the newest state committed by an
     *earlier* load (so a replayed load sees exactly what its first run saw).
 
@@ -157,7 +160,7 @@ def read_state(spark: SparkSession, state_root: str, data: DataFrame | None = No
         prior = data if before_load_id is None else data.where(F.col("load_id") < F.lit(before_load_id))
     st = None
     if path_exists(spark, state_root):
-        st = read_loads(spark, state_root, schemas.ITEM_STATE)
+        st = read_loads(spark, state_root, schemas.state_schema(grain))
         if before_load_id is not None:
             st = st.where(F.col("load_id") < F.lit(before_load_id))
     latest = st.agg(F.max("load_id")).first()[0] if st is not None else None
@@ -165,5 +168,5 @@ def read_state(spark: SparkSession, state_root: str, data: DataFrame | None = No
     if latest is not None and (data_latest is None or latest >= data_latest):
         return st.where(F.col("load_id") == F.lit(latest)).drop("load_id")
     if data_latest is not None:
-        return state_from_data(prior, key)
+        return state_from_data(prior, key, grain=grain)
     return None

@@ -68,12 +68,13 @@ def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, his
     hist_path = wh.path("item_price_history_raw")
     prior = inc.read_loads(spark, hist_path, schemas.ITEM_PRICE_HISTORY_RAW) if inc.path_exists(spark, hist_path) \
         else None
-    state = inc.read_state(spark, wh.path("_state"), prior, before_load_id=load_id)
+    state = inc.read_state(spark, wh.path("_state"), prior, before_load_id=load_id, grain=grain)
     ex = load_history(history_pages, state, load_id, grain)
     (ex.records.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(hist_path))
     written = inc.read_loads(spark, hist_path, schemas.ITEM_PRICE_HISTORY_RAW).where(F.col("load_id") == load_id)
-    inc.commit_state(ig.advance_state(state, written), wh.path("_state"), load_id)
+    mark_type = schemas.state_schema(grain)["last_seen"].dataType
+    inc.commit_state(ig.advance_state(state, written, as_type=mark_type), wh.path("_state"), load_id)
     # failed pages go to an errors table (replay-safe, partitioned by load)
     (ex.errors.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(wh.path("_errors")))

@@ -90,11 +90,20 @@ PRICE_RECORD = T.StructType([
     T.StructField("volume", T.LongType()),
 ])
 
-# Per-key high-water mark.
+# Per-key high-water mark: a day (day grain) or an instant (hour grain).
 ITEM_STATE = T.StructType([
     T.StructField("market_hash_name", T.StringType()),
     T.StructField("last_seen", T.DateType()),
 ])
+ITEM_STATE_HOURLY = T.StructType([
+    T.StructField("market_hash_name", T.StringType()),
+    T.StructField("last_seen", T.TimestampType()),
+])
+
+
+def state_schema(grain: str = "day") -> T.StructType:
+    return ITEM_STATE_HOURLY if grain == "hour" else ITEM_STATE
+
 
 # --- report contracts (declared column types of the three reports) ------------------
 RPT_COMMODITY_VELOCITY_DAILY = T.StructType([

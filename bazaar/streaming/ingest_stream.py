@@ -24,7 +24,8 @@ from bazaar.plans.incremental import path_exists, state_from_data
 PAGE_SCHEMA = schemas.HISTORY_PAGE
 
 
-def _state_before(spark: SparkSession, sink: str, state_root: str, batch_id: int) -> DataFrame | None:
+def _state_before(spark: SparkSession, sink: str, state_root: str, batch_id: int,
+                  grain: str = "day") -> DataFrame | None:
     if path_exists(spark, state_root):
         st = spark.read.parquet(state_root).where(F.col("batch_id") < batch_id)
         last = st.agg(F.max("batch_id")).first()[0]
@@ -34,19 +35,19 @@ def _state_before(spark: SparkSession, sink: str, state_root: str, batch_id: int
             return st.where(F.col("batch_id") == last).drop("batch_id")
     if path_exists(spark, sink):
         prior = spark.read.parquet(sink).where(F.col("batch_id") < batch_id)
-        return state_from_data(prior)
+        return state_from_data(prior, grain=grain)
     return None
 
 
 def make_batch_writer(sink: str, state_root: str, grain: str = "day"):
     def write_batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        state = _state_before(spark, sink, state_root, batch_id)
+        state = _state_before(spark, sink, state_root, batch_id, grain)
         ex = ig.extract_price_history(df, state, grain=grain)
         (ex.records.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink))
         written = spark.read.parquet(sink).where(F.col("batch_id") == batch_id)
-        new_state = ig.advance_state(state, written)
+        new_state = ig.advance_state(state, written, as_type=schemas.state_schema(grain)["last_seen"].dataType)
         (new_state.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(state_root))
     return write_batch

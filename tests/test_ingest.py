@@ -133,3 +133,15 @@ def test_series_regex_first_match_only(spark):
     df = spark.createDataFrame([("var line1=[1];var line1=[2];",), ("none",)], "b string")
     assert [r[0] for r in df.select(ig.extract_series_text("b")).collect()] == ["[1]", None]
     assert df.select(F.lit(1)).count() == 2
+
+
+def test_hour_grain_mark_keeps_the_instant(spark):
+    from bazaar.plans.incremental import state_from_data
+    pts = '[["Nov 05 2024 01: +0",1,"1"],["Nov 05 2024 02: +0",2,"1"]]'
+    first = ig.extract_price_history(pages(spark, [("A", 200, body(pts))]), grain="hour").records
+    state = ig.advance_state(None, first, as_type=schemas.state_schema("hour")["last_seen"].dataType)
+    assert state.first().last_seen == dt.datetime(2024, 11, 5, 2)
+    assert state_from_data(first, grain="hour").first().last_seen == dt.datetime(2024, 11, 5, 2)
+    pts2 = pts[:-1] + ',["Nov 05 2024 03: +0",3,"1"]]'
+    again = ig.extract_price_history(pages(spark, [("A", 200, body(pts2))]), state, grain="hour").records
+    assert [r.date.hour for r in again.collect()] == [3]
