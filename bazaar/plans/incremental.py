@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,14 +41,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a top-level partition column, read from the directory names only."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    prefix = f"{column}="
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix) and name != prefix + "__HIVE_DEFAULT_PARTITION__":
+            # partition paths escape special characters as %XX (and nothing else)
+            out.append(re.sub(r"%([0-9A-Fa-f]{2})", lambda m: chr(int(m.group(1), 16)), name[len(prefix):]))
+    return out
+
+
 def table_mark(spark: SparkSession, path: str, column: str) -> _dt.date | None:
     """max(column) of a materialised table; None when the table does not exist or is empty.
 
-    For a partition column this is answered from the partition listing and file
-    footers (no row data is read).
+    For a partition column the answer comes from the directory listing (no job, no
+    file footers), which stays cheap however many files a partition holds.
     """
     if not path_exists(spark, path):
         return None
+    values = partition_values(spark, path, column)
+    if values:
+        return _dt.date.fromisoformat(max(values)[:10])
     return spark.read.parquet(path).agg(F.max(column)).first()[0]
 
 
@@ -147,26 +168,31 @@ def commit_state(state: DataFrame, state_root: str, load_id: str) -> str:
 
 def read_state(spark: SparkSession, state_root: str, data: DataFrame | None = None,
                before_load_id: str | None = None, key: str = "market_hash_name",
-               grain: str = "day") -> DataFrame | None:
+               grain: str = "day", data_path: str | None = None) -> DataFrame | None:
     """The per-key marks a load must start from: the newest state committed by an
     *earlier* load (so a replayed load sees exactly what its first run saw).
 
     If the data holds a newer earlier load than the newest state (a crash between
     the data write and the state write), the marks are derived from that data.
-    `data` must carry the `load_id` partition column.
+    `data` must carry the `load_id` partition column. Which loads exist is read from
+    the folder listing (state always; data when `data_path` is given), not by a job.
     """
+    def earlier(ids):
+        return [i for i in ids if before_load_id is None or i < before_load_id]
+
     prior = None
     if data is not None:
         prior = data if before_load_id is None else data.where(F.col("load_id") < F.lit(before_load_id))
-    st = None
-    if path_exists(spark, state_root):
-        st = read_loads(spark, state_root, schemas.state_schema(grain))
-        if before_load_id is not None:
-            st = st.where(F.col("load_id") < F.lit(before_load_id))
-    latest = st.agg(F.max("load_id")).first()[0] if st is not None else None
-    data_latest = prior.agg(F.max("load_id")).first()[0] if prior is not None else None
+    state_ids = earlier(partition_values(spark, state_root, "load_id"))
+    latest = max(state_ids) if state_ids else None
+    if data_path is not None:
+        data_ids = earlier(partition_values(spark, data_path, "load_id"))
+        data_latest = max(data_ids) if data_ids else None
+    else:
+        data_latest = prior.agg(F.max("load_id")).first()[0] if prior is not None else None
     if latest is not None and (data_latest is None or latest >= data_latest):
+        st = read_loads(spark, state_root, schemas.state_schema(grain))
         return st.where(F.col("load_id") == F.lit(latest)).drop("load_id")
-    if data_latest is not None:
+    if data_latest is not None and prior is not None:
         return state_from_data(prior, key, grain=grain)
     return None

@@ -68,7 +68,8 @@ def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, his
     hist_path = wh.path("item_price_history_raw")
     prior = inc.read_loads(spark, hist_path, schemas.ITEM_PRICE_HISTORY_RAW) if inc.path_exists(spark, hist_path) \
         else None
-    state = inc.read_state(spark, wh.path("_state"), prior, before_load_id=load_id, grain=grain)
+    state = inc.read_state(spark, wh.path("_state"), prior, before_load_id=load_id, grain=grain,
+                           data_path=hist_path)
     ex = load_history(history_pages, state, load_id, grain)
     (ex.records.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(hist_path))

@@ -150,3 +150,13 @@ def test_quality_gate_raises(spark):
         qa.gate_build(res)
     with pytest.raises(qa.ContractError):
         qa.check_contract(df, schemas.RPT_ITEM_METRICS_LATEST)
+
+
+def test_table_mark_from_listing(spark, tmp_dir):
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), 1), (dt.date(2024, 2, 3), 2)], "market_date date, v int")
+    df.write.partitionBy("market_date").parquet(f"{tmp_dir}/t")
+    assert inc.partition_values(spark, f"{tmp_dir}/t", "market_date") != []
+    assert inc.table_mark(spark, f"{tmp_dir}/t", "market_date") == dt.date(2024, 2, 3)
+    assert inc.table_mark(spark, f"{tmp_dir}/missing", "market_date") is None
+    spark.createDataFrame([("a b/c", 1)], "k string, v int").write.partitionBy("k").parquet(f"{tmp_dir}/esc")
+    assert inc.partition_values(spark, f"{tmp_dir}/esc", "k") == ["a b/c"]
