@@ -19,21 +19,21 @@ from pyspark.sql import functions as F
 
 from bazaar import schemas
 from bazaar.operators import ingest as ig
-from bazaar.plans.incremental import path_exists, state_from_data
+from bazaar.plans.incremental import partition_values, state_from_data
 
 PAGE_SCHEMA = schemas.HISTORY_PAGE
 
 
 def _state_before(spark: SparkSession, sink: str, state_root: str, batch_id: int,
                   grain: str = "day") -> DataFrame | None:
-    if path_exists(spark, state_root):
-        st = spark.read.parquet(state_root).where(F.col("batch_id") < batch_id)
-        last = st.agg(F.max("batch_id")).first()[0]
-        data_last = (spark.read.parquet(sink).where(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
-                     if path_exists(spark, sink) else None)
-        if last is not None and (data_last is None or last >= data_last):
-            return st.where(F.col("batch_id") == last).drop("batch_id")
-    if path_exists(spark, sink):
+    """Marks committed by the newest earlier batch; derived from the sink's earlier
+    batches when that state is missing. Batch ids come from the folder listings."""
+    states = [int(v) for v in partition_values(spark, state_root, "batch_id") if int(v) < batch_id]
+    datas = [int(v) for v in partition_values(spark, sink, "batch_id") if int(v) < batch_id]
+    if states and (not datas or max(states) >= max(datas)):
+        st = spark.read.parquet(state_root)
+        return st.where(F.col("batch_id") == max(states)).drop("batch_id")
+    if datas:
         prior = spark.read.parquet(sink).where(F.col("batch_id") < batch_id)
         return state_from_data(prior, grain=grain)
     return None
