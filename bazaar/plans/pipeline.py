@@ -21,7 +21,7 @@ from bazaar.operators import quality as qa
 from bazaar.plans import incremental as inc
 from bazaar.plans import models as m
 from bazaar.sources import raw as src
-from bazaar.sources.sinks import export_parquet, write_append, write_table
+from bazaar.sources.sinks import export_parquet, write_table
 
 REPORTS = ("rpt_market_metrics_daily", "rpt_commodity_velocity_daily", "rpt_item_metrics_latest")
 
