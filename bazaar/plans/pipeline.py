@@ -36,17 +36,25 @@ class Warehouse:
 
 # --- extract / load -------------------------------------------------------------------
 
+# Fixed value: the listing API returns results in name order, 10 per page.
+PAGE_SIZE = 10
+
+
 def load_items(listing_pages: DataFrame, run_ts: _dt.datetime, load_id: str, body: str = "body",
-               dev_page_limit: int | None = None) -> DataFrame:
-    """API result pages -> items_raw rows (stamped, pruned, flattened, keyed)."""
-    pages = listing_pages
-    if dev_page_limit is not None:
-        # non-prod runs keep only the first pages in request order (the limit is the feature)
-        pages = pages.orderBy("page_no").limit(int(dev_page_limit))
-    recs = ig.parse_results_pages(pages, body)
+               dev_page_limit: int | None = None, page_size: int = PAGE_SIZE) -> DataFrame:
+    """API result pages -> items_raw rows (stamped, pruned, flattened, keyed).
+
+    `dev_page_limit` keeps only the first pages of the name-ordered listing, i.e. the
+    `pages x page_size` name-first records (a top-k: the limit is the feature); ties
+    on the name are broken by every other column so the cut is deterministic.
+    """
+    recs = ig.parse_results_pages(listing_pages, body)
     recs = ig.prune_redundant(ig.stamp_snapshot(recs, run_ts))
     flat = ig.flatten_struct(recs)
     flat = ig.guard_missing_key(flat, "asset_description__market_hash_name")
+    if dev_page_limit is not None:
+        key = "asset_description__market_hash_name"
+        flat = flat.orderBy(key, *[c for c in flat.columns if c != key]).limit(int(dev_page_limit) * page_size)
     flat = ig.add_load_metadata(flat, load_id, ["asset_description__market_hash_name"])
     return src.conform(flat, schemas.ITEMS_RAW, "items_raw")
 

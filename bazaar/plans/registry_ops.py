@@ -248,9 +248,24 @@ def q_require_partition_filter(spark, d):
         *m.FCT_COLUMNS)
 
 
-@register("limit_pages_dev")
+_DEV_COLS = ("sell_listings, sell_price, sell_price_text, sale_price_text, "
+             "TIMESTAMP '2026-01-01 06:00:00' AS snapshot_timestamp, asset_description__classid, "
+             "asset_description__background_color, asset_description__tradable, asset_description__name_color, "
+             "asset_description__type, asset_description__market_hash_name, asset_description__commodity, "
+             "asset_description__market_bucket_group_name, asset_description__market_bucket_group_id, "
+             "'000000000001' AS _dlt_load_id, sha256(concat_ws(chr(1), '000000000001', "
+             "coalesce(asset_description__market_hash_name, ''))) AS _dlt_id")
+_DEV_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in [
+    "asset_description__market_hash_name", "sell_listings", "sell_price", "sell_price_text", "sale_price_text",
+    "asset_description__classid", "asset_description__background_color", "asset_description__tradable",
+    "asset_description__name_color", "asset_description__type", "asset_description__commodity",
+    "asset_description__market_bucket_group_name", "asset_description__market_bucket_group_id"])
+
+
+@register("limit_pages_dev", M(f"SELECT {_DEV_COLS} FROM items_raw WHERE coalesce(asset_description__market_hash_name, "
+                               f"'') <> '' ORDER BY {_DEV_ORDER} LIMIT 100", "items_raw"))
 def q_limit_pages_dev(spark, d):
-    """Non-prod run: only the first 10 result pages are loaded."""
+    """Non-prod run: only the first 10 result pages (10 per page, name order) are loaded."""
     from bazaar.plans.pipeline import load_items
     return load_items(fixtures.listing_pages(spark, d), RUN_TS, LOAD_ID, dev_page_limit=10)
 

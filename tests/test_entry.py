@@ -20,10 +20,8 @@ def test_entry_smoke(spark):
 
 def test_every_oracle_has_a_query():
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert len(q) >= 90
-    missing = set(q) - set(o)
-    assert missing == {"limit_pages_dev"}  # a LIMIT over pages in input order: rows-only
+    assert set(o) == set(q)
+    assert len(q) == 98
 
 
 @pytest.fixture(scope="module")
