@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaar.llm import exact_dedup, line_dedup, mixing, sharding, token_counts
+from bazaar.llm import exact_dedup, language_id, line_dedup, mixing, packing, quality, sharding, token_counts
 from bazaar.llm.common import table
 
 
@@ -24,6 +24,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), sharding.topology(40), sharding.topology(41))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"), held_out=language_id.crc_held_out("doc_id", 5),
+                                per_class=400, train_rows=2400, landmarks=64)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"), min_len=40, min_docs=5)
 
@@ -32,19 +37,30 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), threshold=0.5, sample_rows=3000)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, cap=2.0)
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), length=2048)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
+    "op3_language_id": op3_language_id,
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_quality": op7_quality,
     "op8_mixing": op8_mixing,
+    "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
 }
 

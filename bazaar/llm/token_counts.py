@@ -7,10 +7,9 @@ found among them count 1 each; only the rest is merged, by the library, pre-toke
 pre-token, and remembered in a cache of bounded size.
 
 Byte-pair merges never cross a pre-token, so the sum is the library's count for the
-whole text. The pattern is run by the `regex` module, whose Unicode tables could be of
-another version than the library's, and special strings are cut out by the library
-before the pattern runs: texts that hold a special string or any character outside
-ASCII, the Latin blocks and general punctuation go to the library as a whole.
+whole text. Special strings are cut out by the library before the pattern runs, and other
+alphabets depend on its Unicode tables: texts that hold a special string or any character
+outside ASCII, the Latin blocks and general punctuation go to the library as a whole.
 
 Defined cases: a null text counts as empty (0 bytes, 0 tokens); texts of any length are
 counted whole, the pattern streaming over them; extra columns are not read; repeated
@@ -20,6 +19,7 @@ rows give repeated results; an empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -28,8 +28,12 @@ from pyspark.sql import functions as F
 
 from bazaar.llm.common import bounded_batches, text_or_empty
 
-#: The pre-token pattern of the byte-level vocabulary.
-PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The letters and numbers among PLAIN.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+NUMBERS = "0-9²³¹¼½¾"
+#: The pre-token pattern of the byte-level vocabulary, over plain texts.
+PRE_TOKEN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+"
+             r"|\s+(?!\S)|\s+")
 #: Characters for which every Unicode version of the last decade agrees on letters, numbers and spaces.
 PLAIN = "\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ‐-‧‰-⁞€"
 CACHE = 600_000
@@ -51,11 +55,27 @@ def symbols(token: str) -> str:
     return token.encode().decode("latin-1").translate(SYMBOLS)
 
 
+class _Seen(dict):
+    """Tokens by pre-token: 1 for the whole ones; the rest is merged by the library once and kept for a while."""
+
+    def __init__(self, whole: set[str], merge):
+        super().__init__(dict.fromkeys(whole, 1))
+        self.whole, self.merge = whole, merge
+
+    def __missing__(self, token: str) -> int:
+        n = len(self.merge(symbols(token)))
+        if len(self) >= len(self.whole) + CACHE:
+            self.clear()
+            self.update(dict.fromkeys(self.whole, 1))
+        if len(token) <= 64:
+            self[token] = n
+        return n
+
+
 class Counter:
     """Counts tokens for one byte-level vocabulary file of the `tokenizers` library."""
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
@@ -63,11 +83,10 @@ class Counter:
         self.lib.no_padding()
         spec = json.loads(self.lib.to_str())
         self.specials = [t["content"] for t in spec.get("added_tokens", [])]
-        self.find = regex.compile(PRE_TOKEN)
-        self.odd = regex.compile(f"[^{PLAIN}]")
+        self.find = re.compile(PRE_TOKEN)
+        self.odd = re.compile(f"[^{PLAIN}]")
         self.whole = self._prove(spec)
-        self.seen: dict[str, int] = dict.fromkeys(self.whole, 1)
-        self.base = len(self.seen)
+        self.seen = _Seen(self.whole, self.lib.model.tokenize)
 
     def _prove(self, spec: dict) -> set[str]:
         """Vocabulary strings that are one pre-token and that the library encodes as one token."""
@@ -84,22 +103,8 @@ class Counter:
         if not self.plain(text):
             return len(self.lib.encode(text, add_special_tokens=False).ids)
         if len(text) > LONG:
-            return sum(self._of(m.group()) for m in self.find.finditer(text))
-        tokens = self.find.findall(text)
-        try:
-            return sum(map(self.seen.__getitem__, tokens))
-        except KeyError:
-            return sum(map(self._of, tokens))
-
-    def _of(self, token: str) -> int:
-        n = self.seen.get(token)
-        if n is None:
-            n = len(self.lib.model.tokenize(symbols(token)))
-            if len(self.seen) >= self.base + CACHE:
-                self.seen = dict.fromkeys(self.whole, 1)
-            if len(token) <= 64:
-                self.seen[token] = n
-        return n
+            return sum(self.seen[m.group()] for m in self.find.finditer(text))
+        return sum(map(self.seen.__getitem__, self.find.findall(text)))
 
 
 _COUNTERS: dict[str, Counter] = {}
