@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from bazaar.session import materialize, scratch_path
 
-__all__ = ["SPACE", "UPPER", "LOWER", "ascii_lower", "bounded_batches", "gapless", "hash52", "materialize",
-           "scratch_path", "table", "text_or_empty", "unit_draw"]
+__all__ = ["SPACE", "UPPER", "LOWER", "ascii_lower", "bounded_batches", "gapless", "hash52", "mark_of",
+           "materialize", "scratch_path", "table", "take_rows", "text_or_empty", "unit_draw"]
 
 #: The white space of the contracts: space and the five ASCII control characters 9-13.
 SPACE = " \t\n\x0b\x0c\r"
@@ -70,6 +70,33 @@ def gapless(df: DataFrame, group: list[str], bucket: list[str], order: list[Colu
             .drop("__llm_start", "__llm_within", *[f"__llm_k{i}" for i in range(len(keys))]))
 
 
+def mark_of(id_col: str, text_col: str) -> list[Column]:
+    """What tells rows apart where a plan made without the texts meets the rows again: id and a hash of the text."""
+    return [F.col(id_col).alias("__llm_id"), F.xxhash64(text_or_empty(text_col)).alias("__llm_th")]
+
+
+def take_rows(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
+    """The rows of `docs`, all columns, as often as `marks` says.
+
+    `marks` is a written table (__llm_id, __llm_th, [the columns `more` as __llm_0, ...,] __llm_copies, __llm_rows):
+    the copies that the __llm_rows rows of a mark have in all. Equal rows share them; the first ones get one more.
+    """
+    same = F.col(id_col).eqNullSafe(F.col("__llm_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__llm_th"))
+    keys = ["__llm_id", "__llm_th"]
+    for i, c in enumerate(more):
+        same = same & F.col(c).eqNullSafe(F.col(f"__llm_{i}"))
+        keys.append(f"__llm_{i}")
+    alone = docs.join(marks.filter("__llm_rows = 1"), same).withColumn("__llm_times", F.col("__llm_copies"))
+    again = docs.join(marks.filter("__llm_rows > 1"), same)
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])))
+    each = F.floor(F.col("__llm_copies") / F.col("__llm_rows"))
+    again = again.withColumn("__llm_times", each + F.when(
+        nth <= F.col("__llm_copies") - each * F.col("__llm_rows"), 1).otherwise(0))
+    both = alone.unionByName(again).filter("__llm_times > 0")
+    return (both.withColumn("__llm_copy", F.explode(F.sequence(F.lit(1), F.col("__llm_times").cast("int"))))
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+
+
 def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
     """Let no Arrow batch hold more rows than this, as texts may be very long.
 

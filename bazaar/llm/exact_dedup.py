@@ -44,7 +44,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def _cells(hashes: pd.Series, cells: int) -> np.ndarray:
-    words = np.frombuffer(b"".join(hashes), dtype="<u8").reshape(-1, 4)
+    words = np.frombuffer(b"".join(hashes), dtype="<u8").reshape(len(hashes), -1)
     return (words[:, :PROBES] & np.uint64(cells - 1)).astype(np.int64)
 
 
@@ -75,33 +75,44 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 once[k] = once[k] | one
             else:
                 once[k], twice[k] = one, two
-    if twice:
-        yield pd.DataFrame({"slice": list(twice), "twice": [v.tobytes() for v in twice.values()]})
+    if once:
+        yield pd.DataFrame({"slice": list(once), "once": [v.tobytes() for v in once.values()],
+                            "twice": [v.tobytes() for v in twice.values()]})
 
 
-def repeat_filter(hashed: DataFrame, cells: int = CELLS, part: int = SLICE) -> bytes:
-    """The bit map of the cells that at least two rows hit: `cells` / 8 bytes, never more."""
+def bloom(hashed: DataFrame, which: str = "twice", cells: int = CELLS, part: int = SLICE) -> bytes:
+    """The bit map of the cells that one row at least (`once`) or two (`twice`) hit: `cells` / 8 bytes, never more.
+
+    `hashed` has the hashes, of 24 bytes or more in steps of 8, in the column `h`.
+    """
     part = min(part, cells)
-    pieces = hashed.select("h").mapInPandas(_count_cells(cells, part), "slice int, once binary, twice binary")
-    merged = pieces.repartition("slice").mapInPandas(_merge, "slice int, twice binary").collect()
+    kind = "slice int, once binary, twice binary"
+    pieces = hashed.select("h").mapInPandas(_count_cells(cells, part), kind)
+    merged = pieces.repartition("slice").mapInPandas(_merge, kind).select("slice", which).collect()
     bits = bytearray(cells // 8)
-    for row in merged:
-        at = row["slice"] * (part // 8)
-        bits[at:at + part // 8] = row["twice"]
+    for k, piece in merged:
+        bits[k * (part // 8):(k + 1) * (part // 8)] = piece
     return bytes(bits)
 
 
+def may_hold(bits: bytes, hashes: pd.Series, cells: int = CELLS) -> np.ndarray:
+    """For each hash, whether all its cells are set."""
+    if not len(hashes):
+        return np.zeros(0, dtype=bool)
+    at = _cells(hashes, cells)
+    own = np.frombuffer(bits, dtype=np.uint8)
+    return ((own[at >> 3] >> (7 - (at & 7))) & 1).all(axis=1)
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cells: int = CELLS) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256 (hex)."""
     spark = docs.sparkSession
     hashed = materialize(digests(docs, id_col, text_col), "op5-digests")
-    filt = spark.sparkContext.broadcast(repeat_filter(hashed, cells))
+    filt = spark.sparkContext.broadcast(bloom(hashed, "twice", cells))
 
     @F.pandas_udf("boolean")
     def maybe_repeated(h: pd.Series) -> pd.Series:
-        at = _cells(h, cells)
-        bits = np.frombuffer(filt.value, dtype=np.uint8)
-        return pd.Series(((bits[at >> 3] >> (7 - (at & 7))) & 1).all(axis=1))
+        return pd.Series(may_hold(filt.value, h, cells))
 
     flagged = hashed.withColumn("rep", maybe_repeated("h"))
     sha = F.lower(F.hex("h")).alias("text_sha256")

@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import gapless, hash52, materialize, text_or_empty, unit_draw
+from bazaar.llm.common import gapless, hash52, mark_of, materialize, take_rows, text_or_empty, unit_draw
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -90,28 +90,14 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float =
     Rows are told apart by (id, source, hash of the text); rows equal in all three are numbered together and
     each gets its copies.
     """
-    text_hash = F.xxhash64(text_or_empty(text_col))
-    sized = materialize(docs.select(F.col(id_col).alias("id"), text_hash.alias("th"), F.col(source_col).alias("source"),
+    sized = materialize(docs.select(*mark_of(id_col, text_col), F.col(source_col).alias("source"),
                                     words(text_or_empty(text_col)).alias("size")), "op8-sized")
-    plan = _copies(sized.withColumn("key", F.concat_ws("|", F.col("id").cast("string"), F.col("th").cast("string"))),
-                   weights, share, cap, seed)
-    shares = materialize(
-        plan.groupBy(F.col("id").alias("__llm_id"), F.col("th").alias("__llm_th"), F.col("source").alias("__llm_src"))
-        .agg(F.sum("copies").alias("__llm_copies"), F.count(F.lit(1)).alias("__llm_rows"))
-        .filter("__llm_copies > 0"), "op8-copies")
-    same = (F.col(id_col).eqNullSafe(F.col("__llm_id")) & F.col(source_col).eqNullSafe(F.col("__llm_src"))
-            & (text_hash == F.col("__llm_th")))
-    alone = docs.join(shares.filter("__llm_rows = 1"), same).withColumn("__llm_times", F.col("__llm_copies"))
-    # equal rows share their copies; the first of them get one more
-    again = docs.join(shares.filter("__llm_rows > 1"), same)
-    nth = F.row_number().over(Window.partitionBy("__llm_id", "__llm_th", "__llm_src")
-                              .orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])))
-    each = F.floor(F.col("__llm_copies") / F.col("__llm_rows"))
-    again = again.withColumn("__llm_times", each + F.when(
-        nth <= F.col("__llm_copies") - each * F.col("__llm_rows"), 1).otherwise(0))
-    both = alone.unionByName(again).filter("__llm_times > 0")
-    return (both.withColumn("__llm_copy", F.explode(F.sequence(F.lit(1), F.col("__llm_times").cast("int"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    key = F.concat_ws("|", F.col("__llm_id").cast("string"), F.col("__llm_th").cast("string"))
+    plan = _copies(sized.withColumn("key", key), weights, share, cap, seed)
+    marks = (plan.groupBy("__llm_id", "__llm_th", F.col("source").alias("__llm_0"))
+             .agg(F.sum("copies").alias("__llm_copies"), F.count(F.lit(1)).alias("__llm_rows"))
+             .filter("__llm_copies > 0"))
+    return take_rows(docs, materialize(marks, "op8-copies"), id_col, text_col, source_col)
 
 
 SQL = r"""

@@ -175,11 +175,13 @@ def pack(cut: DataFrame, length: int = 2048, batch: int = 30_000) -> DataFrame:
     rest = cut.filter(F.col("length") < length)
     n = rest.count()
     batches = n // batch + 1
-    dealt = rest.withColumn("b", F.pmod(F.xxhash64("doc_id", "row"), F.lit(batches)))
+    # pandas would turn an id column with nulls into floats: ids pass as text
+    kinds = {f.name: f.dataType.simpleString() for f in cut.schema.fields}
+    dealt = rest.withColumn("b", F.pmod(F.xxhash64("doc_id", "row"), F.lit(batches))).withColumn(
+        "doc_id", F.col("doc_id").cast("string"))
 
     def fill(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "doc_id", "row"], ascending=[False, True, True], kind="stable",
-                                  ignore_index=True)
+        frame = frame.sort_values(["length", "row"], ascending=[False, True], kind="stable", ignore_index=True)
         bins = best_two_fit(frame["length"].to_numpy(dtype=np.int64), length)
         order = np.argsort(bins, kind="stable")
         sizes, of = frame["length"].to_numpy()[order], bins[order]
@@ -189,8 +191,9 @@ def pack(cut: DataFrame, length: int = 2048, batch: int = 30_000) -> DataFrame:
         offset[order] = ends - sizes - np.maximum.accumulate(np.where(first, ends - sizes, 0))
         return frame.assign(sequence_id=bins * batches + frame["b"], offset=offset).drop(columns="b")
 
-    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema.fields)
-    packed = dealt.groupBy("b").applyInPandas(fill, f"{kind}, sequence_id long, offset long")
+    kind = ", ".join(f"{c} {'string' if c == 'doc_id' else k}" for c, k in kinds.items())
+    packed = dealt.groupBy("b").applyInPandas(fill, f"{kind}, sequence_id long, offset long").withColumn(
+        "doc_id", F.col("doc_id").cast(kinds["doc_id"]))
     # sequences of one full piece get negative numbers: neither kind needs the other's count
     alone = full.withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn(
         "offset", F.lit(0).cast("long"))

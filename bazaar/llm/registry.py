@@ -6,8 +6,10 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bazaar.llm import exact_dedup, language_id, line_dedup, mixing, packing, quality, sharding, token_counts
+from bazaar.llm import (exact_dedup, jaccard_join, language_id, line_dedup, mixing, packing, quality, sharding,
+                        token_counts, topk_search)
 from bazaar.llm.common import table
 
 
@@ -20,6 +22,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024,
+                             pivots=32)
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), sharding.topology(40), sharding.topology(41))
 
@@ -37,6 +44,10 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), threshold=0.5, sample_rows=3000)
 
@@ -54,10 +65,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk_search": op1_topk_search,
     "op2_sharding": op2_sharding,
     "op3_language_id": op3_language_id,
     "op4_line_dedup": op4_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_quality": op7_quality,
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
@@ -65,8 +78,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_topk_search": topk_search.SQL,
     "op2_sharding": sharding.sql(sharding.topology(40), sharding.topology(41)),
     "op4_line_dedup": line_dedup.SQL,
     "op5_exact_dedup": exact_dedup.SQL,
+    "op6_jaccard_join": jaccard_join.SQL,
     "op8_mixing": mixing.SQL,
 }
