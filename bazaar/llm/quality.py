@@ -2,8 +2,8 @@
 
 Heuristic labellers each vote good, bad or abstain on the whole text. The votes of all
 documents, counted by pattern (at most 3 ^ labellers rows), go through an
-expectation-maximisation that estimates how often each labeller casts each vote on good and on
-bad documents, without any given label. The posteriors label a bounded, hash-drawn sample, on
+expectation-maximisation that estimates how often each labeller, when it votes, is right on
+good and on bad documents, without any given label. The posteriors label a bounded, hash-drawn sample, on
 which a logistic scorer over hashed features of the text is fitted; it scores every
 document, and those below the threshold are rejected.
 
@@ -32,7 +32,7 @@ from bazaar.llm.common import SPACE, bounded_batches, materialize, text_or_empty
 BAD, GOOD, NONE = 0, 1, 2
 GRAMS = 1 << 11
 STEPS = 16
-DIM = GRAMS + 4 * STEPS
+DIM = GRAMS + 5 * STEPS
 STRETCH = 1 << 20
 
 #: Kinds of bytes: upper, lower, digit, space, line feed, bytes of other letters, and every sign by itself.
@@ -42,6 +42,7 @@ for _b in range(256):
     _KIND[_b] = (1 if _c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else 2 if _c in "abcdefghijklmnopqrstuvwxyz" else
                  3 if _c in "0123456789" else 5 if _c == "\n" else 4 if _c in SPACE else 2 if _b >= 128 else 6 + _b)
 _SIGN = np.array([chr(b) in "#$%&*+/<=>@[\\]^_`{|}~!" for b in range(256)])
+_BLANK = np.array([chr(b) in SPACE for b in range(256)])
 _END = np.array([chr(b) in ".?!:;" for b in range(256)])
 
 
@@ -49,14 +50,18 @@ def facts(text: str) -> dict[str, float]:
     """What the labellers look at."""
     data = text.encode("utf-8", "surrogatepass")
     h = wordhash.words(data.lower())
-    counts = np.bincount(np.frombuffer(data, dtype=np.uint8), minlength=256)
+    codes = np.frombuffer(data, dtype=np.uint8)
+    counts = np.bincount(codes, minlength=256)
     kinds = np.bincount(_KIND.astype(np.int64), weights=counts, minlength=16)
     letters, n = kinds[1] + kinds[2], len(h)
     triples = wordhash.ngrams(h, 3)
+    blank = _BLANK[codes]
+    lone = _SIGN[codes[1:-1]] & blank[:-2] & blank[2:] if len(codes) > 2 else np.zeros(0)
     return {
         "words": n,
         "caps": kinds[1] / max(letters, 1),
         "signs": counts[_SIGN].sum() / max(counts.sum() - kinds[4] - kinds[5], 1),
+        "lone": lone.sum() / max(n, 1),
         "letters": letters / max(counts.sum() - kinds[4] - kinds[5], 1),
         "same": float((h[1:] == h[:-1]).mean()) if n > 1 else 0.0,
         "again": 1 - len(np.unique(triples)) / len(triples) if n > 3 else 0.0,
@@ -74,7 +79,8 @@ def _between(x: float, good: float, bad: float) -> int:
 LABELLERS = (
     ("capitals", lambda f: _between(f["caps"], 0.2, 0.4)),
     ("signs", lambda f: _between(f["signs"], 0.01, 0.04)),
-    ("letters", lambda f: _between(1 - f["letters"], 0.1, 0.25)),
+    ("lone signs", lambda f: _between(f["lone"], 0.02, 0.1)),
+    ("letters", lambda f: _between(1 - f["letters"], 0.1, 0.2)),
     ("stutter", lambda f: _between(f["same"], 0.02, 0.1) if f["words"] >= 20 else NONE),
     ("loops", lambda f: _between(f["again"], 0.1, 0.35) if f["words"] >= 20 else NONE),
     ("word length", lambda f: _between(abs(f["length"] - 6), 2.5, 6)),
@@ -97,11 +103,11 @@ def posteriors(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, flo
     """P(good) for each pattern, the labellers' P(vote | class), and the share of good documents.
 
     Votes are taken as independent within a class; the classes start from majority votes, which also tells
-    which of the two is the good one. Each table starts with one vote's worth of its start, as a prior.
+    which of the two is the good one. An abstention says nothing. Each table has a vote and a half as its prior.
     """
     patterns = sorted(p for p in counts if p >= 0)
     n = len(LABELLERS)
-    table = np.full((2, n, 3), 1 / 3)
+    table = np.full((2, n, 2), 0.5)
     if not patterns:
         return {-1: 0.0}, table, 0.5
     digits = np.array([[p // 3 ** (n - 1 - j) % 3 for j in range(n)] for p in patterns])
@@ -114,10 +120,10 @@ def posteriors(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, flo
     for _ in range(rounds):
         share = float(np.clip((weight * q).sum() / weight.sum(), 0.01, 0.99))
         for y, own in ((BAD, weight * (1 - q)), (GOOD, weight * q)):
-            for v in range(3):
+            for v in (BAD, GOOD):
                 table[y, :, v] = ((digits == v) * own[:, None]).sum(axis=0) + (1.0 if v == y else 0.5)
             table[y] /= table[y].sum(axis=1, keepdims=True)
-        log = [np.log(table[y])[np.arange(n), digits].sum(axis=1) for y in (BAD, GOOD)]
+        log = [sum(np.log(table[y, :, v]) @ (digits == v).T for v in (BAD, GOOD)) for y in (BAD, GOOD)]
         odds = log[GOOD] - log[BAD] + np.log(share / (1 - share))
         q = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
     return {-1: 0.0} | dict(zip(patterns, q.tolist())), table, share
@@ -135,7 +141,7 @@ def features(text: str) -> np.ndarray:
             out[:GRAMS] += np.bincount(h.astype(np.int64), minlength=GRAMS)
     out = np.sqrt(out / max(len(data), 1))
     f = facts(text)
-    for i, x in enumerate((f["same"], f["again"], f["caps"], f["signs"])):
+    for i, x in enumerate((f["same"], f["again"], f["caps"], f["signs"], f["lone"])):
         # a step for each bound passed, so that a linear scorer can bend
         out[GRAMS + i * STEPS:GRAMS + i * STEPS + int(np.ceil(np.sqrt(x) * STEPS))] = 0.25
     return out.astype(np.float32)
