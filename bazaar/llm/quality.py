@@ -30,6 +30,10 @@ from bazaar.llm import wordhash
 from bazaar.llm.common import SPACE, bounded_batches, materialize, text_or_empty
 
 BAD, GOOD, NONE = 0, 1, 2
+#: Where the estimation starts: P(vote bad, vote good) of a labeller on bad and on good documents, as most
+#: labellers know one kind of junk only and seldom see it in good text; and the share of good documents.
+START = np.array([[0.4, 0.6], [0.05, 0.95]])
+SHARE = 0.7
 GRAMS = 1 << 11
 STEPS = 16
 DIM = GRAMS + 5 * STEPS
@@ -102,30 +106,30 @@ def votes(text: str) -> int:
 def posteriors(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, float], np.ndarray, float]:
     """P(good) for each pattern, the labellers' P(vote | class), and the share of good documents.
 
-    Votes are taken as independent within a class; the classes start from majority votes, which also tells
-    which of the two is the good one. An abstention says nothing. Each table has a vote and a half as its prior.
+    Votes are taken as independent within a class; an abstention says nothing. The start, which also tells which of
+    the two classes is the good one, is `START`; it stays as a prior of two votes.
     """
     patterns = sorted(p for p in counts if p >= 0)
     n = len(LABELLERS)
-    table = np.full((2, n, 2), 0.5)
+    table = np.repeat(START[:, None, :], n, axis=1)
     if not patterns:
-        return {-1: 0.0}, table, 0.5
+        return {-1: 0.0}, table, SHARE
     digits = np.array([[p // 3 ** (n - 1 - j) % 3 for j in range(n)] for p in patterns])
     weight = np.array([counts[p] for p in patterns], dtype=float)
-    good, bad = (digits == GOOD).sum(axis=1), (digits == BAD).sum(axis=1)
-    q = (good + 1.0) / (good + bad + 2.0)
-    # one bad vote is strong to begin with: junk of one kind alarms only the labellers of its kind
-    q = np.where(bad > 0, 0.2 / np.maximum(bad, 1), q)
-    share = 0.5
+
+    def expected(share: float) -> np.ndarray:
+        log = [sum(np.log(table[y, :, v]) @ (digits == v).T for v in (BAD, GOOD)) for y in (BAD, GOOD)]
+        return 1 / (1 + np.exp(-np.clip(log[GOOD] - log[BAD] + np.log(share / (1 - share)), -500, 500)))
+
+    share = SHARE
+    q = expected(share)
     for _ in range(rounds):
         share = float(np.clip((weight * q).sum() / weight.sum(), 0.01, 0.99))
         for y, own in ((BAD, weight * (1 - q)), (GOOD, weight * q)):
             for v in (BAD, GOOD):
-                table[y, :, v] = ((digits == v) * own[:, None]).sum(axis=0) + (1.0 if v == y else 0.5)
+                table[y, :, v] = ((digits == v) * own[:, None]).sum(axis=0) + 2 * START[y, v]
             table[y] /= table[y].sum(axis=1, keepdims=True)
-        log = [sum(np.log(table[y, :, v]) @ (digits == v).T for v in (BAD, GOOD)) for y in (BAD, GOOD)]
-        odds = log[GOOD] - log[BAD] + np.log(share / (1 - share))
-        q = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        q = expected(share)
     return {-1: 0.0} | dict(zip(patterns, q.tolist())), table, share
 
 
