@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaar.schemas import MONEY, WHOLE, WORK
+from bazaar.schemas import CENTS, MONEY, WHOLE, WORK
 
 __all__ = [
     "col_of", "strict_cast", "safe_cast", "int_to_bool", "cents_to_usd", "currency_text_to_usd",
@@ -47,8 +47,8 @@ def money(c) -> Column:
 
 
 def cents_to_usd(c) -> Column:
-    """Integer cents to dollars: NUMERIC / 100, computed in DECIMAL(18,9)."""
-    return money(safe_cast(c, WORK) / F.lit(100))
+    """Integer cents to dollars: NUMERIC / 100, exact for every BIGINT."""
+    return money(safe_cast(c, CENTS) / F.lit(100))
 
 
 def currency_text_to_usd(c) -> Column:
@@ -71,10 +71,16 @@ def safe_divide(a, b) -> Column:
     return F.try_divide(col_of(a), col_of(b))
 
 
+def _either(exact: Column, wide: Column) -> Column:
+    """The exact decimal result; where an input has more than 15 integer digits, the one by doubles."""
+    return F.coalesce(money(exact), money(wide))
+
+
 def bid_ask_spread(ask, bid) -> Column:
     """(ask - bid) / bid as a fraction, NUMERIC."""
-    a, b = col_of(ask).cast(WORK), col_of(bid).cast(WORK)
-    return money(safe_divide(a - b, b))
+    a, b = safe_cast(ask, WORK), safe_cast(bid, WORK)
+    x, y = to_double(ask), to_double(bid)
+    return _either(safe_divide(a - b, b), safe_divide(x - y, y))
 
 
 def turnover_rate(units, asks) -> Column:
@@ -84,12 +90,13 @@ def turnover_rate(units, asks) -> Column:
 
 def bid_ask_ratio(bid, ask) -> Column:
     """bid / ask, NUMERIC."""
-    return money(safe_divide(col_of(bid).cast(WORK), col_of(ask).cast(WORK)))
+    return _either(safe_divide(safe_cast(bid, WORK), safe_cast(ask, WORK)),
+                   safe_divide(to_double(bid), to_double(ask)))
 
 
 def money_product(units, price) -> Column:
-    """units * price without losing scale: DECIMAL(18,0) * DECIMAL(18,9)."""
-    return col_of(units).cast(WHOLE) * col_of(price).cast(WORK)
+    """units * price without losing scale: DECIMAL(13,0) * DECIMAL(24,9)."""
+    return _either(safe_cast(units, WHOLE) * safe_cast(price, WORK), to_double(units) * to_double(price))
 
 
 def case_label(c, when_true: str, when_false: str) -> Column:

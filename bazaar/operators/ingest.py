@@ -12,12 +12,13 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaar import schemas
 from bazaar.functions.scalar import col_of
+from bazaar.session import materialize
 
 # The series is the JavaScript variable `line1` embedded in the page;
 # each point is [date text, price, volume text] and the first 11 characters of the
@@ -46,10 +47,23 @@ def explode_results(pages: DataFrame, results: str = "results") -> DataFrame:
     return pages.select(F.explode(F.col(results)).alias("__r")).select("__r.*")
 
 
-def parse_results_pages(pages_text: DataFrame, body: str = "body") -> DataFrame:
-    """JSON text of result pages -> records, with the declared page schema."""
-    parsed = pages_text.select(F.from_json(F.col(body), schemas.RESULTS_PAGE).alias("__p"))
-    return explode_results(parsed.select("__p.*"))
+def parse_results_pages(pages_text: DataFrame, body: str = "body", place: tuple[str, str] | None = None) -> DataFrame:
+    """JSON text of result pages -> records, with the declared page schema.
+
+    `place` names two more columns that tell records apart: the page (its `page_no`, else a hash of its
+    text) and the record's position in it.
+    """
+    page = F.col("page_no").cast("string") if "page_no" in pages_text.columns else F.sha2(F.col(body), 256)
+    parsed = pages_text.select(page.alias("__page"), F.from_json(F.col(body), schemas.RESULTS_PAGE).alias("__p"))
+    if place is None:
+        return explode_results(parsed.select("__p.*"))
+    placed = parsed.select("__page", F.posexplode("__p.results").alias("__pos", "__r"))
+    return placed.select(F.col("__page").alias(place[0]), F.col("__pos").alias(place[1]), "__r.*")
+
+
+def first_pages(pages_text: DataFrame, limit: int) -> DataFrame:
+    """The listing pages numbered 1 to `limit`, chosen before any page is parsed."""
+    return pages_text.where(F.col("page_no") <= int(limit))
 
 
 def stamp_snapshot(df: DataFrame, run_ts: _dt.datetime, name: str = "snapshot_timestamp") -> DataFrame:
@@ -134,17 +148,13 @@ def parse_point_date(text, grain: str = "day") -> Column:
 
 
 def parse_point_price(text) -> Column:
-    return col_of(text).try_cast(schemas.WORK)
+    return col_of(text).try_cast(schemas.MONEY)
 
 
 def parse_point_volume(text) -> Column:
     return col_of(text).try_cast(T.LongType())
 
 
-_POINT_TYPE = T.StructType([T.StructField("date", T.TimestampType()), T.StructField("price", schemas.WORK),
-                            T.StructField("volume", T.LongType())])
-
-
 def _typed_point(p: Column, grain: str) -> Column:
     return F.struct(parse_point_date(F.get(p, 0), grain).alias("date"),
                     parse_point_price(F.get(p, 1)).alias("price"),
@@ -171,23 +181,6 @@ def take_before(typed_newest_first: Column, stop: Column) -> Column:
         F.slice(typed_newest_first, F.lit(1), (stop - 1).cast("int")))
 
 
-def take_new_points(points: Column, mark: Column, grain: str = "day") -> Column:
-    """Points newer than `mark`, scanning from the newest end and stopping at the first
-    point at or before the mark (exactly the early-stop loop; for a date-sorted series
-    it equals a `date > mark` filter). Returns array<struct<date, price, volume>>.
-    A point without a parseable date is never a stop point, so it stays in the
-    result and is caught by `all_points_ok`.
-    """
-    typed = typed_points(points, grain)
-    return take_before(typed, stop_position(typed, mark))
-
-
-def filter_new_points(points: Column, mark: Column, grain: str = "day") -> Column:
-    """Plain filter form of the mark: every point with date > mark (order-free)."""
-    typed = F.transform(points, lambda p: _typed_point(p, grain))
-    return F.filter(typed, lambda t: t["date"].isNull() | (t["date"] > mark))
-
-
 def all_points_ok(taken: Column) -> Column:
     return F.forall(taken, _point_ok)
 
@@ -197,7 +190,7 @@ class Extracted:
     records: DataFrame      # typed price records (market_hash_name, date, price, volume)
     errors: DataFrame       # one row per failed page: market_hash_name, reason
     outcomes: DataFrame     # per page: market_hash_name, status, outcome, severity, has_series
-    pages: DataFrame        # per matched page: key, mark, taken points, ok flag (for inspection)
+    pages: DataFrame        # per page: key, status, has_series, mark, taken points, ok flag (a written table)
 
 
 def extract_price_history(pages: DataFrame, state: DataFrame | None = None, grain: str = "day",
@@ -213,45 +206,44 @@ def extract_price_history(pages: DataFrame, state: DataFrame | None = None, grai
       or volume does not parse, yields no rows and one error row; with
       `isolate="key"` every page of that key is dropped in this batch, so its state is
       not advanced; other keys are unaffected.
+
+    The archive is read and parsed once: the judged pages are written to the shared
+    folder, and outcomes, errors and records are read from there. Keys with a failed page are taken out by an
+    anti-join on the distinct failed keys, so no key's pages ever meet in one task.
     """
     p = guard_missing_key(pages, key)
-    outcomes = p.select(F.col(key), F.col("status"), page_outcome("status").alias("outcome"),
-                        outcome_severity("status").alias("severity"),
-                        (F.col("status") == 200) & extract_series_text("body").isNotNull())
-    outcomes = outcomes.withColumnRenamed(outcomes.columns[-1], "has_series")
-    ok = (p.where(F.col("status") == 200)
-           .select(F.col(key), extract_series_text("body").alias("__txt"))
-           .where(F.col("__txt").isNotNull())
-           .select(F.col(key), parse_series_json("__txt").alias("__pts")))
+    text = F.when(F.col("status") == 200, extract_series_text("body"))
+    p = p.select(F.col(key), F.col("status"), text.alias("__txt"))
+    p = p.select(key, "status", F.col("__txt").isNotNull().alias("has_series"), parse_series_json("__txt").alias("__pts"))
     if state is not None:
         st = state.select(F.col(key), F.col("last_seen").cast(T.TimestampType()).alias("__mark"))
-        ok = ok.join(st, key, "left")
+        p = p.join(st, key, "left")
     else:
-        ok = ok.withColumn("__mark", F.lit(None).cast(T.TimestampType()))
+        p = p.withColumn("__mark", F.lit(None).cast(T.TimestampType()))
     mark = F.coalesce(F.col("__mark"), F.lit(DEFAULT_MARK).cast(T.TimestampType()))
     # Stacked projections: each expensive array is computed once and referenced by name
     # afterwards (Catalyst keeps projections apart when collapsing them would evaluate
     # a non-cheap expression twice).
-    base = ok.select(F.col(key), mark.alias("mark"), F.col("__pts").isNull().alias("bad_json"),
-                     typed_points(F.col("__pts"), grain, newest_first=(mode == "take_while")).alias("typed"))
+    own = [key, "status", "has_series"]
+    base = p.select(*own, mark.alias("mark"), (F.col("has_series") & F.col("__pts").isNull()).alias("bad_json"),
+                    typed_points(F.col("__pts"), grain, newest_first=(mode == "take_while")).alias("typed"))
     if mode == "take_while":
         base = base.withColumn("stop", stop_position(F.col("typed"), F.col("mark")))
-        typed = base.select(key, "mark", "bad_json", take_before(F.col("typed"), F.col("stop")).alias("points"))
+        typed = base.select(*own, "mark", "bad_json", take_before(F.col("typed"), F.col("stop")).alias("points"))
     else:
-        typed = base.select(key, "mark", "bad_json", F.filter(
+        typed = base.select(*own, "mark", "bad_json", F.filter(
             "typed", lambda t: t["date"].isNull() | (t["date"] > F.col("mark"))).alias("points"))
-    judged = typed.select(key, "mark", "bad_json", "points",
-                          (~F.col("bad_json") & all_points_ok(F.col("points"))).alias("ok"))
-    errors = judged.where(~F.col("ok")).select(
-        F.col(key), F.when(F.col("bad_json"), F.lit("bad_json")).otherwise(F.lit("bad_point")).alias("reason"))
-    good = judged
+    fine = ~F.col("has_series") | (~F.col("bad_json") & F.coalesce(all_points_ok(F.col("points")), F.lit(False)))
+    judged = materialize(typed.select(*own, "mark", "bad_json", "points", fine.alias("ok")), "judged-pages")
+    outcomes = judged.select(key, "status", page_outcome("status").alias("outcome"),
+                             outcome_severity("status").alias("severity"), "has_series")
+    failed = judged.where(~F.col("ok"))
+    errors = failed.select(F.col(key), F.when(F.col("bad_json"), F.lit("bad_json")).otherwise(F.lit("bad_point"))
+                           .alias("reason"))
+    good = judged.where(F.col("ok") & F.col("has_series"))
     if isolate == "key":
-        # a key with any failed page emits nothing in this batch; pages per key are few
-        # (one per item and run; one per item-month for archived series), so a window
-        # over the key is one shuffle of the parsed pages with no recomputation
-        good = good.withColumn("ok", F.min("ok").over(Window.partitionBy(key)))
-    records = good.select(F.col(key), F.inline(F.when(F.col("ok"), F.col("points")).otherwise(
-        F.array().cast(T.ArrayType(_POINT_TYPE))))).select(
+        good = good.join(failed.select(key).distinct(), key, "left_anti")
+    records = good.select(F.col(key), F.inline("points")).select(
         F.col(key).alias("market_hash_name"), F.col("date"), F.col("price"), F.col("volume"))
     return Extracted(records=records, errors=errors, outcomes=outcomes, pages=judged)
 

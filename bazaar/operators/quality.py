@@ -11,8 +11,9 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,25 +72,38 @@ DECLARED_TESTS = [
 ]
 
 
+def table_failures(df: DataFrame, t: TableTests, where: Column | None = None) -> DataFrame:
+    """All tests of one table from one read of it.
+
+    With unique tests, the rows are counted by each of those values (partial aggregation first), the null counts
+    riding along, so that neither test reads the table again.
+    """
+    scoped = df if where is None else df.where(where)
+    if len(t.unique) != 1:
+        parts = [not_null_failures(df, t.model, t.not_null, where)] if t.not_null else []
+        return reduce(DataFrame.unionByName, parts + [unique_failures(df, t.model, c, where) for c in t.unique])
+    value = t.unique[0]
+    nulls = [F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(f"__n{i}") for i, c in enumerate(t.not_null)]
+    per = scoped.groupBy(F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__rows"), *nulls)
+    one = per.agg(F.count(F.when(F.col("__v").isNotNull() & (F.col("__rows") > 1), F.lit(1))).alias("__dup"),
+                  *[F.coalesce(F.sum(f"__n{i}"), F.lit(0)).alias(f"__n{i}") for i in range(len(t.not_null))])
+    rows = [("not_null", c, f"__n{i}") for i, c in enumerate(t.not_null)] + [("unique", value, "__dup")]
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(t.model).alias("model"), F.lit(test).alias("test"), F.lit(c).alias("column_name"),
+                 F.col(at).cast("bigint").alias("failures")) for test, c, at in rows])).alias("r")).select("r.*")
+
+
 def run_tests(tables: Mapping[str, DataFrame], tests: Sequence[TableTests] = DECLARED_TESTS,
               as_of: _dt.date | None = None) -> DataFrame:
-    """Union of all test results (model, test, column_name, failures)."""
+    """Union of all test results (model, test, column_name, failures), one pass per table."""
     parts = []
     for t in tests:
-        if t.model not in tables:
-            continue
-        df = tables[t.model]
-        where = recent_scope(t.scope_column, as_of, 1) if t.scope == "recent" else None
-        if t.not_null:
-            parts.append(not_null_failures(df, t.model, t.not_null, where))
-        for c in t.unique:
-            parts.append(unique_failures(df, t.model, c, where))
+        if t.model in tables and (t.not_null or t.unique):
+            where = recent_scope(t.scope_column, as_of, 1) if t.scope == "recent" else None
+            parts.append(table_failures(tables[t.model], t, where))
     if not parts:
         raise ValueError("no tests selected")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 class BuildFailed(RuntimeError):
@@ -116,13 +130,18 @@ class ContractError(ValueError):
     """A report's columns or types differ from its declared contract."""
 
 
-def check_contract(df: DataFrame, contract: T.StructType, name: str = "report") -> DataFrame:
-    """Raise when the columns (order, names, types) differ from the contract."""
-    have = [(f.name, f.dataType) for f in df.schema.fields]
-    want = [(f.name, f.dataType) for f in contract.fields]
-    if have != want:
+def check_contract(df: DataFrame, contract: T.StructType, name: str = "report",
+                   partitioned_by: Sequence[str] = ()) -> DataFrame:
+    """Raise when the columns (order, names, types) differ from the contract; extra columns differ too.
+
+    A table read back from partitions has its partition columns last; `partitioned_by` names those, and the frame
+    returned has the contract's order.
+    """
+    want = [f for f in contract.fields if f.name not in partitioned_by]
+    want += [contract[c] for c in partitioned_by]
+    if [(f.name, f.dataType) for f in df.schema.fields] != [(f.name, f.dataType) for f in want]:
         raise ContractError(f"{name}: schema {df.schema.simpleString()} != contract {contract.simpleString()}")
-    return df
+    return df.select(*contract.fieldNames()) if partitioned_by else df
 
 
 def contract_diff(df: DataFrame, contract: T.StructType) -> list[tuple[str, str, str]]:
@@ -135,6 +154,3 @@ def contract_diff(df: DataFrame, contract: T.StructType) -> list[tuple[str, str,
             out.append((c, have.get(c, ""), want.get(c, "")))
     return out
 
-
-def empty_results(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], RESULT_SCHEMA)

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bazaar.session import materialize
+
 
 def unpivot(df: DataFrame, ids: Sequence[str], measures: Mapping[str, str], name: str = "metric_type",
             value: str = "value", keep_nulls: bool = False, as_type: T.DataType = T.DoubleType()) -> DataFrame:
@@ -25,25 +27,14 @@ def unpivot(df: DataFrame, ids: Sequence[str], measures: Mapping[str, str], name
     return long
 
 
-def share_of_total_window(df: DataFrame, value: str, within: Sequence[str], out: str = "share") -> DataFrame:
-    """value / sum(value) over rows with the same `within` key, as a windowed sum.
-
-    One shuffle on `within`, but a whole group lands in one task: only for groups
-    of bounded size. `share_of_total` is the default.
-    """
-    w = Window.partitionBy(*[F.col(c) for c in within])
-    return df.withColumn(out, F.try_divide(F.col(value), F.sum(F.col(value)).over(w)))
-
-
 def share_of_total(df: DataFrame, value: str, within: Sequence[str], out: str = "share") -> DataFrame:
     """value / sum(value) over rows with the same `within` key (stacked bars to 100 %),
     via a pre-aggregated total joined back.
 
-    The totals are aggregated map-side (one row per key and task), so a key holding
-    a third of the rows never lands in one task; the join back is on the (small,
-    one row per key) totals.
+    The totals are aggregated map-side (one row per key and task) and written, so the join back is one
+    of two plain sides: Spark broadcasts the totals while they are small, and splits a hot key otherwise.
     """
-    totals = df.groupBy(*within).agg(F.sum(F.col(value)).alias("__total"))
+    totals = materialize(df.groupBy(*within).agg(F.sum(F.col(value)).alias("__total")), "share-totals")
     # the join is null-safe on the group keys so a NULL group gets its own total
     t = totals.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(within)], "__total")
     cond = None

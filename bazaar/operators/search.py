@@ -19,13 +19,16 @@ def search_filter(df: DataFrame, query: str, columns: Sequence[str] | None = Non
     """Keep rows where every whitespace-separated term starts a word in some column.
 
     The columns are joined into one text per row and each term becomes an `rlike`
-    (regex-escaped), so the filter is a single codegen'd predicate.
+    (regex-escaped), so the filter is a single codegen'd predicate. Doubles are searched by their
+    plain decimal text with 9 places.
     """
     terms = [t for t in query.split() if t]
     if not terms:
         return df
     cols = list(columns or df.columns)
-    text = F.concat_ws("\n", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    kinds = dict(df.dtypes)
+    shown = [F.col(c).try_cast("decimal(38,9)") if kinds[c] in ("double", "float") else F.col(c) for c in cols]
+    text = F.concat_ws("\n", *[F.coalesce(c.cast("string"), F.lit("")) for c in shown])
     cond = None
     for t in terms:
         c = text.rlike(search_pattern(t))

@@ -46,8 +46,8 @@ def latest_market_date(rpt_market: DataFrame) -> DataFrame:
 
 def _on_date(df: DataFrame, date_param: DataFrame | object) -> DataFrame:
     if isinstance(date_param, DataFrame):
-        # bounded: the parameter frame is a single row
-        return df.join(F.broadcast(date_param.select(F.col("market_date"))), "market_date", "left_semi")
+        # a single row, and no more than that
+        return df.join(F.broadcast(date_param.select(F.col("market_date")).limit(1)), "market_date", "left_semi")
     return df.where(F.col("market_date") == fx.as_date(date_param))
 
 

@@ -5,12 +5,14 @@
 * Day-partitioned models recompute days >= mark (inclusive: the newest day is
   rebuilt, so a re-run is idempotent) and overwrite only the partitions present in
   the result (dynamic partition overwrite).
-* The month-partitioned daily history recomputes *every month touched by the new
-  load* in full, not only days >= mark, so a month is never overwritten with a
-  partial recompute and late history of new items is aggregated (README, D1/D11).
+* The month-partitioned daily history recomputes the (item, day) keys of the new load
+  from the raw points of the months it touches, and merges them with those months'
+  other rows, so a month is never overwritten with a partial recompute and late
+  history of new items is aggregated (README, D1/D11). The months are a literal
+  bound below the deduplication: other months are not scanned.
 * Per-key marks of the extractor are committed after the data, and can always be
   re-derived from the data (max date per key), so a crash between the two writes
-  loses nothing.
+  loses nothing. A state counts only when its job has marked it complete.
 """
 
 from __future__ import annotations
@@ -19,11 +21,12 @@ import datetime as _dt
 import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaar import schemas
+from bazaar.session import materialize
 from bazaar.sources.sinks import write_table
 
 EPOCH = _dt.date(1970, 1, 1)
@@ -41,8 +44,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
-def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Values of a top-level partition column, read from the directory names only."""
+def partition_values(spark: SparkSession, path: str, column: str, complete: bool = False) -> list[str]:
+    """Values of a top-level partition column, read from the directory names only.
+
+    `complete`: only folders written by a job of their own that has ended (they hold `_SUCCESS`).
+    """
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -53,6 +59,8 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(prefix) and name != prefix + "__HIVE_DEFAULT_PARTITION__":
+            if complete and not fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                continue
             # partition paths escape special characters as %XX (and nothing else)
             out.append(re.sub(r"%([0-9A-Fa-f]{2})", lambda m: chr(int(m.group(1), 16)), name[len(prefix):]))
     return out
@@ -79,7 +87,7 @@ def incremental_since(mark: _dt.date | None, lookback_days: int = 0) -> _dt.date
 
 
 def read_guarded(spark: SparkSession, path: str, column: str, lower=None, upper=None,
-                 required: bool = True) -> DataFrame:
+                 required: bool = True, schema: T.StructType | None = None) -> DataFrame:
     """Read a partitioned table; refuse an unbounded read when `required`.
 
     Accepts the bounds used by the reports: `column >= lower` and optionally
@@ -87,7 +95,7 @@ def read_guarded(spark: SparkSession, path: str, column: str, lower=None, upper=
     """
     if required and lower is None and upper is None:
         raise PartitionFilterRequired(f"reading {path} requires a filter on {column}")
-    df = spark.read.parquet(path)
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     if lower is not None:
         df = df.where(F.col(column) >= F.lit(str(lower)).cast("date"))
     if upper is not None:
@@ -112,32 +120,65 @@ def materialize_incremental(spark: SparkSession, target: str, build: Callable[[_
     return {"mode": "incremental", "since": since}
 
 
-def touched_months(new_history: DataFrame, ts_col: str = "priced_at") -> DataFrame:
-    """Months (first day, DATE) that a batch of history rows falls into.
+def touched_months(new_history: DataFrame, ts_col: str = "priced_at") -> list[_dt.date]:
+    """Months (first days) that a batch of history rows falls into: at most 12 per year of data."""
+    month = F.trunc(F.to_date(F.col(ts_col)), "MM").alias("month")
+    return sorted(r["month"] for r in new_history.select(month).distinct().collect() if r["month"] is not None)
 
-    At most 12 per year of data: calendar-bounded, safe to broadcast.
-    """
-    return new_history.select(F.trunc(F.to_date(F.col(ts_col)), "MM").alias("month")).distinct()
 
+def in_months(months: Sequence[_dt.date], ts_col: str) -> Column:
+    """Literal bounds on a timestamp, one range per run of consecutive months; they reach the scan."""
+    def after(m: _dt.date) -> _dt.date:
+        return _dt.date(m.year + m.month // 12, m.month % 12 + 1, 1)
 
-def materialize_monthly(spark: SparkSession, target: str, stg_history: DataFrame, new_history: DataFrame | None,
+    runs: list[list[_dt.date]] = []
+    for m in sorted(months):
+        if runs and runs[-1][1] == m:
+            runs[-1][1] = after(m)
+        else:
+            runs.append([m, after(m)])
+    out = F.lit(False)
+    for lo, hi in runs:
+        out = out | ((F.col(ts_col) >= F.lit(str(lo)).cast("timestamp")) & (F.col(ts_col) < F.lit(str(hi)).cast("timestamp")))
+    return out
+
+
+def materialize_monthly(spark: SparkSession, target: str, history_raw: DataFrame, new_history: DataFrame | None,
                         cluster_by: Sequence[str] = ("item_name",)) -> dict:
-    """The daily history model, partitioned by month.
+    """The daily history model, partitioned by month, from the raw history.
 
-    Full refresh on the first run; afterwards every month touched by `new_history`
-    is recomputed from the whole (deduplicated) history and replaces its partition.
+    `new_history` None (or no target yet): a full refresh, which replaces the whole table. Otherwise the
+    (item, day) keys of `new_history` (staged rows of the new load) are recomputed from the raw points of their
+    months, merged with the target's other rows of those months, and these partitions are replaced.
     """
-    from bazaar.plans.models import int_item_price_history_daily
+    from bazaar.plans.models import int_item_price_history_daily, stg_item_price_history
     exists = table_mark(spark, target, "price_month") is not None
     if not exists or new_history is None:
-        out = int_item_price_history_daily(stg_history)
-        mode = "full"
-    else:
-        out = int_item_price_history_daily(stg_history, months=touched_months(new_history))
-        mode = "incremental"
-    out = out.withColumn("price_month", F.trunc("price_date", "MM"))
-    write_table(out, target, ["price_month"], cluster_by, mode="overwrite", dynamic=exists)
-    return {"mode": mode}
+        out = int_item_price_history_daily(stg_item_price_history(history_raw))
+        out = out.withColumn("price_month", F.trunc("price_date", "MM"))
+        write_table(out, target, ["price_month"], cluster_by, mode="overwrite", dynamic=False)
+        return {"mode": "full", "months": None}
+    months = touched_months(new_history)
+    if not months:
+        return {"mode": "incremental", "months": []}
+    keys = new_history.select(F.col("item_name").alias("__item"), F.to_date("priced_at").alias("__day")).distinct()
+    keys = materialize(keys, "touched-keys")
+
+    def is_key(item: str, day: Column) -> Column:
+        return F.col(item).eqNullSafe(F.col("__item")) & (day == F.col("__day"))
+
+    # the bound is on the raw column and below the deduplication, whose key (item, instant) lies within a month
+    points = history_raw.where(in_months(months, "date"))
+    points = points.join(keys, is_key("market_hash_name", F.to_date("date")), "left_semi")
+    fresh = int_item_price_history_daily(stg_item_price_history(points))
+    fresh = fresh.withColumn("price_month", F.trunc("price_date", "MM"))
+    old = spark.read.schema(fresh.schema).parquet(target).where(
+        F.col("price_month").isin([F.lit(str(m)).cast("date") for m in months]))
+    old = old.join(keys, is_key("item_name", F.col("price_date")), "left_anti")
+    # written aside first: the partitions that are read are the ones to be replaced
+    merged = materialize(old.unionByName(fresh), "merged-months")
+    write_table(merged, target, ["price_month"], cluster_by, mode="overwrite", dynamic=True)
+    return {"mode": "incremental", "months": months}
 
 
 # --- per-key extraction state ---------------------------------------------------------
@@ -147,9 +188,9 @@ def with_load_id(schema: T.StructType, part_col: str = "load_id") -> T.StructTyp
 
 
 def read_loads(spark: SparkSession, path: str, schema: T.StructType, part_col: str = "load_id") -> DataFrame:
-    """Read a table partitioned by load id; the id stays text (no type inference), so
-    fixed-width ids keep their order."""
-    return spark.read.schema(with_load_id(schema, part_col)).parquet(path)
+    """Read a table partitioned by load id (and maybe more); the id stays text (no type
+    inference), so fixed-width ids keep their order."""
+    return spark.read.schema(with_load_id(schema, part_col)).parquet(path).select(*schema.fieldNames(), part_col)
 
 
 def state_from_data(history: DataFrame, key: str = "market_hash_name", ts_col: str = "date",
@@ -159,18 +200,43 @@ def state_from_data(history: DataFrame, key: str = "market_hash_name", ts_col: s
     return history.groupBy(F.col(key)).agg((newest if grain == "hour" else F.to_date(newest)).alias("last_seen"))
 
 
-def commit_state(state: DataFrame, state_root: str, load_id: str) -> str:
-    """Write the state of one load after its data; the folder name is the load id."""
-    out = f"{state_root.rstrip('/')}/load_id={load_id}"
+#: Committed states that stay; older ones are dropped after a commit.
+KEEP_STATES = 3
+
+
+def commit_state(state: DataFrame, state_root: str, load_id: str, part_col: str = "load_id",
+                 keep: int = KEEP_STATES) -> str:
+    """Write the state of one load after its data, as a job of its own: its folder, named by the load, is complete
+    once it holds `_SUCCESS`. Then drop all but the newest `keep` states (of ids up to this load's)."""
+    spark = state.sparkSession
+    root = state_root.rstrip("/")
+    out = f"{root}/{part_col}={load_id}"
     state.write.mode("overwrite").parquet(out)
+    done = partition_values(spark, root, part_col, complete=True)
+    older = sorted((v for v in done if _order(v) <= _order(load_id)), key=_order)[:-keep]
+    jvm = spark.sparkContext._jvm
+    for v in older:
+        p = jvm.org.apache.hadoop.fs.Path(f"{root}/{part_col}={v}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
     return out
 
 
+def _order(load_id) -> tuple:
+    """Numbers (batch ids) by value, other ids as text."""
+    v = str(load_id)
+    return (0, int(v), "") if v.isdigit() and str(int(v)) == v else (1, 0, v)
+
+
+def state_at(spark: SparkSession, state_root: str, load_id: str, grain: str, part_col: str = "load_id") -> DataFrame:
+    return spark.read.schema(schemas.state_schema(grain)).parquet(f"{state_root.rstrip('/')}/{part_col}={load_id}")
+
+
 def read_state(spark: SparkSession, state_root: str, data: DataFrame | None = None,
                before_load_id: str | None = None, key: str = "market_hash_name",
                grain: str = "day", data_path: str | None = None) -> DataFrame | None:
     """The per-key marks a load must start from: the newest state committed by an
-    *earlier* load (so a replayed load sees exactly what its first run saw).
+    *earlier* load (so a replayed load sees exactly what its first run saw). A folder
+    whose job did not end does not count.
 
     If the data holds a newer earlier load than the newest state (a crash between
     the data write and the state write), the marks are derived from that data.
@@ -183,7 +249,7 @@ def read_state(spark: SparkSession, state_root: str, data: DataFrame | None = No
     prior = None
     if data is not None:
         prior = data if before_load_id is None else data.where(F.col("load_id") < F.lit(before_load_id))
-    state_ids = earlier(partition_values(spark, state_root, "load_id"))
+    state_ids = earlier(partition_values(spark, state_root, "load_id", complete=True))
     latest = max(state_ids) if state_ids else None
     if data_path is not None:
         data_ids = earlier(partition_values(spark, data_path, "load_id"))
@@ -191,8 +257,7 @@ def read_state(spark: SparkSession, state_root: str, data: DataFrame | None = No
     else:
         data_latest = prior.agg(F.max("load_id")).first()[0] if prior is not None else None
     if latest is not None and (data_latest is None or latest >= data_latest):
-        st = read_loads(spark, state_root, schemas.state_schema(grain))
-        return st.where(F.col("load_id") == F.lit(latest)).drop("load_id")
+        return state_at(spark, state_root, latest, grain)
     if data_latest is not None and prior is not None:
         return state_from_data(prior, key, grain=grain)
     return None

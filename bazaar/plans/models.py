@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from bazaar.functions import scalar as fx
 from bazaar.operators.dedup import keep_first, keep_top_ties
-from bazaar.schemas import MONEY, WORK
+from bazaar.schemas import MONEY
 
 EPOCH = _dt.date(1970, 1, 1)
 REPORT_FLOOR = _dt.date(2000, 1, 1)   # full-refresh floor of the reports
@@ -46,14 +46,16 @@ def stg_items_projected(items_raw: DataFrame) -> DataFrame:
     )
 
 
-# Tie-break after (load desc, ask_count desc): the row id carries line number and
-# supplier, then price and bid; rows equal on all of these are equal on every column.
-STG_ITEMS_ORDER = ["_dlt_load_id", "ask_count", "_dlt_id", "ask_price_cents", "bid_price_usd"]
+# After (load desc, ask_count desc) the content decides, and the row id last: of two records of
+# one item in one load the same one is kept, whatever the order they arrive in.
+STG_ITEMS_ORDER = ["_dlt_load_id", "ask_count", "ask_price_cents", "bid_price_usd", "class_id", "bucket_group_id",
+                   "bucket_group_name", "item_type", "name_color", "is_tradable", "is_commodity", "_dlt_id"]
 
 
 def stg_items(items_raw: DataFrame) -> DataFrame:
-    """One row per (item_name, snapshot_date): newest load, then most asks."""
-    return keep_first(stg_items_projected(items_raw), ["item_name", "snapshot_date"], STG_ITEMS_ORDER, tiebreak=None)
+    """One row per (item_name, snapshot_date): newest load, then most asks, then a total order."""
+    return keep_first(stg_items_projected(items_raw), ["item_name", "snapshot_date"], STG_ITEMS_ORDER,
+                      tiebreak="rest")
 
 
 def stg_item_price_history_projected(history_raw: DataFrame) -> DataFrame:
@@ -90,24 +92,18 @@ def daily_history_agg(stg_history: DataFrame) -> DataFrame:
             .agg(F.sum("units_sold").alias("units_sold"),
                  fx.money(F.sum(fx.money_product("units_sold", "median_sale_price_usd")))
                  .alias("total_estimated_trade_volume_usd"),
-                 fx.money(F.avg(F.col("median_sale_price_usd").cast(WORK))).alias("avg_median_sale_price_usd")))
+                 fx.money(F.avg(F.col("median_sale_price_usd"))).alias("avg_median_sale_price_usd")))
 
 
-def int_item_price_history_daily(stg_history: DataFrame, since: _dt.date | None = None,
-                                 months: DataFrame | None = None) -> DataFrame:
+def int_item_price_history_daily(stg_history: DataFrame, since: _dt.date | None = None) -> DataFrame:
     """Daily aggregate of the price history.
 
-    `since`: the warehouse's incremental bound (date(priced_at) >= since).
-    `months`: one-column frame `month` (DATE, first of month) of months to recompute in
-    full; this is the bound the incremental writer uses (see README, D1/D11).
+    `since`: the warehouse's incremental bound (date(priced_at) >= since). The incremental writer bounds the
+    raw history by months and keys instead (`bazaar.plans.incremental`; README, D1/D11).
     """
     h = stg_history
     if since is not None:
         h = h.where(fx.ts_to_date("priced_at") >= fx.as_date(since))
-    if months is not None:
-        # months: calendar-bounded (12 per year), always a tiny broadcast side
-        h = h.join(F.broadcast(months.select(F.col("month").alias("__m"))),
-                   F.trunc(fx.ts_to_date("priced_at"), "MM") == F.col("__m"), "left_semi")
     return daily_history_agg(h)
 
 

@@ -39,7 +39,7 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
 SELECT
   concat('ITEM-', cast(l_partkey AS VARCHAR)) AS market_hash_name,
   cast(l_shipdate AS TIMESTAMP) AS date,
-  cast(l_extendedprice AS DECIMAL(18,9)) AS price,
+  cast(l_extendedprice AS DECIMAL(38,9)) AS price,
   cast(l_quantity AS BIGINT) AS volume,
   lpad(cast(l_orderkey AS VARCHAR), 12, '0') AS _dlt_load_id,
   concat_ws('-', lpad(cast(l_orderkey AS VARCHAR), 12, '0'), lpad(cast(l_linenumber AS VARCHAR), 4, '0'),
@@ -61,7 +61,7 @@ SELECT
   cast(asset_description__commodity AS BOOLEAN) AS is_commodity,
   try_cast(sell_listings AS BIGINT) AS ask_count,
   try_cast(sell_price AS BIGINT) AS ask_price_cents,
-  cast(try_cast(sell_price AS DECIMAL(18,9)) / 100 AS DECIMAL(38,9)) AS ask_price_usd,
+  cast(try_cast(sell_price AS DECIMAL(29,9)) / 100 AS DECIMAL(38,9)) AS ask_price_usd,
   try_cast(regexp_replace(sale_price_text, '[^0-9.]', '', 'g') AS DECIMAL(38,9)) AS bid_price_usd,
   try_cast(snapshot_timestamp AS DATE) AS snapshot_date,
   cast(_dlt_id AS VARCHAR) AS _dlt_id,
@@ -70,8 +70,10 @@ FROM items_raw""",
     "stg_items": """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY item_name, snapshot_date
-    ORDER BY _dlt_load_id DESC NULLS LAST, ask_count DESC NULLS LAST, _dlt_id DESC NULLS LAST,
-             ask_price_cents DESC NULLS LAST, bid_price_usd DESC NULLS LAST) AS rn
+    ORDER BY _dlt_load_id DESC NULLS LAST, ask_count DESC NULLS LAST, ask_price_cents DESC NULLS LAST,
+             bid_price_usd DESC NULLS LAST, class_id DESC NULLS LAST, bucket_group_id DESC NULLS LAST,
+             bucket_group_name DESC NULLS LAST, item_type DESC NULLS LAST, name_color DESC NULLS LAST,
+             is_tradable DESC NULLS LAST, is_commodity DESC NULLS LAST, _dlt_id DESC NULLS LAST) AS rn
   FROM stg_items_projected) WHERE rn = 1""",
     "stg_item_price_history_projected": """
 SELECT
@@ -93,9 +95,9 @@ SELECT
   item_name,
   cast(priced_at AS DATE) AS price_date,
   cast(sum(units_sold) AS BIGINT) AS units_sold,
-  cast(sum(cast(units_sold AS DECIMAL(18,0)) * cast(median_sale_price_usd AS DECIMAL(18,9))) AS DECIMAL(38,9))
+  cast(sum(cast(units_sold AS DECIMAL(13,0)) * cast(median_sale_price_usd AS DECIMAL(24,9))) AS DECIMAL(38,9))
     AS total_estimated_trade_volume_usd,
-  cast(avg(cast(median_sale_price_usd AS DECIMAL(18,9))) AS DECIMAL(38,9)) AS avg_median_sale_price_usd
+  cast(avg(median_sale_price_usd) AS DECIMAL(38,9)) AS avg_median_sale_price_usd
 FROM stg_item_price_history
 GROUP BY 1, 2""",
     "dim_item": """
@@ -119,10 +121,10 @@ SELECT
   cast(coalesce(h.units_sold, 0) AS BIGINT) AS units_sold,
   cast(coalesce(h.total_estimated_trade_volume_usd, 0) AS DECIMAL(38,9)) AS total_estimated_trade_volume_usd,
   h.avg_median_sale_price_usd,
-  cast((cast(s.ask_price_usd AS DECIMAL(18,9)) - cast(s.bid_price_usd AS DECIMAL(18,9)))
-       / nullif(cast(s.bid_price_usd AS DECIMAL(18,9)), 0) AS DECIMAL(38,9)) AS bid_ask_spread_pct,
+  cast((cast(s.ask_price_usd AS DECIMAL(24,9)) - cast(s.bid_price_usd AS DECIMAL(24,9)))
+       / nullif(cast(s.bid_price_usd AS DECIMAL(24,9)), 0) AS DECIMAL(38,9)) AS bid_ask_spread_pct,
   cast(coalesce(h.units_sold, 0) AS BIGINT) / nullif(s.ask_count, 0) AS turnover_rate,
-  cast(cast(s.bid_price_usd AS DECIMAL(18,9)) / nullif(cast(s.ask_price_usd AS DECIMAL(18,9)), 0)
+  cast(cast(s.bid_price_usd AS DECIMAL(24,9)) / nullif(cast(s.ask_price_usd AS DECIMAL(24,9)), 0)
        AS DECIMAL(38,9)) AS bid_ask_ratio,
   s.snapshot_date AS market_date
 FROM stg_items s

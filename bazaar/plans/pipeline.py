@@ -20,6 +20,7 @@ from bazaar.operators import ingest as ig
 from bazaar.operators import quality as qa
 from bazaar.plans import incremental as inc
 from bazaar.plans import models as m
+from bazaar.session import materialize
 from bazaar.sources import raw as src
 from bazaar.sources.sinks import export_parquet, write_table
 
@@ -36,26 +37,19 @@ class Warehouse:
 
 # --- extract / load -------------------------------------------------------------------
 
-# Fixed value: the listing API returns results in name order, 10 per page.
-PAGE_SIZE = 10
-
-
 def load_items(listing_pages: DataFrame, run_ts: _dt.datetime, load_id: str, body: str = "body",
-               dev_page_limit: int | None = None, page_size: int = PAGE_SIZE) -> DataFrame:
+               dev_page_limit: int | None = None) -> DataFrame:
     """API result pages -> items_raw rows (stamped, pruned, flattened, keyed).
 
-    `dev_page_limit` keeps only the first pages of the name-ordered listing, i.e. the
-    `pages x page_size` name-first records (a top-k: the limit is the feature); ties
-    on the name are broken by every other column so the cut is deterministic.
+    Every listing record is loaded, also one without an item name: the not_null tests are there to show it.
+    `_dlt_id` is unique: it hashes the load, the page and the record's position in the page.
+    `dev_page_limit` takes the pages numbered 1 to the limit, before any is parsed.
     """
-    recs = ig.parse_results_pages(listing_pages, body)
-    recs = ig.prune_redundant(ig.stamp_snapshot(recs, run_ts))
-    flat = ig.flatten_struct(recs)
-    flat = ig.guard_missing_key(flat, "asset_description__market_hash_name")
     if dev_page_limit is not None:
-        key = "asset_description__market_hash_name"
-        flat = flat.orderBy(key, *[c for c in flat.columns if c != key]).limit(int(dev_page_limit) * page_size)
-    flat = ig.add_load_metadata(flat, load_id, ["asset_description__market_hash_name"])
+        listing_pages = ig.first_pages(listing_pages, dev_page_limit)
+    recs = ig.parse_results_pages(listing_pages, body, place=("__page", "__pos"))
+    flat = ig.flatten_struct(ig.prune_redundant(ig.stamp_snapshot(recs, run_ts)))
+    flat = ig.add_load_metadata(flat, load_id, ["__page", "__pos"])
     return src.conform(flat, schemas.ITEMS_RAW, "items_raw")
 
 
@@ -66,27 +60,44 @@ def load_history(history_pages: DataFrame, state: DataFrame | None, load_id: str
     return ex
 
 
+def _replace_load(df: DataFrame, path: str, load_id: str, day: str | None = None, by: str = "day",
+                  cluster_by: tuple[str, ...] = ()) -> None:
+    """Write one load's rows, replacing what an earlier attempt of the same load left.
+
+    Raw tables are partitioned by load and by the day or month of a timestamp, and clustered by item.
+    """
+    out, parts = df.withColumn("load_id", F.lit(load_id)), ["load_id"]
+    if day is not None:
+        value = F.to_date(day) if by == "day" else F.trunc(F.to_date(day), "MM")
+        out, parts = out.withColumn(f"_{by}", value), ["load_id", f"_{by}"]
+    write_table(out, path, parts, cluster_by, mode="overwrite", dynamic=True)
+
+
 def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, history_pages: DataFrame,
-               run_ts: _dt.datetime, load_id: str, grain: str = "day", max_failed_pages: int | None = None) -> dict:
-    """One batch: both raw tables are appended (partitioned by load id, so a replay of
-    the same load replaces its own output), then the per-item state is committed."""
-    items = load_items(listing_pages, run_ts, load_id)
-    (items.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(wh.path("items_raw")))
+               run_ts: _dt.datetime, load_id: str, grain: str = "day", max_failed_pages: int | None = 0,
+               dev_page_limit: int | None = None) -> dict:
+    """One batch into two sinks: the listing records, and the price history of the fetched pages. Both raw
+    tables are appended (by load id, so a replay of the same load replaces its own output), then the
+    per-item state is committed. More than `max_failed_pages` failed pages stop the run here (None: never)."""
+    items = load_items(listing_pages, run_ts, load_id, dev_page_limit=dev_page_limit)
+    _replace_load(items, wh.path("items_raw"), load_id, "snapshot_timestamp",
+                  cluster_by=("asset_description__market_hash_name",))
+    if dev_page_limit is not None:  # the history of the listed items only
+        listed = inc.read_loads(spark, wh.path("items_raw"), schemas.ITEMS_RAW).where(F.col("load_id") == load_id)
+        names = listed.select(F.col("asset_description__market_hash_name").alias("market_hash_name")).distinct()
+        history_pages = history_pages.join(names, "market_hash_name", "left_semi")
     hist_path = wh.path("item_price_history_raw")
     prior = inc.read_loads(spark, hist_path, schemas.ITEM_PRICE_HISTORY_RAW) if inc.path_exists(spark, hist_path) \
         else None
     state = inc.read_state(spark, wh.path("_state"), prior, before_load_id=load_id, grain=grain,
                            data_path=hist_path)
     ex = load_history(history_pages, state, load_id, grain)
-    (ex.records.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(hist_path))
+    _replace_load(ex.records, hist_path, load_id, "date", by="month", cluster_by=("market_hash_name", "date"))
     written = inc.read_loads(spark, hist_path, schemas.ITEM_PRICE_HISTORY_RAW).where(F.col("load_id") == load_id)
     mark_type = schemas.state_schema(grain)["last_seen"].dataType
     inc.commit_state(ig.advance_state(state, written, as_type=mark_type), wh.path("_state"), load_id)
     # failed pages go to an errors table (replay-safe, partitioned by load)
-    (ex.errors.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(wh.path("_errors")))
+    _replace_load(ex.errors, wh.path("_errors"), load_id)
     errors = spark.read.schema("market_hash_name string, reason string, load_id string").parquet(
         wh.path("_errors")).where(F.col("load_id") == load_id)
     # one row per outcome class: bounded, safe to bring to the driver for the gate
@@ -100,24 +111,24 @@ def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, his
 # --- transform ------------------------------------------------------------------------
 
 def run_models(spark: SparkSession, wh: Warehouse, items_raw: DataFrame, history_raw: DataFrame,
-               new_history: DataFrame | None = None, lookback_days: int = 0, load_id: str | None = None) -> dict:
+               new_history: DataFrame | None = None, lookback_days: int = 0, load_id: str | None = None,
+               new_items: DataFrame | None = None) -> dict:
     """Build every model from the raw tables; incremental where the target exists.
 
-    Listing rows without a snapshot date are quarantined (written aside per load) and
-    kept out of the fact, so full and incremental runs agree (SURVEY D8).
+    `new_history` (staged) and `new_items` (raw) are the rows of this load; without them everything counts
+    as new. `lookback_days` widens the fact and, with it, the reports. Listing rows without a snapshot date
+    are quarantined, each in the load that brought it, and kept out of the fact, so full and incremental runs
+    agree (SURVEY D8).
     """
-    stg_all = m.stg_items(items_raw)
-    bad = stg_all.where(F.col("snapshot_date").isNull())
-    (bad.withColumn("load_id", F.lit(load_id or "full")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(wh.path("_quarantine/stg_items")))
-    stg = stg_all.where(F.col("snapshot_date").isNotNull())
-    hist = m.stg_item_price_history(history_raw)
-    info = {"int_item_price_history_daily": inc.materialize_monthly(
-        spark, wh.path("int_item_price_history_daily"), hist, new_history)}
+    brought = m.stg_items_projected(items_raw if new_items is None else new_items)
+    _replace_load(brought.where(F.col("snapshot_date").isNull()), wh.path("_quarantine/stg_items"), load_id or "full")
+    stg = m.stg_items(items_raw).where(F.col("snapshot_date").isNotNull())
     daily_path = wh.path("int_item_price_history_daily")
+    info = {"int_item_price_history_daily": inc.materialize_monthly(spark, daily_path, history_raw, new_history)}
+    daily_schema = m.int_item_price_history_daily(m.stg_item_price_history(history_raw)).schema.add("price_month", "date")
 
     def daily(since):
-        d = spark.read.parquet(daily_path)
+        d = spark.read.schema(daily_schema).parquet(daily_path)
         if since is not None:
             d = d.where(F.col("price_month") >= F.trunc(F.lit(str(since)).cast("date"), "MM"))
             d = d.where(F.col("price_date") >= F.lit(str(since)).cast("date"))
@@ -127,28 +138,39 @@ def run_models(spark: SparkSession, wh: Warehouse, items_raw: DataFrame, history
         spark, wh.path("fct_market_daily"), lambda since: m.fct_market_daily(stg, daily(since), since),
         "market_date", cluster_by=["item_name"], lookback_days=lookback_days)
     fct_path = wh.path("fct_market_daily")
+    fct_schema = m.fct_market_daily(stg, daily(None)).schema
 
     def fct_from(since):
-        return inc.read_guarded(spark, fct_path, "market_date", lower=since or m.REPORT_FLOOR)
+        return inc.read_guarded(spark, fct_path, "market_date", lower=since or m.REPORT_FLOOR, schema=fct_schema)
 
     info["rpt_market_metrics_daily"] = inc.materialize_incremental(
         spark, wh.path("rpt_market_metrics_daily"),
-        lambda since: m.rpt_market_metrics_daily(fct_from(since), since), "market_date")
+        lambda since: m.rpt_market_metrics_daily(fct_from(since), since), "market_date", lookback_days=lookback_days)
     info["rpt_commodity_velocity_daily"] = inc.materialize_incremental(
         spark, wh.path("rpt_commodity_velocity_daily"),
         lambda since: m.rpt_commodity_velocity_daily(fct_from(since), since), "market_date",
-        cluster_by=["is_commodity"])
+        cluster_by=["is_commodity"], lookback_days=lookback_days)
     write_table(m.rpt_item_metrics_latest(fct_from(None)), wh.path("rpt_item_metrics_latest"),
                 cluster_by=["item_name", "item_type", "bucket_group_name"], mode="overwrite", dynamic=False)
-    write_table(m.dim_item(stg), wh.path("dim_item"), mode="overwrite", dynamic=False)
+    dim_path = wh.path("dim_item")
+    if inc.path_exists(spark, dim_path) and new_items is not None:
+        fresh = m.stg_items(new_items).where(F.col("snapshot_date").isNotNull())
+        dim = m.dim_item_upsert(spark.read.parquet(dim_path), fresh, None)
+        write_table(materialize(dim, "dim-item"), dim_path, mode="overwrite", dynamic=False)
+    else:
+        write_table(m.dim_item(stg), dim_path, mode="overwrite", dynamic=False)
     return info
 
 
 def read_models(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
     out = {}
     for name in ("int_item_price_history_daily", "dim_item", "fct_market_daily") + REPORTS:
-        df = spark.read.parquet(wh.path(name))
-        out[name] = df.drop("price_month") if name == "int_item_price_history_daily" else df
+        if name == "int_item_price_history_daily":  # may hold no row, hence no file to read a schema from
+            declared = m.int_item_price_history_daily(m.stg_item_price_history(
+                spark.createDataFrame([], schemas.ITEM_PRICE_HISTORY_RAW))).schema
+            out[name] = spark.read.schema(declared).parquet(wh.path(name)).drop("price_month")
+        else:
+            out[name] = spark.read.parquet(wh.path(name))
     return out
 
 
@@ -161,25 +183,37 @@ def run_tests(spark: SparkSession, wh: Warehouse, as_of: _dt.date | None = None,
     return results
 
 
+#: The partition columns of the written reports.
+REPORT_PARTITIONS = {"rpt_market_metrics_daily": ("market_date",), "rpt_commodity_velocity_daily": ("market_date",)}
+
+
 def run_exports(spark: SparkSession, wh: Warehouse, export_root: str) -> dict[str, str]:
     """Post-build: each report -> `<export_root>/<name>/` after its contract check."""
     out = {}
     for name in REPORTS:
-        df = spark.read.parquet(wh.path(name)).select(*schemas.REPORT_CONTRACTS[name].fieldNames())
-        qa.check_contract(df, schemas.REPORT_CONTRACTS[name], name)
+        df = qa.check_contract(spark.read.parquet(wh.path(name)), schemas.REPORT_CONTRACTS[name], name,
+                               REPORT_PARTITIONS.get(name, ()))
         out[name] = export_parquet(df, export_root, name)
     return out
 
 
 def run_daily(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, history_pages: DataFrame,
               run_ts: _dt.datetime, load_id: str, export_root: str | None = None, grain: str = "day",
-              as_of: _dt.date | None = None, max_failed_pages: int | None = None) -> dict:
-    """Extract/load, gate, transform, test, export — one daily batch."""
-    ingest = run_ingest(spark, wh, listing_pages, history_pages, run_ts, load_id, grain, max_failed_pages)
-    items_raw = inc.read_loads(spark, wh.path("items_raw"), schemas.ITEMS_RAW).drop("load_id")
-    hist_all = inc.read_loads(spark, wh.path("item_price_history_raw"), schemas.ITEM_PRICE_HISTORY_RAW)
-    new_hist = m.stg_item_price_history_projected(hist_all.where(F.col("load_id") == load_id).drop("load_id"))
-    info = run_models(spark, wh, items_raw, hist_all.drop("load_id"), new_history=new_hist, load_id=load_id)
-    results = run_tests(spark, wh, as_of=as_of, gate=False)
+              as_of: _dt.date | None = None, max_failed_pages: int | None = 0, lookback_days: int = 0,
+              dev_page_limit: int | None = None, gate: bool = True) -> dict:
+    """Extract/load, gate, transform, test, export — one daily batch.
+
+    A failed page (404 is none) beyond `max_failed_pages` stops the run before the models, a failed data test
+    before the exports; None and `gate=False` let them pass.
+    """
+    ingest = run_ingest(spark, wh, listing_pages, history_pages, run_ts, load_id, grain, max_failed_pages,
+                        dev_page_limit)
+    items = inc.read_loads(spark, wh.path("items_raw"), schemas.ITEMS_RAW)
+    hist = inc.read_loads(spark, wh.path("item_price_history_raw"), schemas.ITEM_PRICE_HISTORY_RAW)
+    new_hist = m.stg_item_price_history_projected(hist.where(F.col("load_id") == load_id).drop("load_id"))
+    info = run_models(spark, wh, items.drop("load_id"), hist.drop("load_id"), new_history=new_hist, load_id=load_id,
+                      new_items=items.where(F.col("load_id") == load_id).drop("load_id"),
+                      lookback_days=lookback_days)
+    results = run_tests(spark, wh, as_of=as_of, gate=gate)
     exports = run_exports(spark, wh, export_root) if export_root else {}
     return {"ingest": ingest, "models": info, "tests": results, "exports": exports}

@@ -23,9 +23,9 @@ from bazaar.plans import dashboard as dash
 from bazaar.plans import incremental as inc
 from bazaar.plans import models as m
 from bazaar.plans.oracle import presented, with_models
-from bazaar.plans.registry import (K_DAILY, K_DIM, K_FCT, K_RPT_COMMODITY, K_RPT_LATEST, K_RPT_MARKET,
+from bazaar.plans.registry import (_GROUP_MEASURES, _LABEL, BUCKET_ORACLE, K_DAILY, K_DIM, K_FCT, K_RPT_COMMODITY, K_RPT_LATEST, K_RPT_MARKET,
                                    K_STG_HISTORY, daily, fct, kinds, register, rpt_commodity, rpt_latest,
-                                   rpt_market, stg_history, stg_items)
+                                   rpt_market, stacked, stg_history, stg_items)
 from bazaar import schemas
 from bazaar.schemas import REPORT_CONTRACTS
 from bazaar.session import scratch_path
@@ -47,7 +47,7 @@ PAGE_CTES = {
     "part_size": "SELECT concat('ITEM-', cast(p_partkey AS VARCHAR)) AS item_name, p_size FROM part",
     "hist_points": """
 SELECT h.item_name AS market_hash_name, h.priced_at AS date,
-       cast(h.median_sale_price_usd AS DECIMAL(18,9)) AS price, h.units_sold AS volume, ps.p_size,
+       h.median_sale_price_usd AS price, h.units_sold AS volume, ps.p_size,
        cast(date_trunc('month', cast(h.priced_at AS DATE)) AS DATE) AS month,
        CASE ps.p_size WHEN 47 THEN 500 WHEN 48 THEN 403 WHEN 49 THEN 429 WHEN 50 THEN 404 ELSE 200 END AS status
 FROM stg_item_price_history h LEFT JOIN part_size ps ON h.item_name = ps.item_name""",
@@ -66,12 +66,24 @@ WHERE g.date > cast(coalesce(s.last_seen, DATE '1970-01-01') AS TIMESTAMP)""",
 }
 K_POINT = kinds("market_hash_name date price:n volume:i")
 
+# The archived page of an item and month, written out: points by date, then the damage of two part sizes.
+PAGE_CTES["hist_bodies"] = """
+SELECT market_hash_name, month, status, CASE p_size
+    WHEN 46 THEN 'var line1=[{' || substr(pts, 2) || '];'
+    WHEN 45 THEN 'var line1=[' || pts || ',["not a date","1","1"]];'
+    ELSE 'var line1=[' || pts || '];' END AS body
+FROM (SELECT market_hash_name, month, any_value(status) AS status, any_value(p_size) AS p_size,
+             string_agg('["' || strftime(date, '%b %d %Y') || ' 01: +0","' || cast(price AS VARCHAR) || '","'
+                        || cast(volume AS VARCHAR) || '"]', ',' ORDER BY date) AS pts
+      FROM hist_points GROUP BY 1, 2)"""
+
 
 def P(final: str, *ctes: str, uses: tuple = ()) -> str:
     """Oracle over the page CTEs (which sit on the staged history)."""
     order = list(PAGE_CTES)
     need = set(ctes)
     deps = {"hist_points": ["part_size"], "hist_pages": ["hist_points"], "good_points": ["hist_points"],
+            "hist_bodies": ["hist_points"],
             "new_points": ["good_points", "prev_state"]}
     stack = list(ctes)
     while stack:
@@ -88,17 +100,11 @@ def _pages(spark, d):
         fixtures.web_pages(spark, d).drop("month"))
 
 
-_written: dict[tuple, str] = {}
-
-
-def _once(spark: SparkSession, d: str, name: str, writer) -> str:
-    """Write a derived table once per session and data folder; return its path."""
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _written:
-        path = scratch_path(spark, name)
-        writer(path)
-        _written[key] = path
-    return _written[key]
+def _fresh(spark: SparkSession, name: str, writer) -> str:
+    """A folder of its own under the shared checkpoint folder, written now."""
+    path = scratch_path(spark, name)
+    writer(path)
+    return path
 
 
 K_ITEMS_RAW = kinds("sell_listings:i sell_price:i sell_price_text sale_price_text snapshot_timestamp "
@@ -127,18 +133,21 @@ def q_scan_items_pages(spark, d):
                     "sell_price", "sell_price_text", "sale_price_text")
 
 
-@register("scan_history_pages", P(
-    "SELECT market_hash_name, cast(status AS BIGINT) AS status FROM hist_pages UNION ALL "
-    "SELECT concat('PAGE-', cast(page_id AS VARCHAR)), cast(200 AS BIGINT) FROM pages", "hist_pages"))
+_ALL_BODIES = """
+SELECT market_hash_name, cast(status AS BIGINT) AS status, body FROM hist_bodies UNION ALL
+SELECT concat('PAGE-', cast(page_id AS VARCHAR)), cast(200 AS BIGINT), html FROM pages"""
+
+
+@register("scan_history_pages", P(_ALL_BODIES, "hist_bodies"))
 def q_scan_history_pages(spark, d):
     """Fetched listing pages (key, status, body) from the archive."""
-    return _pages(spark, d).select("market_hash_name", "status")
+    return _pages(spark, d).select("market_hash_name", "status", "body")
 
 
 @register("source_raw_tables", M(presented(K_ITEMS_RAW, "items_raw"), "items_raw"))
 def q_source_raw_tables(spark, d):
     """Declared source read: explicit schema, fails on a missing column."""
-    path = _once(spark, d, "items_raw_src", lambda p: fixtures.items_raw(spark, d).write.parquet(p))
+    path = _fresh(spark, "items_raw_src", lambda p: fixtures.items_raw(spark, d).write.parquet(p))
     from bazaar.sources.raw import read_items_raw
     return read_items_raw(spark, path)
 
@@ -151,20 +160,19 @@ def q_sink_append(spark, d):
         before = F.col("snapshot_timestamp") < F.lit(str(SPLIT_DAY)).cast("timestamp")
         write_append(layout(raw.where(before), ["snapshot_month"]), p, ["snapshot_month"])
         write_append(layout(raw.where(~before), ["snapshot_month"]), p, ["snapshot_month"])
-    path = _once(spark, d, "sink_append", write)
+    path = _fresh(spark, "sink_append", write)
     return spark.read.parquet(path).drop("snapshot_month")
 
 
-@register("sink_partition_cluster", M(
-    presented(K_FCT, "fct_market_daily") + " WHERE market_date >= DATE '2000-01-01'", "fct_market_daily"))
+@register("sink_partition_cluster", M(presented(K_FCT, "fct_market_daily"), "fct_market_daily"))
 def q_sink_partition_cluster(spark, d):
     """Fact written partitioned by day and clustered by item; a bounded read prunes partitions."""
     path = _fct_table(spark, d)
-    return inc.read_guarded(spark, path, "market_date", lower=m.REPORT_FLOOR).select(*m.FCT_COLUMNS)
+    return inc.read_guarded(spark, path, "market_date", lower=inc.EPOCH).select(*m.FCT_COLUMNS)
 
 
 def _fct_table(spark, d):
-    return _once(spark, d, "fct_market_daily", lambda p: write_table(
+    return _fresh(spark, "fct_market_daily", lambda p: write_table(
         fct(spark, d), p, ["market_date"], ["item_name"], mode="overwrite", dynamic=False))
 
 
@@ -182,9 +190,9 @@ def q_mat_ephemeral(spark, d):
     return spark.sql("""
         WITH int_item_price_history_daily AS (
           SELECT item_name, to_date(priced_at) AS price_date, sum(units_sold) AS units_sold,
-                 cast(sum(cast(units_sold AS decimal(18,0)) * cast(median_sale_price_usd AS decimal(18,9)))
+                 cast(sum(cast(units_sold AS decimal(13,0)) * cast(median_sale_price_usd AS decimal(24,9)))
                       AS decimal(38,9)) AS total_estimated_trade_volume_usd,
-                 cast(avg(cast(median_sale_price_usd AS decimal(18,9))) AS decimal(38,9)) AS avg_median_sale_price_usd
+                 cast(avg(median_sale_price_usd) AS decimal(38,9)) AS avg_median_sale_price_usd
           FROM stg_item_price_history_e GROUP BY 1, 2)
         SELECT * FROM int_item_price_history_daily""")
 
@@ -192,7 +200,7 @@ def q_mat_ephemeral(spark, d):
 @register("mat_table", M(presented(K_RPT_LATEST, "rpt_item_metrics_latest"), "rpt_item_metrics_latest"))
 def q_mat_table(spark, d):
     """Full rebuild of a table (overwrite), clustered by item, type and bucket."""
-    path = _once(spark, d, "rpt_item_metrics_latest", lambda p: write_table(
+    path = _fresh(spark, "rpt_item_metrics_latest", lambda p: write_table(
         rpt_latest(spark, d), p, cluster_by=["item_name", "item_type", "bucket_group_name"], dynamic=False))
     return spark.read.parquet(path)
 
@@ -200,23 +208,22 @@ def q_mat_table(spark, d):
 @register("mat_incremental_overwrite", M(presented(K_DAILY, "int_item_price_history_daily"),
                                          "int_item_price_history_daily"))
 def q_mat_incremental_overwrite(spark, d):
-    """Month-partitioned daily history built in two loads; the second recomputes every
-    month it touches. The result equals a full refresh."""
+    """Month-partitioned daily history built in two loads; the second recomputes the days it
+    touches and merges them into their months. The result equals a full refresh."""
     def write(p):
         hist_raw = fixtures.item_price_history_raw(spark, d)
         cut = F.col("date") < F.lit(str(SPLIT_DAY)).cast("timestamp")
-        first = m.stg_item_price_history(hist_raw.where(cut))
-        inc.materialize_monthly(spark, p, first, None)
+        inc.materialize_monthly(spark, p, hist_raw.where(cut), None)
         new = m.stg_item_price_history_projected(hist_raw.where(~cut))
-        inc.materialize_monthly(spark, p, m.stg_item_price_history(hist_raw), new)
-    path = _once(spark, d, "int_incremental", write)
+        inc.materialize_monthly(spark, p, hist_raw, new)
+    path = _fresh(spark, "int_incremental", write)
     return spark.read.parquet(path).drop("price_month")
 
 
 @register("export_parquet", M(presented(K_RPT_MARKET, "rpt_market_metrics_daily"), "rpt_market_metrics_daily"))
 def q_export_parquet(spark, d):
     """Report exported as Parquet (overwrite), read back."""
-    root = _once(spark, d, "exports", lambda p: export_parquet(rpt_market(spark, d), p, "rpt_market_metrics_daily"))
+    root = _fresh(spark, "exports", lambda p: export_parquet(rpt_market(spark, d), p, "rpt_market_metrics_daily"))
     return read_export(spark, f"{root}/rpt_market_metrics_daily")
 
 
@@ -227,14 +234,14 @@ def q_merge_parquet_shards(spark, d):
     def write(p):
         export_parquet(rpt_commodity(spark, d).repartition(4), p, "rpt_commodity_velocity_daily")
         merge_parquet_shards(spark, f"{p}/rpt_commodity_velocity_daily", f"{p}/merged")
-    root = _once(spark, d, "merge", write)
+    root = _fresh(spark, "merge", write)
     return spark.read.parquet(f"{root}/merged")
 
 
 @register("guard_empty_export", M(presented(K_RPT_LATEST, "rpt_item_metrics_latest"), "rpt_item_metrics_latest"))
 def q_guard_empty_export(spark, d):
     """An export is read only when shards exist (an empty folder raises)."""
-    root = _once(spark, d, "exports_latest", lambda p: export_parquet(rpt_latest(spark, d), p,
+    root = _fresh(spark, "exports_latest", lambda p: export_parquet(rpt_latest(spark, d), p,
                                                                       "rpt_item_metrics_latest"))
     guard_nonempty_export(spark, f"{root}/rpt_item_metrics_latest")
     return read_export(spark, f"{root}/rpt_item_metrics_latest")
@@ -248,44 +255,44 @@ def q_require_partition_filter(spark, d):
         *m.FCT_COLUMNS)
 
 
-_DEV_COLS = ("sell_listings, sell_price, sell_price_text, sale_price_text, "
-             "TIMESTAMP '2026-01-01 06:00:00' AS snapshot_timestamp, asset_description__classid, "
-             "asset_description__background_color, asset_description__tradable, asset_description__name_color, "
-             "asset_description__type, asset_description__market_hash_name, asset_description__commodity, "
-             "asset_description__market_bucket_group_name, asset_description__market_bucket_group_id, "
-             "'000000000001' AS _dlt_load_id, sha256(concat_ws(chr(1), '000000000001', "
-             "coalesce(asset_description__market_hash_name, ''))) AS _dlt_id")
-_DEV_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in [
-    "asset_description__market_hash_name", "sell_listings", "sell_price", "sell_price_text", "sale_price_text",
-    "asset_description__classid", "asset_description__background_color", "asset_description__tradable",
-    "asset_description__name_color", "asset_description__type", "asset_description__commodity",
-    "asset_description__market_bucket_group_name", "asset_description__market_bucket_group_id"])
+_PLACED = """
+SELECT *, cast(_dlt_load_id AS BIGINT) + 1 AS page_no, row_number() OVER (PARTITION BY _dlt_load_id ORDER BY
+    _dlt_id, asset_description__market_hash_name, sell_listings, sell_price, sell_price_text, sale_price_text,
+    asset_description__classid, asset_description__tradable, asset_description__name_color,
+    asset_description__type, asset_description__commodity, asset_description__market_bucket_group_name) - 1 AS pos
+FROM items_raw"""
+_PLACE_ID = "sha256(concat_ws(chr(1), '000000000001', cast(page_no AS VARCHAR), cast(pos AS VARCHAR)))"
+_DEV_SQL = f"""
+SELECT * EXCLUDE (page_no, pos) REPLACE (TIMESTAMP '2026-01-01 06:00:00' AS snapshot_timestamp,
+                                         '000000000001' AS _dlt_load_id, {_PLACE_ID} AS _dlt_id)
+FROM placed WHERE page_no <= 10"""
 
 
-@register("limit_pages_dev", M(f"SELECT {_DEV_COLS} FROM items_raw WHERE coalesce(asset_description__market_hash_name, "
-                               f"'') <> '' ORDER BY {_DEV_ORDER} LIMIT 100", "items_raw"))
+@register("limit_pages_dev", M(_DEV_SQL, "items_raw", extra={"placed": _PLACED}))
 def q_limit_pages_dev(spark, d):
-    """Non-prod run: only the first 10 result pages (10 per page, name order) are loaded."""
+    """Non-prod run: only the listing pages numbered 1 to 10 are read and loaded."""
     from bazaar.plans.pipeline import load_items
     return load_items(fixtures.listing_pages(spark, d), RUN_TS, LOAD_ID, dev_page_limit=10)
 
 
-@register("fan_out_two_sinks", P(
-    "SELECT 'items_raw' AS sink, count(*) AS rows_written FROM items_raw UNION ALL "
-    "SELECT 'item_price_history_raw', count(*) FROM good_points", "good_points", uses=("items_raw",)))
+@register("fan_out_two_sinks", P("""
+SELECT 'items_raw' AS sink, asset_description__market_hash_name AS market_hash_name,
+       count(*) AS rows_written, sum(sell_price)::DOUBLE AS amount FROM items_raw GROUP BY 2 UNION ALL
+SELECT 'item_price_history_raw', market_hash_name, count(*), sum(price)::DOUBLE FROM good_points GROUP BY 2""",
+    "good_points", uses=("items_raw",)))
 def q_fan_out_two_sinks(spark, d):
-    """One listing source feeds the item table and the history extractor (persisted once)."""
-    records = _records(spark, d).select(F.col("asset_description.market_hash_name").alias("market_hash_name"))
-    records = records.persist()
-    try:
-        items_rows = records.count()
-        keys = records.select("market_hash_name").distinct()
-        pages = fixtures.history_pages(spark, d).drop("month").join(keys, "market_hash_name", "left_semi")
-        hist_rows = ig.extract_price_history(pages).records.count()
-    finally:
-        records.unpersist()
-    return spark.createDataFrame([("items_raw", items_rows), ("item_price_history_raw", hist_rows)],
-                                 "sink string, rows_written bigint")
+    """One ingest run writes the item table and the price history; both are read back."""
+    from bazaar.plans.pipeline import Warehouse, run_ingest
+    wh = Warehouse(scratch_path(spark, "fan-out"))
+    run_ingest(spark, wh, fixtures.listing_pages(spark, d), fixtures.history_pages(spark, d).drop("month"), RUN_TS,
+               LOAD_ID, max_failed_pages=None)
+    items = inc.read_loads(spark, wh.path("items_raw"), schemas.ITEMS_RAW).select(
+        F.lit("items_raw").alias("sink"), F.col("asset_description__market_hash_name").alias("market_hash_name"),
+        F.col("sell_price").cast(schemas.MONEY).alias("x"))
+    points = inc.read_loads(spark, wh.path("item_price_history_raw"), schemas.ITEM_PRICE_HISTORY_RAW).select(
+        F.lit("item_price_history_raw").alias("sink"), "market_hash_name", F.col("price").alias("x"))
+    return items.unionByName(points).groupBy("sink", "market_hash_name").agg(
+        F.count(F.lit(1)).alias("rows_written"), F.sum("x").cast("double").alias("amount"))
 
 
 # =====================================================================================
@@ -325,13 +332,12 @@ def q_flatten_struct(spark, d):
 
 
 @register("load_metadata", M(
-    "SELECT asset_description__market_hash_name AS market_hash_name, '000000000001' AS _dlt_load_id, "
-    "sha256(concat_ws(chr(1), '000000000001', asset_description__market_hash_name, cast(sell_price AS VARCHAR))) "
-    "AS _dlt_id FROM items_raw", "items_raw"))
+    f"SELECT asset_description__market_hash_name AS market_hash_name, '000000000001' AS _dlt_load_id, "
+    f"{_PLACE_ID} AS _dlt_id FROM placed", "items_raw", extra={"placed": _PLACED}))
 def q_load_metadata(spark, d):
-    """Batch load id and a deterministic row id."""
-    flat = ig.flatten_struct(ig.prune_redundant(_records(spark, d)))
-    out = ig.add_load_metadata(flat, LOAD_ID, ["asset_description__market_hash_name", "sell_price"])
+    """Batch load id and a row id that no other record of the load has."""
+    recs = ig.parse_results_pages(fixtures.listing_pages(spark, d), place=("__page", "__pos"))
+    out = ig.add_load_metadata(ig.flatten_struct(ig.prune_redundant(recs)), LOAD_ID, ["__page", "__pos"])
     return out.select(F.col("asset_description__market_hash_name").alias("market_hash_name"), "_dlt_load_id",
                       "_dlt_id")
 
@@ -357,15 +363,12 @@ def q_page_outcome(spark, d):
     return ig.outcome_counts(ig.extract_price_history(_pages(spark, d)).outcomes)
 
 
-@register("extract_series_text", P("""
-SELECT market_hash_name, true AS has_series FROM hist_pages
-UNION ALL
-SELECT concat('PAGE-', cast(page_id AS VARCHAR)), regexp_matches(html, 'var line1=([^;]+);') FROM pages""",
-                                   "hist_pages"))
+@register("extract_series_text", P(
+    "SELECT market_hash_name, nullif(regexp_extract(body, 'var line1=([^;]+);', 1), '') AS series "
+    f"FROM ({_ALL_BODIES})", "hist_bodies"))
 def q_extract_series_text(spark, d):
     """First match of the embedded series variable, or NULL."""
-    return _pages(spark, d).select("market_hash_name",
-                                   ig.extract_series_text("body").isNotNull().alias("has_series"))
+    return _pages(spark, d).select("market_hash_name", ig.extract_series_text("body").alias("series"))
 
 
 @register("parse_series_json", P("""
@@ -392,7 +395,7 @@ def _all_points(spark, d):
 _ALL_POINTS_SQL = """
 SELECT market_hash_name, date, price, volume FROM hist_points WHERE p_size IS NULL OR p_size <> 46
 UNION ALL
-SELECT market_hash_name, NULL, cast(1 AS DECIMAL(18,9)), 1 FROM hist_pages WHERE p_size = 45"""
+SELECT market_hash_name, NULL, cast(1 AS DECIMAL(38,9)), 1 FROM hist_pages WHERE p_size = 45"""
 
 
 @register("explode_series", P(presented(K_POINT, f"({_ALL_POINTS_SQL})"), "hist_points", "hist_pages"))
@@ -662,7 +665,7 @@ def q_filter_incremental_hwm(spark, d):
                                     ["item_name"])
         inc.materialize_incremental(spark, p, lambda since: m.fct_market_daily(stg, dl, since), "market_date",
                                     ["item_name"])
-    path = _once(spark, d, "fct_incremental", write)
+    path = _fresh(spark, "fct_incremental", write)
     return spark.read.parquet(path).select(*m.FCT_COLUMNS)
 
 
@@ -686,23 +689,23 @@ def q_filter_param_date(spark, d):
 
 
 SEARCH_QUERY = "item-1 brand#1"
-SEARCH_COLUMNS = ["item_name", "item_type", "bucket_group_name"]
+_SEARCH_SQL = {"turnover_rate": "cast(turnover_rate AS DECIMAL(38,9))"}
 
 
 def _search_sql() -> str:
-    text = "concat_ws(chr(10), " + ", ".join(f"coalesce(cast({c} AS VARCHAR), '')" for c in SEARCH_COLUMNS) + ")"
+    text = "concat_ws(chr(10), " + ", ".join(
+        f"coalesce(cast({_SEARCH_SQL.get(c, c)} AS VARCHAR), '')" for c in m.RPT_LATEST_COLUMNS) + ")"
     # RE2 is Unicode-aware without a flag and rejects Java's `u`
     conds = " AND ".join(f"regexp_matches({text}, '{search_pattern(t).replace('(?iu)', '(?i)')}')"
                          for t in SEARCH_QUERY.split())
-    return M(f"SELECT item_name, item_type, bucket_group_name FROM rpt_item_metrics_latest WHERE {conds}",
-             "rpt_item_metrics_latest")
+    return M(presented(K_RPT_LATEST, "q"), "rpt_item_metrics_latest",
+             extra={"q": f"SELECT * FROM rpt_item_metrics_latest WHERE {conds}"})
 
 
 @register("filter_search", _search_sql())
 def q_filter_search(spark, d):
-    """Every term must start a word in some column, case-insensitive."""
-    r = rpt_latest(spark, d).select(*SEARCH_COLUMNS)
-    return search_filter(r, SEARCH_QUERY, SEARCH_COLUMNS)
+    """Every term must start a word in some of the 13 columns, case-insensitive."""
+    return search_filter(rpt_latest(spark, d), SEARCH_QUERY)
 
 
 # =====================================================================================
@@ -880,7 +883,7 @@ def q_dim_incremental(spark, d):
     """Dimension kept by keyed upsert: old rows + candidates since the old max day."""
     stg = stg_items(spark, d)
     cut = F.col("snapshot_date") < F.lit(str(SPLIT_DAY)).cast("date")
-    path = _once(spark, d, "dim_first", lambda p: m.dim_item(stg.where(cut)).write.parquet(p))
+    path = _fresh(spark, "dim_first", lambda p: m.dim_item(stg.where(cut)).write.parquet(p))
     current = spark.read.parquet(path)
     since = current.agg(F.max("snapshot_date")).first()[0]
     return m.dim_item_upsert(current, stg, since)
@@ -925,25 +928,16 @@ def q_order_by_name(spark, d):
 
 @register("concat_tables", M(presented(K_RPT_MARKET, "rpt_market_metrics_daily"), "rpt_market_metrics_daily"))
 def q_concat_tables(spark, d):
-    """Union-all of the shards of one export (same schema)."""
-    root = _once(spark, d, "shards", lambda p: export_parquet(rpt_market(spark, d).repartition(4), p, "rpt_market"))
-    files = guard_nonempty_export(spark, f"{root}/rpt_market")
-    parts = [spark.read.parquet(f) for f in files]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-_UNPIVOT_ALL = """
-WITH prepared_data AS (
-  SELECT market_date, CASE WHEN is_commodity THEN 'Commodities' ELSE 'Non-Commodities' END AS category,
-    CAST(total_active_supply AS DOUBLE) AS total_active_supply,
-    CAST(total_units_sold AS DOUBLE) AS total_units_sold,
-    CAST(total_estimated_trade_volume_usd AS DOUBLE) AS trade_volume_usd
-  FROM rpt_commodity_velocity_daily)
-UNPIVOT prepared_data ON total_active_supply AS 'Total Active Supply', total_units_sold AS 'Total Units Sold',
-  trade_volume_usd AS 'Trade Volume (USD)' INTO NAME metric_type VALUE value"""
+    """Union-all of the shards of one export (same schema), as one read of all files."""
+    root = _fresh(spark, "shards", lambda p: export_parquet(rpt_market(spark, d).repartition(4), p, "rpt_market"))
+    return read_export(spark, f"{root}/rpt_market")
+
+
+_GROUP_DAYS = """
+SELECT market_date, is_commodity, sum(ask_count) AS supply, sum(units_sold) AS units,
+       sum(total_estimated_trade_volume_usd) AS volume
+FROM fct_market_daily WHERE market_date >= DATE '2000-01-01' GROUP BY ALL"""
+_GROUP_STACK = stacked("group_days", f"market_date, {_LABEL}", _GROUP_MEASURES)
 
 
 def _unpivot_all(spark, d):
@@ -956,28 +950,20 @@ def _unpivot_all(spark, d):
 
 
 @register("unpivot_commodity", M(presented(kinds("market_date category metric_type value:n"), "u"),
-                                 "rpt_commodity_velocity_daily", extra={"u": _UNPIVOT_ALL}))
+                                 "fct_market_daily", extra={"group_days": _GROUP_DAYS, "u": _GROUP_STACK}))
 def q_unpivot_commodity(spark, d):
     """Wide -> long for every day; NULL measures are dropped."""
     return _unpivot_all(spark, d)
 
 
-@register("unpivot_bucket", M(presented(kinds("category metric_type value:n"), "u"), "rpt_item_metrics_latest",
-                              extra={"u": """
-WITH aggregated_data AS (
-  SELECT bucket_group_name AS category, CAST(SUM(total_estimated_trade_volume_usd) AS DOUBLE) AS trade_volume_usd,
-    CAST(SUM(units_sold) AS DOUBLE) AS units_sold, CAST(AVG(bid_ask_spread_pct) AS DOUBLE) AS avg_bid_ask_spread_pct,
-    CAST(AVG(turnover_rate) AS DOUBLE) AS avg_turnover_rate FROM rpt_item_metrics_latest GROUP BY 1)
-UNPIVOT aggregated_data ON trade_volume_usd AS 'Trade Volume (USD)', units_sold AS 'Total Units Sold',
-  avg_bid_ask_spread_pct AS 'Avg Bid Ask Spread', avg_turnover_rate AS 'Avg Turnover Rate'
-INTO NAME metric_type VALUE value"""}))
+@register("unpivot_bucket", BUCKET_ORACLE)
 def q_unpivot_bucket(spark, d):
     """4 measures of mixed types, cast to double, then unpivoted."""
     return dash.q_breakdown_by_bucket(rpt_latest(spark, d))
 
 
 @register("share_of_total", M(presented(kinds("market_date category metric_type value:n share:n"), "s"),
-                              "rpt_commodity_velocity_daily", extra={"u": _UNPIVOT_ALL, "s": """
+                              "fct_market_daily", extra={"group_days": _GROUP_DAYS, "u": _GROUP_STACK, "s": """
 SELECT market_date, category, metric_type, value,
   value / nullif(sum(value) OVER (PARTITION BY market_date, metric_type), 0) AS share FROM u"""}))
 def q_share_of_total(spark, d):
@@ -1004,7 +990,7 @@ def q_stream_ingest_available_now(spark, d):
         run_available_now(spark, src, f"{p}/sink", f"{p}/chk")
         pages.where(~early).drop("month").write.mode("append").parquet(src)
         run_available_now(spark, src, f"{p}/sink", f"{p}/chk")
-    root = _once(spark, d, "stream", write)
+    root = _fresh(spark, "stream", write)
     return spark.read.parquet(f"{root}/sink").select("market_hash_name", "date", "price", "volume")
 
 
@@ -1014,10 +1000,12 @@ def q_incremental_state_commit(spark, d):
     """Data first, then the state of that load; a lost state is re-derived from the data."""
     def write(p):
         ex = ig.extract_price_history(fixtures.history_pages(spark, d).drop("month"))
+        # what a load that crashed while committing leaves: a folder that must not count
+        ex.records.limit(0).write.parquet(f"{p}/state/load_id=000000000000/_temporary")
         ex.records.withColumn("load_id", F.lit(LOAD_ID)).write.partitionBy("load_id").parquet(f"{p}/data")
         data = inc.read_loads(spark, f"{p}/data", schemas.PRICE_RECORD)
         inc.commit_state(ig.advance_state(None, data.where(F.col("load_id") == LOAD_ID)), f"{p}/state", LOAD_ID)
-    root = _once(spark, d, "state_commit", write)
+    root = _fresh(spark, "state_commit", write)
     return inc.read_state(spark, f"{root}/state", inc.read_loads(spark, f"{root}/data", schemas.PRICE_RECORD))
 
 
@@ -1090,6 +1078,7 @@ def q_gate_build(spark, d):
     dl = materialize(daily(spark, d), "gate-daily")
     f = materialize(m.fct_market_daily(stg, dl), "gate-fct")
     tables = {"int_item_price_history_daily": dl, "dim_item": m.dim_item(stg), "fct_market_daily": f,
+              # each table is tested in one pass, so none of these is computed twice
               "rpt_commodity_velocity_daily": m.rpt_commodity_velocity_daily(f),
               "rpt_item_metrics_latest": m.rpt_item_metrics_latest(f),
               "rpt_market_metrics_daily": m.rpt_market_metrics_daily(f)}
@@ -1101,14 +1090,21 @@ def q_gate_build(spark, d):
 
 @register("gate_load", P("""
 SELECT cast(count(*) FILTER (WHERE status NOT IN (200, 404)) AS BIGINT) AS failed_pages,
-       cast(count(*) AS BIGINT) AS pages FROM hist_pages""", "hist_pages"))
+       cast(count(*) AS BIGINT) AS pages, count(*) FILTER (WHERE status NOT IN (200, 404)) > 0 AS tripped
+FROM hist_pages""", "hist_pages"))
 def q_gate_load(spark, d):
-    """Failed page count the load gate compares with its threshold."""
+    """The load gate at its default threshold, and the page counts it looks at."""
     counts = ig.outcome_counts(ig.extract_price_history(fixtures.history_pages(spark, d).drop("month")).outcomes)
+    counts = spark.createDataFrame(counts.collect(), counts.schema)  # one row per outcome
+    try:
+        qa.gate_load(counts)
+        tripped = False
+    except qa.BuildFailed:
+        tripped = True
     return counts.agg(
         F.coalesce(F.sum(F.when(F.col("outcome").isin("rate_limited", "forbidden", "failed"), F.col("pages"))),
                    F.lit(0)).cast("bigint").alias("failed_pages"),
-        F.sum("pages").cast("bigint").alias("pages"))
+        F.sum("pages").cast("bigint").alias("pages"), F.lit(tripped).alias("tripped"))
 
 
 @register("report_schema_contract", M(
@@ -1123,7 +1119,7 @@ def q_report_schema_contract(spark, d):
     for name, df in (("rpt_market_metrics_daily", rpt_market(spark, d)),
                      ("rpt_commodity_velocity_daily", rpt_commodity(spark, d)),
                      ("rpt_item_metrics_latest", rpt_latest(spark, d))):
-        qa.check_contract(df.select(*REPORT_CONTRACTS[name].fieldNames()), REPORT_CONTRACTS[name], name)
+        qa.check_contract(df, REPORT_CONTRACTS[name], name)
         out.append(df.agg(F.count(F.lit(1)).alias("rows_checked")).select(
             F.lit(name).alias("report"), "rows_checked",
             F.lit(len(qa.contract_diff(df, REPORT_CONTRACTS[name]))).cast("bigint").alias("contract_mismatches")))

@@ -1,7 +1,9 @@
 """Declared schemas of the raw, staging and reporting tables.
 
-Money is stored as DECIMAL(38,9) (a warehouse NUMERIC); arithmetic is done in the
-narrower DECIMAL(18,9) so Spark's precision rules do not drop scale (see README).
+Money is stored as DECIMAL(38,9) (a warehouse NUMERIC). Arithmetic is done in
+DECIMAL(24,9), 15 integer digits, so that Spark's precision rules leave products their
+9 decimals and quotients at least 13; what does not fit goes through doubles (see
+`bazaar.functions.scalar`).
 """
 
 from __future__ import annotations
@@ -9,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(38, 9)      # stored money / ratio type
-WORK = T.DecimalType(18, 9)       # arithmetic type for money
-WHOLE = T.DecimalType(18, 0)      # integer counts inside decimal products
+WORK = T.DecimalType(24, 9)       # arithmetic type for money
+WHOLE = T.DecimalType(13, 0)      # integer counts inside decimal products
+CENTS = T.DecimalType(29, 9)      # cents before the division by 100; holds every BIGINT
 
 # --- API result page (before flattening) --------------------------------------------
 ASSET_DESCRIPTION = T.StructType([
@@ -76,7 +79,7 @@ ITEMS_RAW = T.StructType([
 ITEM_PRICE_HISTORY_RAW = T.StructType([
     T.StructField("market_hash_name", T.StringType()),
     T.StructField("date", T.TimestampType()),
-    T.StructField("price", WORK),
+    T.StructField("price", MONEY),
     T.StructField("volume", T.LongType()),
     T.StructField("_dlt_load_id", T.StringType()),
     T.StructField("_dlt_id", T.StringType()),
@@ -86,7 +89,7 @@ ITEM_PRICE_HISTORY_RAW = T.StructType([
 PRICE_RECORD = T.StructType([
     T.StructField("market_hash_name", T.StringType()),
     T.StructField("date", T.TimestampType()),
-    T.StructField("price", WORK),
+    T.StructField("price", MONEY),
     T.StructField("volume", T.LongType()),
 ])
 

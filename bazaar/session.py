@@ -57,15 +57,13 @@ def sizing(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2, core
     The initial shuffle partition count is chosen so a partition holds about
     `target_partition_bytes` even before AQE coalesces (AQE can merge small
     partitions but never splits a partition that is too large for executor
-    memory), and never fewer than 2x the cores. Scan splits stay at 128 MB (256 MB
-    above 10 TB) so a 100 TB scan is ~400k tasks instead of millions.
+    memory), and never fewer than 2x the cores. Scan splits are as large as the target.
     """
     parts = max(int(input_bytes // target_partition_bytes) + 1, 2 * (cores or 1))
-    split = 256 * 1024 ** 2 if input_bytes > 10 * 1024 ** 4 else 128 * 1024 ** 2
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.files.maxPartitionBytes": str(int(target_partition_bytes)),
     }
 
 

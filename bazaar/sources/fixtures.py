@@ -15,32 +15,15 @@ from bazaar import schemas
 from bazaar.sources.raw import conform
 
 
-def _bytes(spark: SparkSession, path: str) -> int:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
-
-
-def spread_small(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Round-robin a small input over all cores.
-
-    A file smaller than one split (or written as a single row group) is read by one
-    task, which then runs every narrow step after the scan alone. When the input is
-    smaller than one split per core, a cheap round-robin exchange spreads it; a large
-    input (the cluster case: thousands of splits) is left exactly as scanned.
-    """
-    par = spark.sparkContext.defaultParallelism
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
-    split = int(split[:-1]) * 1024 * 1024 if split.lower().endswith("m") else int(split.rstrip("bB"))
-    size = _bytes(spark, path)
-    if par > 1 and size < split * par and size > 256 * 1024:
-        return df.repartition(par)
-    return df
+#: Session setting of benches on one machine: deal the rows of each table to so many partitions, as the
+#: small files have one row group and would be read by one task. Unset, tables are read as they are.
+SPREAD = "spark.bazaar.fixtures.spread"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return spread_small(spark, spark.read.parquet(path), path)
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    spread = spark.conf.get(SPREAD, None)
+    return df.repartition(int(spread)) if spread else df
 
 
 def _load_id(l) -> F.Column:
@@ -92,7 +75,7 @@ def item_price_history_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = l.where(F.col("l_returnflag") != "N").select(
         F.concat(F.lit("ITEM-"), F.col("l_partkey").cast("string")).alias("market_hash_name"),
         F.col("l_shipdate").cast("timestamp").alias("date"),
-        F.col("l_extendedprice").cast(schemas.WORK).alias("price"),
+        F.col("l_extendedprice").cast(schemas.MONEY).alias("price"),
         F.col("l_quantity").cast("bigint").alias("volume"),
         _load_id(l).alias("_dlt_load_id"),
         _row_id(l).alias("_dlt_id"),
@@ -129,7 +112,7 @@ def listing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("asset_description__market_bucket_group_id").alias("market_bucket_group_id"),
     )
     return r.select(
-        F.col("snapshot_timestamp"),
+        F.col("snapshot_timestamp"), F.col("_dlt_load_id"), F.col("_dlt_id"),
         F.struct(F.col("asset_description__market_hash_name").alias("name"),
                  F.col("asset_description__market_hash_name").alias("hash_name"),
                  F.lit("icon").alias("app_icon"), F.lit("Market").alias("app_name"),
@@ -137,20 +120,13 @@ def listing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                  asset.alias("asset_description")).alias("rec"))
 
 
-def listing_pages(spark: SparkSession, sf_dir: str, page_size: int = 10) -> DataFrame:
-    """Archived API result pages (fetched_at, page_no, body JSON), at most `page_size` records.
-
-    Pages are cut from consecutive rows of one input partition
-    (monotonically_increasing_id is consecutive inside a partition), so no global
-    numbering is needed and a page never exceeds `page_size` records.
-    """
-    # sorting inside each input partition (no shuffle) keeps one day's rows adjacent
-    recs = (listing_records(spark, sf_dir).sortWithinPartitions("snapshot_timestamp")
-            .withColumn("page_no", F.floor(F.monotonically_increasing_id() / F.lit(page_size))))
-    pages = recs.groupBy("snapshot_timestamp", "page_no").agg(F.collect_list("rec").alias("results"))
-    return pages.select(F.col("snapshot_timestamp").alias("fetched_at"), "page_no",
-                        F.to_json(F.struct(F.size("results").cast("bigint").alias("total_count"),
-                                           F.col("results"))).alias("body"))
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archived API result pages (page_no from 1, body JSON): the lines of one order are one page."""
+    pages = (listing_records(spark, sf_dir).groupBy((F.col("_dlt_load_id").cast("bigint") + 1).alias("page_no"))
+             .agg(F.array_sort(F.collect_list(F.struct("_dlt_id", "rec"))).alias("rows")))
+    results = F.transform("rows", lambda x: x["rec"])
+    return pages.select("page_no", F.to_json(F.struct(F.size("rows").cast("bigint").alias("total_count"),
+                                                      results.alias("results"))).alias("body"))
 
 
 def history_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,25 +19,24 @@ class ShardSchemaError(ValueError):
     """Parquet shards of one export disagree on their schema."""
 
 
-def layout(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
-           num_partitions: int | None = None) -> DataFrame:
+def layout(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
     """Shape a frame for a partitioned, clustered write.
 
     Range-partitioning on (partition columns, cluster columns) sends each task a
     contiguous key range: a task writes few table partitions, and one hot table
     partition (a day holding a third of the rows) is split over many tasks by its
     cluster key instead of landing in one. Sorting inside the task clusters the
-    rows, so Parquet min/max statistics skip row groups on the cluster key.
+    rows, so Parquet min/max statistics skip row groups on the cluster key. The number
+    of ranges is left open, so that adaptive execution fits it to the size written.
     """
     keys = list(partition_by) + list(cluster_by)
     if not keys:
         return df
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # a deterministic row hash as the last range key lets the range partitioner split
     # even a single hot (partition, cluster) value over several tasks; being a pure
     # function of the row, a retried task sends every row to the same place
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return (df.repartitionByRange(n, *[F.col(k) for k in keys], spread)
+    return (df.repartitionByRange(*[F.col(k) for k in keys], spread)
               .sortWithinPartitions(*keys))
 
 
@@ -57,8 +56,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), clus
     w = shaped.write.mode(mode).format("parquet").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if partition_by:
         w = w.partitionBy(*partition_by)
-        if dynamic:
-            w = w.option("partitionOverwriteMode", "dynamic")
+        w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     w.save(path)
 
 
@@ -90,37 +88,40 @@ def guard_nonempty_export(spark: SparkSession, folder: str) -> list[str]:
     return files
 
 
+def _column_names(batches):
+    """(path, columns) of Parquet files given as bytes."""
+    import pandas as pd
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    for b in batches:
+        yield pd.DataFrame({"path": b["path"], "columns": [
+            "\n".join(pq.read_schema(pa.BufferReader(c)).names) for c in b["content"]]})
+
+
 def read_export(spark: SparkSession, folder: str) -> DataFrame:
     """All shards of an export as one frame, after the empty and schema checks.
 
-    Shards must share one schema, as a plain concatenation requires. Each shard's
-    footer schema is compared with the schema merged over all of them (type
-    conflicts already fail inside the merge). An export is a report with a handful
-    of shards, so reading their footers is cheap metadata work.
+    Shards must share one schema, as a plain concatenation requires. Spark merges the
+    shards' schemas in one distributed job (which fails on conflicting types); the column
+    names of every shard are read by the executors and only shards that differ come back.
     """
-    files = guard_nonempty_export(spark, folder)
-    merged = spark.read.option("mergeSchema", "true").parquet(*files).schema
-    names = [f.name for f in merged.fields]
-    for f in files:
-        got = [x.name for x in spark.read.parquet(f).schema.fields]
-        if got != names:
-            raise ShardSchemaError(f"shard {f} has columns {got}, the export has {names}")
-    return spark.read.schema(merged).parquet(*files)
-
-
-def merge_parquet_shards(spark: SparkSession, folder: str, out: str,
-                         max_rows_per_file: int = MAX_RECORDS_PER_FILE) -> str:
-    """Concatenate the shards of one export into as few Parquet files as the size allows.
-
-    The dashboard wants one file per report. When the report has at most
-    `max_rows_per_file` rows (true of every report: one row per day, per day and
-    flag, or per item) the shards are narrowed into one task (coalesce, no shuffle)
-    and written as a single file; a larger export is written as contiguous,
-    size-bounded files, so no task ever holds more than the bound.
+    guard_nonempty_export(spark, folder)
+    merged = spark.read.option("mergeSchema", "true").parquet(folder).schema
+    names = "\n".join(merged.fieldNames())
+    shards = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+    other = (shards.select("path", "content").mapInPandas(_column_names, "path string, columns string")
+             .where(F.col("columns") != names).first())
+    if other:
+        raise ShardSchemaError(f"shard {other['path']} has columns {other['columns'].split()}, "
+                               f"the export has {merged.fieldNames()}")
+    return spark.read.schema(merged).parquet(folder)
+
+
+def merge_parquet_shards(spark: SparkSession, folder: str, out: str, files: int = 1) -> str:
+    """Concatenate the shards of one export into `files` Parquet files (one, as the dashboard loads it).
+
+    A narrow coalesce: the one task streams the shards and holds none of them. Callers with an export
+    too large for one writer name more files; nothing depends on the size of the data.
     """
-    df = read_export(spark, folder)
-    n = df.count()
-    files = max(1, -(-n // int(max_rows_per_file)))
-    shaped = df.coalesce(1) if files == 1 else df.repartitionByRange(files, *[F.col(f"`{c}`") for c in df.columns])
-    shaped.write.mode("overwrite").parquet(out)
+    read_export(spark, folder).coalesce(int(files)).write.mode("overwrite").parquet(out)
     return out

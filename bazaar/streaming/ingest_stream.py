@@ -5,51 +5,61 @@ stream picks up only the files it has not seen (the file source's own log in the
 checkpoint), and `foreachBatch` runs the same extractor as the batch path:
 
 * the per-item marks come from the state committed by the previous micro-batch
-  (state folders are keyed by batch id; a missing state is re-derived from the
-  data written by earlier batches, never from the current one);
+  (state folders are keyed by batch id and count only when complete; a missing state is
+  re-derived from the data written by earlier batches, never from the current one);
 * the records are written partitioned by batch id with dynamic overwrite, so a
   replayed micro-batch (after a failure) replaces its own output instead of
-  appending twice; then the state of that batch is committed.
+  appending twice; the errors and page outcomes of a batch are kept beside it in the same way
+  (`<sink>_errors`, `<sink>_outcomes`); then the state of that batch is committed.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaar import schemas
 from bazaar.operators import ingest as ig
-from bazaar.plans.incremental import partition_values, state_from_data
+from bazaar.plans.incremental import commit_state, partition_values, state_at, state_from_data
 
 PAGE_SCHEMA = schemas.HISTORY_PAGE
 
 
+def read_sink(spark: SparkSession, sink: str) -> DataFrame:
+    """The records with their batch id; none while no batch has written one."""
+    return spark.read.schema(T.StructType([*schemas.PRICE_RECORD.fields, T.StructField("batch_id", T.LongType())])
+                             ).parquet(sink)
+
+
 def _state_before(spark: SparkSession, sink: str, state_root: str, batch_id: int,
                   grain: str = "day") -> DataFrame | None:
     """Marks committed by the newest earlier batch; derived from the sink's earlier
     batches when that state is missing. Batch ids come from the folder listings."""
-    states = [int(v) for v in partition_values(spark, state_root, "batch_id") if int(v) < batch_id]
+    states = [int(v) for v in partition_values(spark, state_root, "batch_id", complete=True) if int(v) < batch_id]
     datas = [int(v) for v in partition_values(spark, sink, "batch_id") if int(v) < batch_id]
     if states and (not datas or max(states) >= max(datas)):
-        st = spark.read.parquet(state_root)
-        return st.where(F.col("batch_id") == max(states)).drop("batch_id")
+        return state_at(spark, state_root, str(max(states)), grain, "batch_id")
     if datas:
-        prior = spark.read.parquet(sink).where(F.col("batch_id") < batch_id)
-        return state_from_data(prior, grain=grain)
+        return state_from_data(read_sink(spark, sink).where(F.col("batch_id") < batch_id), grain=grain)
     return None
 
 
 def make_batch_writer(sink: str, state_root: str, grain: str = "day"):
+    def keep(df: DataFrame, path: str, batch_id: int) -> None:
+        (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
     def write_batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         state = _state_before(spark, sink, state_root, batch_id, grain)
         ex = ig.extract_price_history(df, state, grain=grain)
-        (ex.records.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink))
-        written = spark.read.parquet(sink).where(F.col("batch_id") == batch_id)
+        keep(ex.records, sink, batch_id)
+        keep(ex.errors, f"{sink}_errors", batch_id)
+        keep(ex.outcomes, f"{sink}_outcomes", batch_id)
+        written = read_sink(spark, sink).where(F.col("batch_id") == batch_id)
         new_state = ig.advance_state(state, written, as_type=schemas.state_schema(grain)["last_seen"].dataType)
-        (new_state.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(state_root))
+        commit_state(new_state, state_root, str(batch_id), "batch_id")
     return write_batch
 
 

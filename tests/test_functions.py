@@ -70,4 +70,56 @@ def test_sizing_scales_partitions_with_input():
     small, big = sizing(10 * 1024 ** 2, cores=8), sizing(100 * 1024 ** 4, cores=8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     assert int(big["spark.sql.shuffle.partitions"]) > 400_000
-    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 ** 2
+    assert small["spark.sql.files.maxPartitionBytes"] == big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
+
+
+def test_money_over_the_whole_range(spark):
+    """No NULL and no abort at a billion, a trillion, and beyond 15 digits."""
+    df = spark.createDataFrame([(10 ** 9, "$1,000,000,000.00"), (10 ** 12 + 1, "$1000000000000.01"),
+                                (2 ** 63 - 1, "$12345678901234567890123456789.5"), (0, "$0"), (None, None)],
+                               "cents bigint, text string")
+    m = df.select(fx.cents_to_usd("cents").alias("ask"), fx.currency_text_to_usd("text").alias("bid"))
+    got = m.select("ask", "bid", fx.bid_ask_spread("ask", "bid").alias("s"), fx.bid_ask_ratio("bid", "ask").alias("r"),
+                   fx.money_product(F.lit(3), "ask").alias("p")).collect()
+    assert [r.ask for r in got[:3]] == [Decimal("10000000.000000000"), Decimal("10000000000.010000000"),
+                                        Decimal("92233720368547758.070000000")]
+    assert got[1].bid == Decimal("1000000000000.010000000") and got[2].bid == Decimal("12345678901234567890123456789.5")
+    assert got[0].s == Decimal("-0.990000000") and got[0].r == Decimal("100.000000000")
+    assert got[1].p == Decimal("30000000000.030000000")
+    assert abs(got[2].r - Decimal("133852214938.0")) < 10 ** 9 and abs(got[2].s + 1) < Decimal("0.001")
+    assert got[3].s is None and got[3].r is None and got[4].s is None
+
+
+def test_page_prices_over_the_whole_range(spark):
+    from bazaar.operators import ingest as ig
+    df = spark.createDataFrame([("1000000000",), ("1000000000000.25",), ("x",)], "t string")
+    assert [r[0] for r in df.select(ig.parse_point_price("t")).collect()] == [
+        Decimal("1000000000"), Decimal("1000000000000.25"), None]
+
+
+def test_report_decimals_equal_the_oracle_exactly(spark):
+    """The registered queries round to 6 places; here the models' decimals are compared as decimals.
+
+    The other engine averages in doubles, so an average that ends in half a unit may differ in the last place.
+    """
+    import duckdb
+    from bazaar.plans import registry as R
+    from bazaar.plans.oracle import with_models
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("lineitem", "part"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    for name, build in (("rpt_market_metrics_daily", R.rpt_market), ("rpt_commodity_velocity_daily", R.rpt_commodity),
+                        ("rpt_item_metrics_latest", R.rpt_latest)):
+        df = build(spark, sf)
+        money = [f.name for f in df.schema.fields if f.dataType.simpleString() == "decimal(38,9)"]
+        keys = [c for c in ("item_name", "is_commodity", "market_date") if c in df.columns]
+        assert len(money) >= 2
+        cols = ", ".join(keys + money)
+        want = con.execute(with_models(f"SELECT {cols} FROM {name}", name)).fetchall()
+        got = [tuple(r) for r in df.select(*keys, *money).collect()]
+        got, want = sorted(got, key=repr), sorted(want, key=repr)
+        assert len(got) == len(want)
+        for a, b in zip(got, want):
+            for c, x, y in zip(keys + money, a, b):
+                assert x == y or (c.startswith("avg_") and abs(x - y) <= Decimal("0.000000001")), (c, a, b)

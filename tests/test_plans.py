@@ -67,5 +67,41 @@ def test_date_parameter_is_a_broadcast_semi_join(static_plans):
 
 def test_write_layout_splits_hot_keys(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("d"), (F.col("id") % 7).alias("k"), "id")
-    p = plan(layout(df, ["d"], ["k"], num_partitions=4))
+    p = plan(layout(df, ["d"], ["k"]))
     assert "rangepartitioning(d#" in p and "xxhash64(" in p
+    assert "REPARTITION_BY_NUM" not in p  # the number of ranges is left to adaptive execution
+
+
+def test_extraction_has_no_window_and_reads_the_archive_once(spark, tmp_dir):
+    from bazaar import schemas
+    from bazaar.operators import ingest as ig
+    spark.createDataFrame([("A", 200, 'var line1=[["Nov 04 2024",1.5,"4"]];')], schemas.HISTORY_PAGE).write.parquet(
+        f"{tmp_dir}/pages")
+    ex = ig.extract_price_history(spark.read.parquet(f"{tmp_dir}/pages"))
+    for df in (ex.records, ex.errors, ex.outcomes):
+        p = plan(df)
+        assert "Window" not in p and f"{tmp_dir}/pages" not in p and "judged-pages" in p
+
+
+def test_month_bound_reaches_the_scan(spark, tmp_dir):
+    import datetime as dt
+
+    from bazaar import schemas
+    from bazaar.plans import incremental as inc
+    spark.createDataFrame([], schemas.ITEM_PRICE_HISTORY_RAW).write.parquet(f"{tmp_dir}/raw")
+    raw = spark.read.schema(schemas.ITEM_PRICE_HISTORY_RAW).parquet(f"{tmp_dir}/raw")
+    months = [dt.date(2024, 11, 1), dt.date(2024, 12, 1), dt.date(2025, 3, 1)]
+    p = plan(raw.where(inc.in_months(months, "date")))
+    assert "GreaterThanOrEqual(date,2024-11-01" in p and "LessThan(date,2025-01-01" in p
+    assert "date#" in p and "2025-03-01 00:00:00) AND" in p and "2025-04-01 00:00:00" in p
+
+
+def test_commodity_queries_build_the_fact_once(static_plans):
+    for name in ("q_commodity_metrics", "q_commodity_breakdown"):
+        p = plan(R.QUERIES[name](static_plans, SF))
+        assert "Window" not in p and "lineitem" not in p and "dashboard-fct" in p
+
+
+def test_fixture_tables_are_read_as_they_are(spark):
+    from bazaar.sources import fixtures
+    assert "Exchange" not in plan(fixtures.table(spark, SF, "lineitem"))

@@ -1,4 +1,4 @@
-from bazaar.operators.reshape import share_of_total, share_of_total_window, unpivot
+from bazaar.operators.reshape import share_of_total, unpivot
 from bazaar.operators.search import apply_selection, current_selection, search_filter
 
 
@@ -9,12 +9,10 @@ def test_unpivot_drops_null_measures(spark):
     assert unpivot(df, ["k"], {"x": "X", "y": "Y"}, keep_nulls=True).count() == 4
 
 
-def test_share_of_total_both_forms(spark):
+def test_share_of_total(spark):
     df = spark.createDataFrame([("m1", "a", 1.0), ("m1", "b", 3.0), ("m2", "a", 0.0), ("m2", "b", 0.0)],
                                "metric string, cat string, value double")
     a = sorted(map(tuple, share_of_total(df, "value", ["metric"]).collect()))
-    b = sorted(map(tuple, share_of_total_window(df, "value", ["metric"]).select(*df.columns, "share").collect()))
-    assert a == b
     assert a[0][3] == 0.25 and a[2][3] is None  # zero total -> NULL, not an error
 
 
@@ -36,3 +34,10 @@ def test_selection_last_change_wins(spark):
     assert sel == {"b", "c"}
     df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("c", 4)], "item_name string, v int")
     assert sorted(r.v for r in apply_selection(df, current_selection(changes)).collect()) == [2, 3, 4]
+
+
+def test_search_reads_every_column(spark):
+    df = spark.createDataFrame([("x", 12.5, None, True), ("y", 0.0001, 7, False)], "a string, b double, c bigint, d boolean")
+    assert [r.a for r in search_filter(df, "12.5").collect()] == ["x"]
+    assert [r.a for r in search_filter(df, "0.0001 false").collect()] == ["y"]
+    assert [r.a for r in search_filter(df, "7").collect()] == ["y"]
