@@ -5,10 +5,11 @@ the start. Two nodes link when 100 * |x & y| >= percent * |x | y|.
 
 1. One global order of n-grams: by a count in a fixed array of `CELLS` counters (rare first), ties by
    hash. The counters cover all documents; collisions shift the order, never the result.
-2. Sets that link share one of their first |x| - ceil(t |x|) + 1 n-grams in any global
-   order. Only these prefixes are shuffled. All nodes that share a prefix n-gram join the group of
-   the smallest node that has it, so groups of many shared n-grams coincide. The
-   windows over frequent n-grams are salted by their counters.
+2. Sets that link share `SHARED` of their first |x| - ceil(t |x|) + `SHARED` n-grams in any global order
+   (as many as a small set can hold). Only these prefixes are shuffled, as pairs of numbers. A node that
+   shares fewer of them with others, all others together, links with nothing and leaves. The nodes
+   left that share a prefix n-gram join the group of the smallest node that has it, so that the groups of many
+   shared n-grams coincide. The windows over frequent n-grams are salted by their counters.
 3. Each group is joined in blocks of about `BLOCK` sets, every pair of blocks in one task:
    the sets of one block, ordered by frequency within the task, form a trie; all sets of the other
    descend it together, so that a shared path adds to the overlaps once; a set leaves a subtree
@@ -17,8 +18,8 @@ the start. Two nodes link when 100 * |x & y| >= percent * |x | y|.
    components is lost and a group of copies never turns into all its pairs.
 4. Components by alternating large and small stars, each round written out.
 
-The sets are made again from the texts where they are needed, for the nodes that have a
-group; a Bloom filter of fixed size lets only those through.
+The prefixes and the sets are made from the texts where they are needed and never stored; a Bloom filter
+of fixed size lets only the sets through whose nodes have a group.
 
 Defined cases: of fewer than n words the whole sequence is the one n-gram; null, empty and blank texts have
 the empty set and link with nothing; repeated rows and equal texts link; a null id is larger than any
@@ -41,9 +42,10 @@ from bazaar.llm import wordhash
 from bazaar.llm.common import bounded_batches, mark_of, materialize, take_rows, text_or_empty
 from bazaar.llm.exact_dedup import bloom, may_hold
 
-CELLS = 1 << 22
-SLICE = 1 << 16
+CELLS = 1 << 24
+SLICE = 1 << 18
 BLOCK = 1024
+SHARED = 20
 #: A window over one n-gram holds about this many rows; more frequent n-grams are salted.
 GROUP = 20_000
 
@@ -52,82 +54,133 @@ def _cell(shingles: np.ndarray, cells: int) -> np.ndarray:
     return (shingles >> np.uint64(64 - cells.bit_length() + 1)).astype(np.int64)
 
 
-def shingle_counts(docs: DataFrame, n: int, cells: int = CELLS) -> np.ndarray:
-    """Of all documents' n-grams, the count by cell: `cells` 32-bit numbers, never more."""
-    part = min(SLICE, cells)
+def signature(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=32).digest()
+
+
+def _short(sig: bytes) -> int:
+    """A signature's first 64 bits, the name of a node while candidates are sought. Different sets that share
+    it only become candidates together."""
+    return int.from_bytes(sig[:8], "little", signed=True)
+
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = np.zeros(cells, dtype=np.int64)
+def _rough(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes, in steps of an eighth of a power of two."""
+    return np.minimum(np.rint(8 * np.log2(counts + 1.0)), 255).astype(np.uint8)
+
+
+def _sign_and_count(n: int, cells: int, part: int):
+    """Of each text (id as a string, th, text): size and signature of its set; at the end the n-gram counters."""
+    columns = ["id", "th", "n", "h", "s", "slice", "small", "cell", "count"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = np.zeros(cells, dtype=np.int32)
         for b in batches:
             sets = [wordhash.shingle_set(t, n) for t in b["text"]]
-            if sets:
-                own += np.bincount(_cell(np.concatenate(sets), cells), minlength=cells)
-        own = np.minimum(own, 2 ** 31 - 1).astype(np.int32)
+            if not sets:
+                continue
+            at, times = np.unique(_cell(np.concatenate(sets), cells), return_counts=True)
+            own[at] = np.minimum(own[at] + times.astype(np.int64), 2 ** 31 - 1)
+            sigs = [signature(x) if len(x) else None for x in sets]
+            yield pd.DataFrame({"id": b["id"], "th": b["th"], "n": np.array([len(x) for x in sets], dtype=np.int64),
+                                "h": pd.Series(sigs, dtype="object"),
+                                "s": pd.Series([_short(x) if x else 0 for x in sigs], dtype="int64"),
+                                "slice": -1, "small": None, "cell": None, "count": None})[columns]
         for k in range(0, cells, part):
-            if own[k:k + part].any():
-                yield pd.DataFrame({"slice": [k // part], "counts": [zlib.compress(own[k:k + part].tobytes(), 1)]})
+            piece = own[k:k + part]
+            if piece.any():
+                big = np.flatnonzero(piece > 254)
+                yield pd.DataFrame({"id": [None], "th": [0], "n": [0], "h": [None], "s": [0], "slice": [k // part],
+                                    "small": [zlib.compress(np.minimum(piece, 255).astype(np.uint8).tobytes(), 1)],
+                                    "cell": [big.astype(np.int32)], "count": [piece[big]]})[columns]
+    return run
+
 
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _merge_counts(part: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
-            for k, z in zip(b["slice"], b["counts"]):
-                own = np.frombuffer(zlib.decompress(z), dtype=np.int32).astype(np.int64)
+            for k, small, cell, count in zip(b["slice"], b["small"], b["cell"], b["count"]):
+                own = np.frombuffer(zlib.decompress(small), dtype=np.uint8).astype(np.int64)
+                own[np.asarray(cell, dtype=np.int64)] = np.asarray(count, dtype=np.int64)
                 sums[k] = sums[k] + own if k in sums else own
         if sums:
-            yield pd.DataFrame({"slice": list(sums), "counts": [
-                np.minimum(v, 2 ** 31 - 1).astype(np.int32).tobytes() for v in sums.values()]})
-
-    kind = "slice int, counts binary"
-    out = np.zeros(cells, dtype=np.int32)
-    texts = docs.select("text").mapInPandas(count, kind)
-    for k, piece in texts.repartition("slice").mapInPandas(merge, kind).collect():
-        out[k * part:(k + 1) * part] = np.frombuffer(piece, dtype=np.int32)
-    return out
+            yield pd.DataFrame({"slice": list(sums), "rough": [_rough(v).tobytes() for v in sums.values()]})
+    return run
 
 
-def signature(shingles: np.ndarray) -> bytes:
-    return hashlib.blake2b(shingles.tobytes(), digest_size=32).digest()
+def signed(docs: DataFrame, n: int, cells: int = CELLS) -> tuple[DataFrame, np.ndarray]:
+    """A written table (__llm_id, __llm_th, n, h, s) of all rows, and the counters of all documents' n-grams
+    as `cells` bytes (see `_rough`), never more."""
+    part = min(SLICE, cells)
+    kind = ("id string, th long, n long, h binary, s long, slice int, small binary, cell array<int>, "
+            "count array<int>")
+    # pandas would turn an id column with nulls into floats: ids pass as text
+    texts = docs.select(F.col("__llm_id").cast("string").alias("id"), F.col("__llm_th").alias("th"), "text")
+    both = materialize(texts.mapInPandas(_sign_and_count(n, cells, part), kind), "op6-signed")
+    pieces = both.filter("slice >= 0").select("slice", "small", "cell", "count").repartition("slice")
+    out = np.zeros(cells, dtype=np.uint8)
+    for k, piece in pieces.mapInPandas(_merge_counts(part), "slice int, rough binary").collect():
+        out[k * part:(k + 1) * part] = np.frombuffer(piece, dtype=np.uint8)
+    rows = both.filter("slice < 0").select(
+        F.col("id").cast(docs.schema["__llm_id"].dataType).alias("__llm_id"), F.col("th").alias("__llm_th"),
+        "n", "h", "s")
+    return rows, out
+
+
+def _needed(size: int, percent: int) -> int:
+    """ceil(t * size): the least overlap of a set of this size with one that it links with."""
+    return (percent * size + 99) // 100
 
 
 def _prefixes(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
-    """(id, th, n, h, prefix, freq) of every row; the empty set has no signature."""
-    cells = len(counts.value)
+    """(s, token, salts): each text's prefix n-grams, and over how many windows each n-gram is dealt."""
 
-    @F.pandas_udf("n long, h binary, prefix array<long>, freq array<int>")
+    @F.pandas_udf("s long, token array<long>, salts array<int>")
     def prefixed(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        cells = len(counts.value)
+        salts = (np.exp2(np.arange(256) / 8) / GROUP).astype(np.int32) + 1
         for texts in parts:
-            size, sig, prefix, freq = [], [], [], []
+            names, tokens, dealt = [], [], []
             for t in texts:
-                s = wordhash.shingle_set(t, n)
-                c = counts.value[_cell(s, cells)]
-                length = len(s) - (percent * len(s) + 99) // 100 + 1 if len(s) else 0
-                first = np.argsort(c, kind="stable")[:length]
-                size.append(len(s))
-                sig.append(signature(s) if len(s) else None)
-                prefix.append(s[first].view(np.int64))
-                freq.append(c[first])
-            yield pd.DataFrame({"n": np.array(size, dtype=np.int64), "h": pd.Series(sig, dtype="object"),
-                                "prefix": pd.Series(prefix, dtype="object"),
-                                "freq": pd.Series(freq, dtype="object")})
-
-    return docs.select("__llm_id", "__llm_th", prefixed("text").alias("p")).select("__llm_id", "__llm_th", "p.*")
-
-
-def _groups(nodes: DataFrame) -> DataFrame:
+                x = wordhash.shingle_set(t, n)
+                c = counts.value[_cell(x, cells)]
+                least = _needed(len(x), percent)
+                first = np.argsort(c, kind="stable")[:len(x) - least + min(SHARED, least)]
+                names.append(_short(signature(x)) if len(x) else 0)
+                tokens.append(x[first].view(np.int64))
+                dealt.append(salts[c[first]])
+            yield pd.DataFrame({"s": np.array(names, dtype=np.int64), "token": pd.Series(tokens, dtype="object"),
+                                "salts": pd.Series(dealt, dtype="object")})
+
+    made = docs.select(prefixed("text").alias("p"))
+    return made.select("p.s", F.explode(F.arrays_zip("p.token", "p.salts")).alias("x")).select(
+        "s", F.col("x.token").alias("token"), F.col("x.salts").alias("salts"))
+
+
+def _meeting(rows: DataFrame) -> DataFrame:
+    """The rows (s, token, salts) whose n-gram another node has, with the smallest node of their window."""
+    own = Window.partitionBy("token", F.pmod(F.xxhash64("s"), F.col("salts")))
+    return (rows.withColumn("lead", F.min("s").over(own)).withColumn("last", F.max("s").over(own))
+            .filter("lead <> last or salts > 1").drop("last"))
+
+
+def _groups(nodes: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """(grp, node): the nodes that share a prefix n-gram, by the smallest of them."""
-    rows = nodes.select("node", F.explode(F.arrays_zip("prefix", "freq")).alias("p"))
-    salts = F.floor(F.col("p.freq") / GROUP).cast("int") + 1
-    rows = rows.select("node", F.col("p.prefix").alias("token"), salts.alias("salts"))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
-    own = Window.partitionBy("token", "salt")
-    led = (rows.withColumn("lead", F.min("node").over(own)).withColumn("size", F.count(F.lit(1)).over(own))
-           .filter("size > 1 or salts > 1").drop("size", "salt"))
-    led = materialize(led, "op6-led")
-    plain = led.filter("salts = 1").select(F.col("lead").alias("grp"), "node")
+    met = materialize(_meeting(prefixes).drop("lead").distinct(), "op6-met")
+    # a partner holds at least ceil(t * ceil(t * n)) n-grams of its own overlap, and shares as many up to SHARED
+    least = F.ceil(F.lit(percent) * F.ceil(F.lit(percent) * F.col("n") / 100) / 100)
+    for _ in range(2):
+        shares = met.groupBy("s").agg(F.count(F.lit(1)).alias("shares"))
+        able = nodes.select("s", F.least(F.lit(SHARED), least).alias("need")).join(shares, "s").filter(
+            "shares >= need").select("s").distinct()
+        met = materialize(_meeting(met.join(materialize(able, "op6-able"), "s", "left_semi")).drop("lead"), "op6-met")
+    led = materialize(_meeting(met), "op6-led")
+    plain = led.filter("salts = 1").select(F.col("lead").alias("grp"), "s")
     hot = led.filter("salts > 1")
-    tops = materialize(hot.groupBy("token").agg(F.min("lead").alias("grp"), F.count(F.lit(1)).alias("size"))
-                       .filter("size > 1").drop("size"), "op6-tops")
-    return plain.unionByName(hot.join(tops, "token").select("grp", "node")).distinct()
+    tops = hot.groupBy("token").agg(F.min("lead").alias("grp"), F.max("s").alias("last")).filter("grp <> last")
+    both = plain.unionByName(hot.join(materialize(tops.select("token", "grp"), "op6-tops"), "token").select("grp", "s"))
+    return both.distinct().join(nodes.select("s", "node"), "s").select("grp", "node")
 
 
 class _Forest:
@@ -252,10 +305,10 @@ def _join_blocks(percent: int):
     return run
 
 
-def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, block: int) -> DataFrame:
+def _links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame, n: int, percent: int, block: int) -> DataFrame:
     """(a, b), a > b: verified links that connect all linked nodes."""
     spark = docs.sparkSession
-    members = materialize(_groups(nodes), "op6-members")
+    members = materialize(_groups(nodes, prefixes, percent), "op6-members")
     sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
     blocks = sizes.filter("size > 1").select("grp", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
     # the group's rows meet their number of blocks: both sides plain shuffles, so that Spark can split a hot group
@@ -264,22 +317,21 @@ def _links(docs: DataFrame, nodes: DataFrame, n: int, percent: int, block: int)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     placed = placed.select("grp", "node", "own", other).select(
         "grp", "node", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "h")
-    wanted = materialize(wanted, "op6-wanted")
-    filt = spark.sparkContext.broadcast(bloom(wanted, "once"))
+    placed = materialize(placed.join(nodes.select("node", "h"), "node"), "op6-placed")
+    filt = spark.sparkContext.broadcast(bloom(placed.select("h").distinct(), "once"))
 
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             sets = [wordhash.shingle_set(t, n) for t in b["text"]]
-            sets = [s for s in sets if len(s)]
-            sigs = pd.Series([signature(s) for s in sets], dtype="object")
+            sets = [x for x in sets if len(x)]
+            sigs = pd.Series([signature(x) for x in sets], dtype="object")
             some = np.flatnonzero(may_hold(filt.value, sigs))
             yield pd.DataFrame({"h": [sigs[k] for k in some], "set": [sets[k].tobytes() for k in some]})
 
     made = docs.select("text").mapInPandas(sets_of, "h binary, set binary")
-    # copies have one node: their set is kept once, map-side first
-    own = made.groupBy("h").agg(F.first("set").alias("set")).join(wanted, "h").select("node", "set")
-    rows = (placed.join(own, "node").select("grp", "i", "j", "own", "node", "set")
+    # copies have one node: their set is kept once, map-side first; the join needs no further shuffle of the sets
+    own = made.groupBy("h").agg(F.first("set").alias("set"))
+    rows = (placed.join(own, "h").select("grp", "i", "j", "own", "node", "set")
             .repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j"))
     return rows.mapInPandas(_join_blocks(percent), "a long, b long").distinct()
 
@@ -313,14 +365,14 @@ def _solve(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str, bl
     spark = docs.sparkSession
     bounded_batches(spark, 256)
     slim = docs.select(*mark_of(id_col, text_col), text_or_empty(text_col).alias("text"))
-    counts = spark.sparkContext.broadcast(shingle_counts(slim, n))
-    rows = _prefixes(slim, counts, n, percent).withColumn("uid", F.monotonically_increasing_id())
-    rows = materialize(rows, "op6-prefixes")
+    rows, counters = signed(slim, n)
+    counts = spark.sparkContext.broadcast(counters)
+    rows = materialize(rows.withColumn("uid", F.monotonically_increasing_id()), "op6-rows")
     filled = rows.filter("n > 0")
     nodes = materialize(filled.groupBy("h").agg(F.min("uid").alias("node"), F.min("__llm_id").alias("least"),
-                                                F.first("prefix").alias("prefix"), F.first("freq").alias("freq")),
-                        "op6-nodes")
-    roots = materialize(connected(_links(slim, nodes, n, percent, block)), "op6-roots")
+                                                F.first("s").alias("s"), F.first("n").alias("n")), "op6-nodes")
+    links = _links(slim, nodes, _prefixes(slim, counts, n, percent), n, percent, block)
+    roots = materialize(connected(links), "op6-roots")
     own = nodes.select("h", "node", "least").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     own = materialize(own, "op6-own")
