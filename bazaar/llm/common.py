@@ -48,19 +48,32 @@ def unit_draw(*parts: Column) -> Column:
     return (hash52(*parts).cast("double") + F.lit(0.5)) / F.lit(float(2 ** 52))
 
 
-def gapless(df: DataFrame, group: list[str], bucket: list[str], order: list[Column], out: str) -> DataFrame:
+def gapless(df: DataFrame, group: list[str], bucket: list[str], order: list[Column], out: str,
+            coarse: Column) -> DataFrame:
     """Add `out`: positions 0, 1, 2, ... within each group, ordered by bucket and then `order`.
 
-    No task ever holds a whole group: rows are numbered within (group, bucket), and
-    the buckets' counts are summed up before them. Rows, counts and the join all
-    use the hash partitioning of (group, bucket). `df` is read twice, so it must be
-    stable (a written table), and `bucket` must be fine enough for one task each.
+    No task ever holds a whole group, nor all of its buckets: rows are numbered within
+    (group, bucket); the counts of the buckets before are summed up within stretches of buckets, and
+    those of the stretches before within the group. `coarse` names a bucket's stretch, a few hundred at most in a group,
+    and rises with the buckets. `df` is read twice, so it must be stable (a
+    written table), and `bucket` must be fine enough for one task each.
     """
     keys = [*group, *bucket]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__llm_n"))
-    before = Window.partitionBy(*group).orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*[F.col(k).alias(f"__llm_k{i}") for i, k in enumerate(keys)],
-                           F.coalesce(F.sum("__llm_n").over(before), F.lit(0)).alias("__llm_start"))
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__llm_n")).withColumn("__llm_c", coarse)
+
+    def summed_before(w) -> Column:
+        return F.coalesce(F.sum("__llm_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    stretches = counts.groupBy(*group, "__llm_c").agg(F.sum("__llm_n").alias("__llm_n"))
+    stretches = stretches.select(*[F.col(g).alias(f"__llm_g{i}") for i, g in enumerate(group)],
+                                 F.col("__llm_c").alias("__llm_d"),
+                                 summed_before(Window.partitionBy(*group).orderBy("__llm_c")).alias("__llm_base"))
+    fine = counts.withColumn("__llm_fine", summed_before(Window.partitionBy(*group, "__llm_c").orderBy(*bucket)))
+    there = F.col("__llm_c") == F.col("__llm_d")
+    for i, g in enumerate(group):
+        there = there & F.col(g).eqNullSafe(F.col(f"__llm_g{i}"))
+    starts = fine.join(stretches, there).select(*[F.col(k).alias(f"__llm_k{i}") for i, k in enumerate(keys)],
+                                                (F.col("__llm_base") + F.col("__llm_fine")).alias("__llm_start"))
     within = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long") - 1
     numbered = df.withColumn("__llm_within", within)
     same = F.lit(True)

@@ -61,7 +61,8 @@ def _copies(docs: DataFrame, weights, share, cap, seed: str) -> DataFrame:
     per_source = docs.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
     aims = materialize(targets(per_source, weights, share, cap), "op8-targets")
     ranked = gapless(docs.withColumn("bucket", hash52(F.lit(seed), F.col("key")) % 64), ["source"],
-                     ["size", "bucket"], [F.col("key")], "rank")
+                     ["size", "bucket"], [F.col("key")], "rank",
+                     coarse=F.floor(8 * F.log2(F.col("size") + F.lit(1.0))))
     # the table of sources is joined without a hint: Spark broadcasts it while it is small, and splits a hot
     # source of the rows where it is not
     aims = aims.select(F.col("source").alias("__llm_source"), "source_size", "target")

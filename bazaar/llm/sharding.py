@@ -99,7 +99,8 @@ def shard_documents(docs: DataFrame, leaves: list[Leaf], grown: list[Leaf] | Non
         docs.select(key.alias("doc_id"), size.alias("size"), crc.alias("text_crc32"),
                     place(key, leaves).cast("int").alias("shard"), grown_shard.cast("int").alias("grown_shard"))
         .withColumn("bucket", bucket), "op2-placed")
-    slotted = gapless(placed, ["shard"], ["bucket"], [F.col("doc_id"), F.col("text_crc32"), F.col("size")], "slot")
+    slotted = gapless(placed, ["shard"], ["bucket"], [F.col("doc_id"), F.col("text_crc32"), F.col("size")], "slot",
+                      coarse=F.substring("bucket", 1, 1))
     return slotted.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
                           F.col("slot").cast("long").alias("slot"), "grown_shard")
 
