@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from bazaar.session import materialize, scratch_path
 
-__all__ = ["SPACE", "UPPER", "LOWER", "ascii_lower", "bounded_batches", "gapless", "hash52", "mark_of",
-           "materialize", "scratch_path", "table", "take_rows", "text_or_empty", "unit_draw"]
+__all__ = ["SPACE", "UPPER", "LOWER", "ascii_lower", "bounded_batches", "gapless", "hash52", "hash_sample",
+           "level_quotas", "mark_of", "materialize", "scratch_path", "table", "take_rows", "text_or_empty", "unit_draw"]
 
 #: The white space of the contracts: space and the five ASCII control characters 9-13.
 SPACE = " \t\n\x0b\x0c\r"
@@ -110,6 +110,28 @@ def take_rows(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str, *mo
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
+def level_quotas(counts: dict, total: int, most: int | None = None) -> dict:
+    """How many of each group's rows to draw: alike for all, at most what a group has (and `most`), `total` in all."""
+    out, left = {}, total
+    for i, (g, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], str(x[0])))):
+        out[g] = min(n, left // (len(counts) - i), n if most is None else most)
+        left -= out[g]
+    return out
+
+
+def hash_sample(rows: DataFrame, group: str, draw: str, counts: dict, quotas: dict) -> DataFrame:
+    """The rows whose 64-bit hash `draw` falls into their group's share, about `quotas` rows of each.
+
+    A filter, without a window or a shuffle: no group is gathered. There are as many groups as the caller has
+    brought to the driver, a bounded number, so their shares are broadcast.
+    """
+    shares = rows.sparkSession.createDataFrame([(g, quotas[g] / n) for g, n in counts.items() if quotas[g]],
+                                               f"__llm_g {rows.schema[group].dataType.simpleString()}, __llm_s double")
+    at = F.shiftrightunsigned(draw, 11).cast("double") / F.lit(float(2 ** 53))
+    return (rows.join(F.broadcast(shares), F.col(group) == F.col("__llm_g"))
+            .filter(at < F.col("__llm_s")).drop("__llm_g", "__llm_s"))
+
+
 def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
     """Let no Arrow batch hold more rows than this, as texts may be very long.
 

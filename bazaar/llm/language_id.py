@@ -6,8 +6,8 @@ to `DIM` presences. `landmarks` labelled texts span a Nyström approximation of
 kernel; on it a one-versus-rest kernel ridge regression is solved in closed form.
 Texts are scored batch by batch: presences times landmark presences, normalised, times one weight matrix.
 
-Fitting reads a bounded sample: at most `per_class` texts of a language, `train_rows` in all,
-drawn by a hash of the id; what leaves the executors for each is its presence bit map (4 KB),
+Fitting reads a bounded sample: about `per_class` texts of a language, at most `train_rows` in all,
+drawn by a hash of id and text; what leaves the executors for each is its presence bit map (4 KB),
 whatever its length. Every text is read and scored whole.
 
 Defined cases: null text or text without a letter: `und`, score 0; null labels are not
@@ -23,10 +23,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import bounded_batches, text_or_empty
+from bazaar.llm.common import bounded_batches, hash_sample, level_quotas, text_or_empty
 
 N = 3
 DIM = 1 << 15
@@ -107,9 +107,14 @@ def train(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     text, draw = text_or_empty(text_col), F.xxhash64(F.col(id_col), text_or_empty(text_col))
     rows = docs.filter(learn & F.col(label_col).isNotNull() & text.rlike(r"\p{L}")).select(
         F.col(label_col).cast("string").alias("label"), draw.alias("draw"), text.alias("text"))
-    nth = F.row_number().over(Window.partitionBy("label").orderBy("draw"))
-    drawn = (rows.select("label", "draw").distinct().withColumn("nth", nth).filter(F.col("nth") <= per_class)
-             .orderBy("nth", "draw", "label").limit(train_rows).select("label", "draw"))
+    # a table with more labels than the sample has rows: the most frequent ones are learnt
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.desc("n"), "label").limit(train_rows).collect()}
+    if not counts:
+        return None
+    drawn = (hash_sample(rows.select("label", "draw"), "label", "draw", counts,
+                         level_quotas(counts, train_rows, per_class))
+             .dropDuplicates(["label", "draw"]).orderBy("draw", "label").limit(train_rows))
     # at most train_rows labels and numbers: a bounded broadcast
     sample = rows.join(F.broadcast(drawn), ["label", "draw"]).dropDuplicates(["label", "draw"])
     kept = sample.mapInPandas(_presences, "label string, draw long, bits binary").collect()

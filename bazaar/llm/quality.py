@@ -23,11 +23,11 @@ from itertools import pairwise
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.llm import wordhash
-from bazaar.llm.common import SPACE, bounded_batches, materialize, text_or_empty
+from bazaar.llm.common import SPACE, bounded_batches, hash_sample, level_quotas, materialize, text_or_empty
 
 BAD, GOOD, NONE = 0, 1, 2
 #: Where the estimation starts: P(vote bad, vote good) of a labeller on bad and on good documents, as most
@@ -191,16 +191,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     voted = materialize(rows.select("draw", pattern("text").alias("pattern")), "op7-votes")
     counts = {r["pattern"]: r["n"] for r in voted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()}
     q, _, _ = posteriors(counts)
-    side = F.col("pattern").isin([p for p, x in q.items() if x >= 0.5])
     # each pattern lends as equal a share as it can, so that rare kinds of junk are seen
-    nth = F.row_number().over(Window.partitionBy("pattern").orderBy("draw"))
-    half = sample_rows // 2
-    distinct = voted.filter("pattern >= 0").distinct().withColumn("good", side).withColumn("nth", nth)
-    few = distinct.filter(F.col("nth") <= min(half, 1000))
-    drawn = None
+    quotas: dict[int, int] = {}
     for good in (True, False):
-        some = few.filter(F.col("good") == good).orderBy("nth", "draw").limit(half).select("draw", "pattern")
-        drawn = some if drawn is None else drawn.unionByName(some)
+        quotas |= level_quotas({p: n for p, n in counts.items() if p >= 0 and (q[p] >= 0.5) == good}, sample_rows // 2)
+    own = {p: counts[p] for p in quotas}
+    drawn = (hash_sample(voted, "pattern", "draw", own, quotas).dropDuplicates(["draw"])
+             .orderBy("draw").limit(sample_rows))
 
     def features_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
