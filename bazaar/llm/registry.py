@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import (exact_dedup, jaccard_join, language_id, line_dedup, mixing, packing, quality, sharding,
-                        token_counts, topk_search)
+from bazaar.llm import (byte_bpe, exact_dedup, jaccard_join, language_id, lexical_search, line_dedup, mixing, packing,
+                        quality, sharding, spelling, token_counts, topk_search)
 from bazaar.llm.common import table
 
 
 def vocabulary(name: str) -> str:
-    """Where a public vocabulary file lies: in the folder CORPUS_VOCABULARIES, else where the installed package says."""
-    folder = os.environ.get("CORPUS_VOCABULARIES")
-    if folder:
-        return os.path.join(folder, name)
+    """Where the installed package says that a public vocabulary file lies."""
     import public_tokenizers
     return public_tokenizers.path(name)
 
@@ -64,6 +60,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), min_len=6, min_count=5, one_in=199, factor=5)
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return byte_bpe.round_trips(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"),
+                                public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_search": op1_topk_search,
     "op2_sharding": op2_sharding,
@@ -75,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_packing": op9_packing,
     "op10_token_counts": op10_token_counts,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {
@@ -84,4 +97,6 @@ ORACLE: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.SQL,
     "op6_jaccard_join": jaccard_join.SQL,
     "op8_mixing": mixing.SQL,
+    "op11_lexical_search": lexical_search.SQL,
+    "op12_spelling_variants": spelling.SQL,
 }
