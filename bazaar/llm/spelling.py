@@ -10,7 +10,7 @@
 3. The words of a block are sorted. The edit matrix of a word against the whole list has a band of three cells,
    and a row of it depends on the list word's prefix only: it is computed once for all
    adjacent words that share the prefix (their LCP says so), and once its cells all exceed one edit the whole
-   range of words with that prefix is skipped. The matrices of all words of a block advance together,
+   range of words with that prefix is skipped. The matrices of all words of many blocks advance together,
    one prefix length after the other.
 4. A task sends per word its number of near words and the best of them, never the pairs. The words' best near words
    are their forms; roots follow the forms by pointer doubling, as counts grow fivefold along them.
@@ -25,7 +25,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,9 @@ from bazaar.llm.common import ascii_lower, materialize, text_or_empty
 LETTERS = "A-Za-zÀ-ÿ"
 BLOCK = 512
 BLOCK_CHARS = 1 << 20
-#: How many words' matrices advance at once.
-TOGETHER = 256
+#: How many words' matrices advance at once, and how many code points the lists of a step have when padded.
+TOGETHER = 4096
+CELLS = 1 << 22
 
 
 def word_counts(docs: DataFrame, min_len: int, min_count: int, one_in: int, id_col: str, text_col: str) -> DataFrame:
@@ -97,44 +99,47 @@ def blocks_of(words: DataFrame, block: int = BLOCK, block_chars: int = BLOCK_CHA
     return out
 
 
-def near_in_list(words: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j) of a sorted list where words[i] has `size` code points and words[j] is one edit from it.
+def near_in_lists(words: list[str], starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Arrays (i, j, d): words[i] has its list's size, words[j] of the same list is one edit away, d is where they differ first.
 
-    Words of the list have `size` or one code point more. Pairs of equal length come both ways.
+    `words` holds sorted lists end to end, `starts` where each begins; the words of list k have `sizes[k]` or one code point
+    more. Pairs of equal length come both ways.
     """
     length = np.array([len(w) for w in words])
-    m, width = len(words), int(length.max()) + 1
+    m, width = len(words), int(length.max(initial=0)) + 1
     code = np.zeros((m, width + 1), dtype=np.uint32)
-    flat = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
-    code[np.arange(width + 1) < length[:, None]] = flat
+    code[np.arange(width + 1) < length[:, None]] = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
     lcp = np.zeros(m, dtype=np.int64)
     lcp[1:] = np.logical_and.accumulate((code[1:] == code[:-1]) & (code[1:] > 0), axis=1).sum(axis=1)
-    lcp[0] = -1
-    asked = np.flatnonzero(length == size)
-    found_i, found_j = [], []
+    lcp[starts] = -1
+    own = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, m)))
+    asked = np.flatnonzero(length == sizes[own])
+    # for each prefix length: where a range of words with an equal prefix begins, and which of them go on
+    ranges = [np.append(np.flatnonzero(lcp < depth), m) for depth in range(width)]
+    longer = [np.flatnonzero((lcp < depth + 1) & (length > depth)) for depth in range(width)]
     for part in np.split(asked, range(TOGETHER, len(asked), TOGETHER)):
+        size = length[part]
         query = np.zeros((len(part), width + 3), dtype=np.uint32)  # column j + 1 holds code point j
-        query[:, 1:size + 1] = code[part, :size]
-        # the band of row 0: cells -1, 0 and 1; all words share the empty prefix
-        q, lo = np.arange(len(part)), np.zeros(len(part), dtype=np.int64)
+        query[:, 1:width + 2] = code[part]
+        # the band of row 0: cells -1, 0 and 1; all words of a list share the empty prefix
+        q, lo = np.arange(len(part)), starts[own[part]]
         left, here, right = (np.full(len(part), x, dtype=np.int8) for x in (2, 0, 1))
         for depth in range(width):
             if not len(q):
                 break
             # words that end here stand first in their range, more than once only if they are equal
-            ends = length[lo] == depth
-            if ends.any() and abs(depth - size) <= 1:
-                cell = (right if depth < size else here if depth == size else left)[ends]
-                hit = np.flatnonzero(ends)[cell == 1]
-                found_i.append(part[q[hit]])
-                found_j.append(lo[hit])
-            starts = np.append(np.flatnonzero(lcp < depth), m)
-            hi = starts[np.searchsorted(starts, lo, side="right")]
-            below = np.flatnonzero((lcp < depth + 1) & (length > depth))
-            first, last = np.searchsorted(below, lo), np.searchsorted(below, hi)
+            ends = np.flatnonzero((length[lo] == depth) & (np.abs(depth - size[q]) <= 1))
+            if len(ends):
+                past = depth - size[q[ends]]
+                cell = np.where(past < 0, right[ends], np.where(past == 0, here[ends], left[ends]))
+                hit = ends[cell == 1]
+                i, j = part[q[hit]], lo[hit]
+                yield i, j, (code[i] != code[j]).argmax(axis=1)
+            hi = ranges[depth][np.searchsorted(ranges[depth], lo, side="right")]
+            first, last = np.searchsorted(longer[depth], lo), np.searchsorted(longer[depth], hi)
             times = last - first
             up = np.repeat(np.arange(len(q)), times)
-            child = below[np.arange(len(up)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)]
+            child = longer[depth][np.arange(len(up)) - np.repeat(np.cumsum(times) - times - first, times)]
             c, row = code[child, depth], q[up]
             a = np.minimum(left[up] + (c != query[row, depth]), here[up] + 1)
             b = np.minimum(np.minimum(here[up] + (c != query[row, depth + 1]), right[up] + 1), a + 1)
@@ -142,59 +147,76 @@ def near_in_list(words: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
             alive = (a < 2) | (b < 2) | (d < 2)
             q, lo = row[alive], child[alive]
             left, here, right = (np.minimum(x[alive], 2).astype(np.int8) for x in (a, b, d))
-    if not found_i:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(found_i), np.concatenate(found_j)
-
-
-def _near_of_block(rows: pd.DataFrame) -> pd.DataFrame:
-    """(word, near, best_n, best): per word the near words that this block answers for."""
-    size, before, after, until = (int(rows[c].iloc[0]) for c in ("size", "before", "after", "until"))
-    order = sorted(range(len(rows)), key=rows["word"].tolist().__getitem__)
-    words = [rows["word"].iat[k] for k in order]
-    n = rows["n"].to_numpy()[order]
-    middle = [w[before:len(w) - after] for w in words]
-    # equal ends do not change the distance; a block is named by a hash, so that they are equal is checked below
-    by = sorted(range(len(words)), key=middle.__getitem__)
-    i, j = near_in_list([middle[k] for k in by], size - before - after)
-    at = np.array(by)
-    best: dict[int, list] = {}
-    for x, y in zip(at[i].tolist(), at[j].tolist()):
-        a, b = words[x], words[y]
-        if len(a) == len(b) and x > y:
-            continue  # comes the other way round as well
-        differs = next((k for k, (s, t) in enumerate(zip(a, b)) if s != t), len(a))
-        if not before <= differs < until or a[len(a) - after:] != b[len(b) - after:]:
-            continue
-        for own, other in ((x, y), (y, x)):
-            got = best.setdefault(own, [0, -1, ""])
-            got[0] += 1
-            if (-n[other], words[other]) < (-got[1], got[2]):
-                got[1:] = int(n[other]), words[other]
-    return pd.DataFrame({"word": [words[k] for k in best], "near": [v[0] for v in best.values()],
-                         "best_n": [v[1] for v in best.values()], "best": [v[2] for v in best.values()]})
-
-
-def _near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For rows sorted by key: the near words of each block, streaming; only the last block is held."""
-    rest: pd.DataFrame | None = None
-    for b in batches:
-        b = b if rest is None else pd.concat([rest, b], ignore_index=True)
-        change = np.flatnonzero(b["key"].to_numpy()[1:] != b["key"].to_numpy()[:-1]) + 1
-        cuts = [0, *change.tolist()]
-        parts = [_near_of_block(b.iloc[x:y]) for x, y in zip(cuts, cuts[1:]) if y - x > 1]
-        rest = b.iloc[cuts[-1]:]
-        parts = [p for p in parts if len(p)]
-        if parts:
-            yield pd.concat(parts, ignore_index=True)
-    if rest is not None and len(rest) > 1:
-        yield _near_of_block(rest)
+
+
+def _near_of_blocks(rows: pa.Table) -> pa.RecordBatch:
+    """(word, near, best_n, best): per word and block the near words that the block answers for. `rows` are whole blocks."""
+    key, size, before, after, until, n = (rows[c].to_numpy() for c in ("key", "size", "before", "after", "until", "n"))
+    words = rows["word"].to_pylist()
+    # equal ends do not change the distance, so the lists hold what stands between them
+    middle = [w[b:len(w) - a] for w, b, a in zip(words, before.tolist(), after.tolist())]
+    order = sorted(range(len(words)), key=list(zip(key.tolist(), middle)).__getitem__)
+    at = np.array(order)
+    starts = np.append(0, np.flatnonzero(np.diff(key[at])) + 1)
+    sizes = (size - before - after)[at[starts]]
+    # a block is named by a hash: only words whose ends are equal indeed make a pair
+    seen: dict[tuple, int] = {}
+    ends = np.array([seen.setdefault((w[:b], w[len(w) - a:]), len(seen))
+                     for w, b, a in zip(words, before.tolist(), after.tolist())])
+    rank = np.empty(len(words), dtype=np.int64)
+    rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
+    length = np.array([len(w) for w in words])
+    found = [(np.empty(0, np.int64),) * 2]
+    for i, j, differs in near_in_lists([middle[k] for k in order], starts, sizes):
+        i, j = at[i], at[j]
+        # equal lengths come both ways: the smaller word's way counts
+        ok = (ends[i] == ends[j]) & (before[i] + differs < until[i]) & ((length[i] < length[j]) | (rank[i] < rank[j]))
+        found.append((i[ok], j[ok]))
+    i, j = (np.concatenate(x) for x in zip(*found))
+    x, y = np.concatenate([i, j]), np.concatenate([j, i])
+    by = np.lexsort((rank[y], -n[y], x))
+    x, y = x[by], y[by]
+    first = np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.empty(0, np.int64)
+    near = np.diff(np.append(first, len(x)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([words[k] for k in x[first]], pa.string()), pa.array(near, pa.int64()), pa.array(n[y[first]], pa.int64()),
+         pa.array([words[k] for k in y[first]], pa.string())], ["word", "near", "best_n", "best"])
+
+
+def _in_steps(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Whole blocks, answered for together as long as they fit."""
+    key = rows["key"].to_numpy()
+    starts = np.append(0, np.flatnonzero(np.diff(key)) + 1)
+    ends = np.append(starts[1:], len(key))
+    apart = pc.subtract(pc.utf8_length(rows["word"]), pc.add(rows["before"], rows["after"])).to_numpy()
+    widest = np.maximum.reduceat(apart, starts)
+    begin, width = 0, 0
+    for lo, hi, w in zip(starts.tolist(), ends.tolist(), widest.tolist()):
+        if lo > begin and (hi - begin > 2 * TOGETHER or (hi - begin) * max(width, w) > CELLS):
+            yield _near_of_blocks(rows.slice(begin, lo - begin))
+            begin, width = lo, 0
+        width = max(width, w)
+    yield _near_of_blocks(rows.slice(begin))
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For rows sorted by key: the near words that the blocks answer for, streaming over the blocks."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        new = pa.Table.from_batches([batch])
+        rest = new if rest is None else pa.concat_tables([rest, new])
+        change = np.flatnonzero(np.diff(rest["key"].to_numpy())) + 1
+        if len(change) and change[-1] >= TOGETHER:
+            yield from _in_steps(rest.slice(0, int(change[-1])))
+            rest = rest.slice(int(change[-1]))
+    if rest is not None and len(rest):
+        yield from _in_steps(rest)
 
 
 def near_words(words: DataFrame, block: int = BLOCK, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(word, n, n_near, form, form_n): for each of the words (word, n) its near words, and the best."""
     rows = blocks_of(words, block, block_chars).repartition("key").sortWithinPartitions("key")
-    parts = rows.mapInPandas(_near, "word string, near long, best_n long, best string")
+    parts = rows.mapInArrow(_near, "word string, near long, best_n long, best string")
     own = words.select("word", "n", F.lit(0).cast("long").alias("near"), F.lit(None).cast("long").alias("best_n"),
                        F.lit(None).cast("string").alias("best"))
     every = own.unionByName(parts.withColumn("n", F.lit(None).cast("long")), allowMissingColumns=True)

@@ -70,11 +70,10 @@ def test_search_equals_brute_force(spark, searched):
     assert got == sorted(ranked_brute(rows, list(dict.fromkeys(items)), 10), key=str)
 
 
-def test_search_in_small_segments_leaves_and_blocks(spark, searched, monkeypatch):
+def test_search_in_blocks_of_items(spark, searched):
     rows, items = searched
-    # the tasks import the module anew: hand them the small bounds through the functions themselves
     want = {r for r in ranked_brute(rows, list(dict.fromkeys(items)), 3)}
-    got = lexical_search.rank(docs_frame(spark, rows).repartition(7), items_frame(spark, items), k=3, block_bytes=60)
+    got = lexical_search.rank(docs_frame(spark, rows).repartition(3), items_frame(spark, items), k=3, block_bytes=400)
     assert set(ranked(got)) == want
 
 
@@ -212,13 +211,22 @@ def test_variants_equal_brute_force(spark, spelled, block, chars):
     assert any(r[2] not in (r[0], r[1]) for r in got)  # a chain of two forms
 
 
-def test_lists_find_all_pairs():
+def test_lists_find_all_pairs(monkeypatch):
     rnd = random.Random(2)
-    for size in (1, 2, 3, 5, 7):
-        words = sorted({"".join(rnd.choices("abc", k=rnd.choice((size, size + 1)))) for _ in range(150)})
-        i, j = spelling.near_in_list(words, size)
-        want = {(a, b) for a, x in enumerate(words) if len(x) == size for b, y in enumerate(words) if one_edit(x, y)}
-        assert sorted(zip(i.tolist(), j.tolist())) == sorted(want)
+    for together in (7, 4096):
+        monkeypatch.setattr(spelling, "TOGETHER", together)
+        sizes = [1, 2, 3, 5, 7, 0]
+        lists = [sorted({"".join(rnd.choices("abc", k=rnd.choice((k, k + 1)))) for _ in range(90)}) for k in sizes]
+        starts = np.cumsum([0, *map(len, lists)])[:-1]
+        words = [w for x in lists for w in x]
+        got = [p for i, j, d in spelling.near_in_lists(words, starts, np.array(sizes)) for p in zip(i, j, d)]
+        want = set()
+        for s, k, x in zip(starts, sizes, lists):
+            for i, a in enumerate(x):
+                for j, b in enumerate(x):
+                    if len(a) == k and one_edit(a, b):
+                        want.add((s + i, s + j, next((h for h in range(k) if a[h] != b[h]), k)))
+        assert len(got) == len(set(got)) and set(got) == want
 
 
 def test_blocks_stay_small_and_hold_each_pair_once(spark):
