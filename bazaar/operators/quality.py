@@ -117,13 +117,24 @@ def gate_build(results: DataFrame) -> None:
         raise BuildFailed(f"{len(failed)} data test(s) failed: {failed}")
 
 
-def gate_load(outcome_counts: DataFrame, max_failed_pages: int = 0, failed_outcomes: Sequence[str] = (
-        "rate_limited", "forbidden", "failed")) -> None:
-    """Stop before the transforms when the load reported more failed pages than allowed."""
-    n = (outcome_counts.where(F.col("outcome").isin(*failed_outcomes))
-         .agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0])
-    if n > max_failed_pages:
-        raise BuildFailed(f"load failed for {n} page(s)")
+#: Outcomes of a page that could not be loaded; a missing page (404) is none.
+FAILED_OUTCOMES = ("rate_limited", "forbidden", "failed")
+
+
+def failed_pages(outcome_counts: DataFrame, failed_outcomes: Sequence[str] = FAILED_OUTCOMES) -> int:
+    return (outcome_counts.where(F.col("outcome").isin(*failed_outcomes))
+            .agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0])
+
+
+def gate_load(outcome_counts: DataFrame, max_failed_pages: int | None = 0,
+              failed_outcomes: Sequence[str] = FAILED_OUTCOMES, max_failed_share: float | None = None) -> None:
+    """Stop before the transforms when the load reported more failed pages, or a larger share of them, than allowed
+    (None: any)."""
+    n = failed_pages(outcome_counts, failed_outcomes)
+    pages = outcome_counts.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
+    if (max_failed_pages is not None and n > max_failed_pages) or (
+            max_failed_share is not None and n > max_failed_share * pages):
+        raise BuildFailed(f"load failed for {n} page(s) of {pages}")
 
 
 class ContractError(ValueError):

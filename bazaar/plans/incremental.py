@@ -3,8 +3,10 @@
 * The table-level mark (`max(partition column)` of the target) is resolved once
   before the build and passed as a literal, so the source scans prune partitions.
 * Day-partitioned models recompute days >= mark (inclusive: the newest day is
-  rebuilt, so a re-run is idempotent) and overwrite only the partitions present in
-  the result (dynamic partition overwrite).
+  rebuilt, so a re-run is idempotent). The result is written aside and its partitions are swapped in; a
+  recomputed day without rows loses its partition.
+* The staged tables hold the newest row per key. A load merges into the partitions that it touches; the raw
+  tables are ranked again for replaced attempts only, and for their partitions only.
 * The month-partitioned daily history recomputes the (item, day) keys of the new load
   from the raw points of the months it touches, and merges them with those months'
   other rows, so a month is never overwritten with a partial recompute and late
@@ -26,7 +28,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaar import schemas
+from bazaar.operators.dedup import keep_first
 from bazaar.session import materialize
+from bazaar.sources import folders as fs
 from bazaar.sources.sinks import write_table
 
 EPOCH = _dt.date(1970, 1, 1)
@@ -103,23 +107,83 @@ def read_guarded(spark: SparkSession, path: str, column: str, lower=None, upper=
     return df
 
 
+def publish_partitions(df: DataFrame, target: str, partition_col: str, recomputed: Callable[[_dt.date], bool],
+                       cluster_by: Sequence[str] = ()) -> list[_dt.date]:
+    """Replace the date partitions that `recomputed` names by the rows of `df`, written aside first.
+
+    `df` may read the target. A recomputed partition without rows goes. Each partition is swapped on its own:
+    a crash in between is mended by running again.
+    """
+    spark, aside = df.sparkSession, f"{target.rstrip('/')}/_next"
+    fs.delete(spark, aside)
+    write_table(df, aside, [partition_col], cluster_by, mode="overwrite", dynamic=False)
+    fresh = partition_values(spark, aside, partition_col)
+    for day in partition_values(spark, target, partition_col):
+        if day in fresh or recomputed(_dt.date.fromisoformat(day)):
+            fs.delete(spark, f"{target}/{partition_col}={day}")
+    for day in fresh:
+        fs.move(spark, f"{aside}/{partition_col}={day}", f"{target}/{partition_col}={day}")
+    fs.delete(spark, aside)
+    return sorted(_dt.date.fromisoformat(d) for d in fresh)
+
+
 def materialize_incremental(spark: SparkSession, target: str, build: Callable[[_dt.date | None], DataFrame],
-                            partition_col: str, cluster_by: Sequence[str] = (), lookback_days: int = 0) -> dict:
+                            partition_col: str, cluster_by: Sequence[str] = (), lookback_days: int = 0,
+                            reach_back: _dt.date | None = None) -> dict:
     """Build and write a day-partitioned model.
 
     First run (no target): `build(None)` is the full refresh, written whole.
     Later runs: `build(since)` with since = coalesce(max(partition_col), 1970-01-01)
-    - lookback; only the partitions present in the result are replaced.
+    - lookback, or `reach_back` where that is earlier (the first day of loads that come late); the days from there on are
+    replaced.
     """
     mark = table_mark(spark, target, partition_col)
     if mark is None:
-        write_table(build(None), target, [partition_col], cluster_by, mode="overwrite", dynamic=False)
+        fs.swap_table(spark, target, lambda out: write_table(build(None), out, [partition_col], cluster_by, dynamic=False))
         return {"mode": "full", "since": None}
     since = incremental_since(mark, lookback_days)
-    write_table(build(since), target, [partition_col], cluster_by, mode="overwrite", dynamic=True)
+    if reach_back is not None:
+        since = min(since, reach_back)
+    publish_partitions(build(since), target, partition_col, lambda day: day >= since, cluster_by)
     return {"mode": "incremental", "since": since}
 
 
+def in_partitions(column: str, days: Sequence[_dt.date]) -> Column:
+    """Literal dates, so that the scan prunes partitions."""
+    return F.col(column).isin([F.lit(str(d)).cast("date") for d in days]) if days else F.lit(False)
+
+
+def materialize_newest(spark: SparkSession, target: str, raw: Callable[[Sequence[_dt.date] | None], DataFrame],
+                       fresh: DataFrame | None, keys: Sequence[str], order: Sequence[str], partition_col: str,
+                       tiebreak: str | None = "rest", cluster_by: Sequence[str] = (),
+                       stale: Sequence[_dt.date] = ()) -> dict:
+    """Keep a table of the newest row per key, in date partitions that the key decides.
+
+    `raw(dates)` reads all rows of some partitions (None: of all), `fresh` holds those not merged yet (None, or no
+    target: everything is ranked). A load's rows meet the kept rows of the partitions that they fall into, and nothing
+    else is read. The partitions in `stale` are those of rows that are gone; they alone are ranked again from
+    `raw`. Rows without a value in `partition_col` are not kept. Merging equals ranking all rows, in whatever order
+    loads arrive, since the first of a key among all rows is the first among the kept one and the new ones.
+    """
+    dated = F.col(partition_col).isNotNull()
+    if fresh is None or table_mark(spark, target, partition_col) is None:
+        newest = keep_first(raw(None).where(dated), keys, order, tiebreak=tiebreak)
+        fs.swap_table(spark, target, lambda out: write_table(newest, out, [partition_col], cluster_by, dynamic=False))
+        return {"mode": "full", "partitions": None}
+    fresh = fresh.where(dated)
+    touched = sorted(r[0] for r in fresh.select(partition_col).distinct().collect())  # dates, one per day or month
+    merged = [d for d in touched if d not in set(stale)]
+    if not merged and not stale:
+        return {"mode": "incremental", "partitions": []}
+    kept = spark.read.schema(fresh.schema).parquet(target).where(in_partitions(partition_col, merged))
+    rows = kept.select(*fresh.columns).unionByName(fresh.where(in_partitions(partition_col, merged)))
+    if stale:
+        rows = rows.unionByName(raw(stale).where(in_partitions(partition_col, stale)))
+    again = {*merged, *stale}
+    publish_partitions(keep_first(rows, keys, order, tiebreak=tiebreak), target, partition_col, again.__contains__, cluster_by)
+    return {"mode": "incremental", "partitions": sorted(again)}
+
+
 def touched_months(new_history: DataFrame, ts_col: str = "priced_at") -> list[_dt.date]:
     """Months (first days) that a batch of history rows falls into: at most 12 per year of data."""
     month = F.trunc(F.to_date(F.col(ts_col)), "MM").alias("month")
@@ -143,20 +207,61 @@ def in_months(months: Sequence[_dt.date], ts_col: str) -> Column:
     return out
 
 
+#: Buckets of a dimension: a constant of the stored table, sized for some hundred million keys at 100 MB a bucket.
+DIM_BUCKETS = 64
+
+
+def materialize_buckets(spark: SparkSession, target: str, whole: DataFrame, fresh: DataFrame | None, key: str,
+                        upsert: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+                        buckets: int = DIM_BUCKETS) -> dict:
+    """Keep a keyed table partitioned by a hash bucket of its key, column `key_bucket`.
+
+    `fresh` None (or no target): `whole` replaces the table. Otherwise `upsert(current, fresh)` is worked out
+    for the buckets that `fresh` falls into; the files of the others stay as they are. Each bucket is written aside and
+    swapped in.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    if fresh is None or not path_exists(spark, target):
+        fs.swap_table(spark, target, lambda out: write_table(whole.withColumn("key_bucket", bucket), out, ["key_bucket"], [key],
+                                                             dynamic=False))
+        return {"mode": "full", "buckets": None}
+    fresh = materialize(fresh.withColumn("key_bucket", bucket), "fresh-keys")
+    touched = sorted(r[0] for r in fresh.select("key_bucket").distinct().collect())  # at most `buckets` numbers
+    if not touched:
+        return {"mode": "incremental", "buckets": []}
+    current = spark.read.schema(fresh.schema).parquet(target).where(F.col("key_bucket").isin(touched))
+    merged = upsert(current.drop("key_bucket"), fresh.drop("key_bucket")).withColumn("key_bucket", bucket)
+    aside = f"{target.rstrip('/')}/_next"
+    fs.delete(spark, aside)
+    write_table(merged, aside, ["key_bucket"], [key], mode="overwrite", dynamic=False)
+    for b in partition_values(spark, aside, "key_bucket"):
+        fs.delete(spark, f"{target}/key_bucket={b}")
+        fs.move(spark, f"{aside}/key_bucket={b}", f"{target}/key_bucket={b}")
+    fs.delete(spark, aside)
+    return {"mode": "incremental", "buckets": touched}
+
+
 def materialize_monthly(spark: SparkSession, target: str, history_raw: DataFrame, new_history: DataFrame | None,
-                        cluster_by: Sequence[str] = ("item_name",)) -> dict:
+                        cluster_by: Sequence[str] = ("item_name",), kept: DataFrame | None = None) -> dict:
     """The daily history model, partitioned by month, from the raw history.
 
     `new_history` None (or no target yet): a full refresh, which replaces the whole table. Otherwise the
-    (item, day) keys of `new_history` (staged rows of the new load) are recomputed from the raw points of their
-    months, merged with the target's other rows of those months, and these partitions are replaced.
+    (item, day) keys of `new_history` (staged rows of the new loads and of replaced attempts) are recomputed from the
+    points of their months, merged with the target's other rows of those months, and these partitions are replaced.
+    The points come from `kept`, the staged table of the newest row per key with its `price_month`, where it is given, and
+    from the raw history otherwise.
     """
     from bazaar.plans.models import int_item_price_history_daily, stg_item_price_history
+
+    if kept is not None:
+        every = kept.drop("price_month")
+    else:
+        every = stg_item_price_history(history_raw)
     exists = table_mark(spark, target, "price_month") is not None
     if not exists or new_history is None:
-        out = int_item_price_history_daily(stg_item_price_history(history_raw))
+        out = int_item_price_history_daily(every)
         out = out.withColumn("price_month", F.trunc("price_date", "MM"))
-        write_table(out, target, ["price_month"], cluster_by, mode="overwrite", dynamic=False)
+        fs.swap_table(spark, target, lambda aside: write_table(out, aside, ["price_month"], cluster_by, dynamic=False))
         return {"mode": "full", "months": None}
     months = touched_months(new_history)
     if not months:
@@ -167,17 +272,18 @@ def materialize_monthly(spark: SparkSession, target: str, history_raw: DataFrame
     def is_key(item: str, day: Column) -> Column:
         return F.col(item).eqNullSafe(F.col("__item")) & (day == F.col("__day"))
 
-    # the bound is on the raw column and below the deduplication, whose key (item, instant) lies within a month
-    points = history_raw.where(in_months(months, "date"))
-    points = points.join(keys, is_key("market_hash_name", F.to_date("date")), "left_semi")
-    fresh = int_item_price_history_daily(stg_item_price_history(points))
+    if kept is not None:
+        points = kept.where(in_partitions("price_month", months)).drop("price_month").join(
+            keys, is_key("item_name", F.to_date("priced_at")), "left_semi")
+    else:
+        # the bound is on the raw column and below the deduplication, whose key (item, instant) lies within a month
+        points = stg_item_price_history(history_raw.where(in_months(months, "date")).join(
+            keys, is_key("market_hash_name", F.to_date("date")), "left_semi"))
+    fresh = int_item_price_history_daily(points)
     fresh = fresh.withColumn("price_month", F.trunc("price_date", "MM"))
-    old = spark.read.schema(fresh.schema).parquet(target).where(
-        F.col("price_month").isin([F.lit(str(m)).cast("date") for m in months]))
+    old = spark.read.schema(fresh.schema).parquet(target).where(in_partitions("price_month", months))
     old = old.join(keys, is_key("item_name", F.col("price_date")), "left_anti")
-    # written aside first: the partitions that are read are the ones to be replaced
-    merged = materialize(old.unionByName(fresh), "merged-months")
-    write_table(merged, target, ["price_month"], cluster_by, mode="overwrite", dynamic=True)
+    publish_partitions(old.unionByName(fresh), target, "price_month", set(months).__contains__, cluster_by)
     return {"mode": "incremental", "months": months}
 
 
@@ -187,10 +293,15 @@ def with_load_id(schema: T.StructType, part_col: str = "load_id") -> T.StructTyp
     return T.StructType(list(schema.fields) + [T.StructField(part_col, T.StringType())])
 
 
-def read_loads(spark: SparkSession, path: str, schema: T.StructType, part_col: str = "load_id") -> DataFrame:
+def read_loads(spark: SparkSession, path: str, schema: T.StructType, part_col: str = "load_id",
+               within: tuple[str, Sequence[_dt.date]] | None = None) -> DataFrame:
     """Read a table partitioned by load id (and maybe more); the id stays text (no type
-    inference), so fixed-width ids keep their order."""
-    return spark.read.schema(with_load_id(schema, part_col)).parquet(path).select(*schema.fieldNames(), part_col)
+    inference), so fixed-width ids keep their order. `within` = (`_day` or `_month`, dates) reads those partitions only."""
+    full = with_load_id(schema, part_col)
+    if within is None:
+        return spark.read.schema(full).parquet(path).select(*schema.fieldNames(), part_col)
+    rows = spark.read.schema(T.StructType([*full.fields, T.StructField(within[0], T.DateType())])).parquet(path)
+    return rows.where(in_partitions(*within)).select(*schema.fieldNames(), part_col)
 
 
 def state_from_data(history: DataFrame, key: str = "market_hash_name", ts_col: str = "date",

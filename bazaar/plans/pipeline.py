@@ -5,6 +5,10 @@ materialises are written (raw appends, the month-partitioned daily history, the
 day-partitioned fact and reports, the latest-item table, the dimension).
 Downstream models read the written tables back with a literal partition bound,
 which also cuts the lineage at each materialisation.
+
+A load is published as a unit and entered in a ledger; the models take every load that is extracted and not
+yet modelled, so nothing that a stopped run has loaded is lost (`bazaar.sources.loads`). The staged tables
+keep the newest row per key and merge what a load brings; tables are written aside and swapped in.
 """
 
 from __future__ import annotations
@@ -20,8 +24,10 @@ from bazaar.operators import ingest as ig
 from bazaar.operators import quality as qa
 from bazaar.plans import incremental as inc
 from bazaar.plans import models as m
-from bazaar.session import materialize
+from bazaar.sources import folders as fs
+from bazaar.sources import loads
 from bazaar.sources import raw as src
+from bazaar.sources.loads import Ledger, publish_load
 from bazaar.sources.sinks import export_parquet, write_table
 
 REPORTS = ("rpt_market_metrics_daily", "rpt_commodity_velocity_daily", "rpt_item_metrics_latest")
@@ -34,6 +40,9 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def ledger(self, spark: SparkSession) -> Ledger:
+        return Ledger(spark, self.path("_ledger"))
+
 
 # --- extract / load -------------------------------------------------------------------
 
@@ -60,28 +69,23 @@ def load_history(history_pages: DataFrame, state: DataFrame | None, load_id: str
     return ex
 
 
-def _replace_load(df: DataFrame, path: str, load_id: str, day: str | None = None, by: str = "day",
-                  cluster_by: tuple[str, ...] = ()) -> None:
-    """Write one load's rows, replacing what an earlier attempt of the same load left.
-
-    Raw tables are partitioned by load and by the day or month of a timestamp, and clustered by item.
-    """
-    out, parts = df.withColumn("load_id", F.lit(load_id)), ["load_id"]
-    if day is not None:
-        value = F.to_date(day) if by == "day" else F.trunc(F.to_date(day), "MM")
-        out, parts = out.withColumn(f"_{by}", value), ["load_id", f"_{by}"]
-    write_table(out, path, parts, cluster_by, mode="overwrite", dynamic=True)
-
-
 def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, history_pages: DataFrame,
-               run_ts: _dt.datetime, load_id: str, grain: str = "day", max_failed_pages: int | None = 0,
-               dev_page_limit: int | None = None) -> dict:
-    """One batch into two sinks: the listing records, and the price history of the fetched pages. Both raw
-    tables are appended (by load id, so a replay of the same load replaces its own output), then the
-    per-item state is committed. More than `max_failed_pages` failed pages stop the run here (None: never)."""
+               run_ts: _dt.datetime, load_id: str, grain: str = "day", max_failed_pages: int | None = None,
+               dev_page_limit: int | None = None, max_failed_share: float | None = None) -> dict:
+    """One batch into two sinks: the listing records, and the price history of the fetched pages.
+
+    Each table of the load replaces what an earlier attempt left, whole; then the per-item state is committed, and the
+    ledger says that the load is extracted. Failed pages are logged and their items skipped. More than
+    `max_failed_pages` of them, or than their `max_failed_share` (None: any), stop the run here; the load
+    stays pending, and the next run models it.
+    """
+    ledger = wh.ledger(spark)
+    for name in ("items_raw", "item_price_history_raw", "_errors"):
+        loads.settle(spark, wh.path(name))
+    ledger.reopen(load_id)
     items = load_items(listing_pages, run_ts, load_id, dev_page_limit=dev_page_limit)
-    _replace_load(items, wh.path("items_raw"), load_id, "snapshot_timestamp",
-                  cluster_by=("asset_description__market_hash_name",))
+    publish_load(items, wh.path("items_raw"), load_id, "snapshot_timestamp",
+                 cluster_by=("asset_description__market_hash_name",))
     if dev_page_limit is not None:  # the history of the listed items only
         listed = inc.read_loads(spark, wh.path("items_raw"), schemas.ITEMS_RAW).where(F.col("load_id") == load_id)
         names = listed.select(F.col("asset_description__market_hash_name").alias("market_hash_name")).distinct()
@@ -92,40 +96,75 @@ def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, his
     state = inc.read_state(spark, wh.path("_state"), prior, before_load_id=load_id, grain=grain,
                            data_path=hist_path)
     ex = load_history(history_pages, state, load_id, grain)
-    _replace_load(ex.records, hist_path, load_id, "date", by="month", cluster_by=("market_hash_name", "date"))
+    publish_load(ex.records, hist_path, load_id, "date", by="month", cluster_by=("market_hash_name", "date"))
     written = inc.read_loads(spark, hist_path, schemas.ITEM_PRICE_HISTORY_RAW).where(F.col("load_id") == load_id)
     mark_type = schemas.state_schema(grain)["last_seen"].dataType
     inc.commit_state(ig.advance_state(state, written, as_type=mark_type), wh.path("_state"), load_id)
-    # failed pages go to an errors table (replay-safe, partitioned by load)
-    _replace_load(ex.errors, wh.path("_errors"), load_id)
-    errors = spark.read.schema("market_hash_name string, reason string, load_id string").parquet(
-        wh.path("_errors")).where(F.col("load_id") == load_id)
+    # failed pages go to an errors table, by load
+    publish_load(ex.errors, wh.path("_errors"), load_id)
+    loads.forget_retired(spark, wh.path("_errors"), [load_id])
+    errors = inc.read_loads(spark, wh.path("_errors"), schemas.PAGE_ERROR).where(F.col("load_id") == load_id)
     # one row per outcome class: bounded, safe to bring to the driver for the gate
     counts = ig.outcome_counts(ex.outcomes)
     counts = spark.createDataFrame(counts.collect(), counts.schema)
-    if max_failed_pages is not None:
-        qa.gate_load(counts, max_failed_pages)
+    ledger.mark(load_id, loads.EXTRACTED, run_ts, qa.failed_pages(counts))
+    qa.gate_load(counts, max_failed_pages, max_failed_share=max_failed_share)
     return {"outcomes": counts, "errors": errors}
 
 
 # --- transform ------------------------------------------------------------------------
 
-def run_models(spark: SparkSession, wh: Warehouse, items_raw: DataFrame, history_raw: DataFrame,
-               new_history: DataFrame | None = None, lookback_days: int = 0, load_id: str | None = None,
-               new_items: DataFrame | None = None) -> dict:
-    """Build every model from the raw tables; incremental where the target exists.
+def run_models(spark: SparkSession, wh: Warehouse, lookback_days: int = 0, full: bool = False) -> dict:
+    """Build every model from the raw tables; incremental where the targets exist.
 
-    `new_history` (staged) and `new_items` (raw) are the rows of this load; without them everything counts
-    as new. `lookback_days` widens the fact and, with it, the reports. Listing rows without a snapshot date
-    are quarantined, each in the load that brought it, and kept out of the fact, so full and incremental runs
-    agree (SURVEY D8).
+    Taken are all loads that are extracted and not yet modelled; at the end the ledger says that they are. Without
+    any, nothing is done. `full` rebuilds everything from all extracted loads. `lookback_days` widens the
+    fact and, with it, the reports. Listing rows without a snapshot date are quarantined, each in the load that
+    brought it, and kept out of the fact, so full and incremental runs agree (SURVEY D8).
     """
-    brought = m.stg_items_projected(items_raw if new_items is None else new_items)
-    _replace_load(brought.where(F.col("snapshot_date").isNull()), wh.path("_quarantine/stg_items"), load_id or "full")
-    stg = m.stg_items(items_raw).where(F.col("snapshot_date").isNotNull())
+    ledger = wh.ledger(spark)
+    pending = ledger.reached(loads.EXTRACTED) if full else ledger.pending()
+    if not pending:
+        return {}
+    items_path, hist_path = wh.path("items_raw"), wh.path("item_price_history_raw")
+    for name in ("dim_item", "rpt_item_metrics_latest"):
+        fs.settle_table(spark, wh.path(name))
+
+    def items(**bounds):
+        return m.stg_items_projected(loads.read_finished(spark, items_path, schemas.ITEMS_RAW, ledger, **bounds))
+
+    def history(**bounds):
+        rows = loads.read_finished(spark, hist_path, schemas.ITEM_PRICE_HISTORY_RAW, ledger, **bounds)
+        return m.stg_item_price_history_projected(rows).withColumn("price_month", F.trunc(F.to_date("priced_at"), "MM"))
+
+    # rows of attempts that were replaced since they were modelled: what they shaped is built again
+    gone_items = None if full else loads.retired(spark, items_path, schemas.ITEMS_RAW, pending)
+    gone_history = None if full else loads.retired(spark, hist_path, schemas.ITEM_PRICE_HISTORY_RAW, pending)
+    for load_id in pending:
+        publish_load(items(only=[load_id]).where(F.col("snapshot_date").isNull()), wh.path("_quarantine/stg_items"), load_id)
+    loads.forget_retired(spark, wh.path("_quarantine/stg_items"), pending)
+
+    # the staged tables: newest row per key, merged by the days and months that the loads touch
+    days, months = loads.days_of(spark, items_path, pending), loads.days_of(spark, hist_path, pending, "_month")
+    fresh_items, fresh_history = items(only=pending), history(only=pending)
+    info = {"stg_items": inc.materialize_newest(
+        spark, wh.path("stg_items"), lambda d: items(within=d and ("_day", d)), None if full else fresh_items,
+        ["item_name", "snapshot_date"], m.STG_ITEMS_ORDER, "snapshot_date", cluster_by=["item_name"],
+        stale=days if gone_items is not None else ())}
+    info["stg_item_price_history"] = inc.materialize_newest(
+        spark, wh.path("stg_item_price_history"), lambda d: history(within=d and ("_month", d)),
+        None if full else fresh_history, ["item_name", "priced_at"], m.STG_HISTORY_ORDER, "price_month",
+        tiebreak=None, cluster_by=["item_name"], stale=months if gone_history is not None else ())
+    stg = spark.read.schema(fresh_items.schema).parquet(wh.path("stg_items"))
+    kept = spark.read.schema(fresh_history.schema).parquet(wh.path("stg_item_price_history"))
+
+    touched = fresh_history.drop("price_month")
+    if gone_history is not None:
+        touched = touched.unionByName(m.stg_item_price_history_projected(gone_history))
     daily_path = wh.path("int_item_price_history_daily")
-    info = {"int_item_price_history_daily": inc.materialize_monthly(spark, daily_path, history_raw, new_history)}
-    daily_schema = m.int_item_price_history_daily(m.stg_item_price_history(history_raw)).schema.add("price_month", "date")
+    info["int_item_price_history_daily"] = inc.materialize_monthly(
+        spark, daily_path, None, None if full else touched, kept=kept)
+    daily_schema = m.int_item_price_history_daily(touched).schema.add("price_month", "date")
 
     def daily(since):
         d = spark.read.schema(daily_schema).parquet(daily_path)
@@ -134,31 +173,44 @@ def run_models(spark: SparkSession, wh: Warehouse, items_raw: DataFrame, history
             d = d.where(F.col("price_date") >= F.lit(str(since)).cast("date"))
         return d.drop("price_month")
 
-    info["fct_market_daily"] = inc.materialize_incremental(
-        spark, wh.path("fct_market_daily"), lambda since: m.fct_market_daily(stg, daily(since), since),
-        "market_date", cluster_by=["item_name"], lookback_days=lookback_days)
-    fct_path = wh.path("fct_market_daily")
+    reach_back = min(days, default=None)
+
+    def by_day(name, build, cluster_by=()):
+        if full:
+            fs.swap_table(spark, wh.path(name), lambda out: write_table(build(None), out, ["market_date"], cluster_by,
+                                                                        dynamic=False))
+            return {"mode": "full", "since": None}
+        return inc.materialize_incremental(spark, wh.path(name), build, "market_date", cluster_by, lookback_days, reach_back)
+
+    info["fct_market_daily"] = by_day("fct_market_daily", lambda since: m.fct_market_daily(stg, daily(since), since),
+                                      ["item_name"])
     fct_schema = m.fct_market_daily(stg, daily(None)).schema
 
     def fct_from(since):
-        return inc.read_guarded(spark, fct_path, "market_date", lower=since or m.REPORT_FLOOR, schema=fct_schema)
-
-    info["rpt_market_metrics_daily"] = inc.materialize_incremental(
-        spark, wh.path("rpt_market_metrics_daily"),
-        lambda since: m.rpt_market_metrics_daily(fct_from(since), since), "market_date", lookback_days=lookback_days)
-    info["rpt_commodity_velocity_daily"] = inc.materialize_incremental(
-        spark, wh.path("rpt_commodity_velocity_daily"),
-        lambda since: m.rpt_commodity_velocity_daily(fct_from(since), since), "market_date",
-        cluster_by=["is_commodity"], lookback_days=lookback_days)
-    write_table(m.rpt_item_metrics_latest(fct_from(None)), wh.path("rpt_item_metrics_latest"),
-                cluster_by=["item_name", "item_type", "bucket_group_name"], mode="overwrite", dynamic=False)
-    dim_path = wh.path("dim_item")
-    if inc.path_exists(spark, dim_path) and new_items is not None:
-        fresh = m.stg_items(new_items).where(F.col("snapshot_date").isNotNull())
-        dim = m.dim_item_upsert(spark.read.parquet(dim_path), fresh, None)
-        write_table(materialize(dim, "dim-item"), dim_path, mode="overwrite", dynamic=False)
+        return inc.read_guarded(spark, wh.path("fct_market_daily"), "market_date", lower=since or m.REPORT_FLOOR,
+                                schema=fct_schema)
+
+    info["rpt_market_metrics_daily"] = by_day(
+        "rpt_market_metrics_daily", lambda since: m.rpt_market_metrics_daily(fct_from(since), since))
+    info["rpt_commodity_velocity_daily"] = by_day(
+        "rpt_commodity_velocity_daily", lambda since: m.rpt_commodity_velocity_daily(fct_from(since), since),
+        ["is_commodity"])
+    fs.swap_table(spark, wh.path("rpt_item_metrics_latest"), lambda out: write_table(
+        m.rpt_item_metrics_latest(fct_from(None)), out,
+        cluster_by=["item_name", "item_type", "bucket_group_name"], dynamic=False))
+    if full or gone_items is not None:
+        info["dim_item"] = inc.materialize_buckets(spark, wh.path("dim_item"), m.dim_item(stg), None, "item_name")
     else:
-        write_table(m.dim_item(stg), dim_path, mode="overwrite", dynamic=False)
+        # the days of the loads as merged, so that of a day's rows the same one counts as in a full refresh
+        fresh = m.dim_item(stg.where(inc.in_partitions("snapshot_date", days)))
+        info["dim_item"] = inc.materialize_buckets(
+            spark, wh.path("dim_item"), m.dim_item(stg), fresh, "item_name",
+            lambda current, rows: m.dim_item_upsert(
+                current.where(~inc.in_partitions("snapshot_date", days)), rows, None))
+    for load_id in pending:
+        ledger.mark(load_id, loads.MODELLED)
+    for path in (items_path, hist_path):
+        loads.forget_retired(spark, path, pending)
     return info
 
 
@@ -169,6 +221,8 @@ def read_models(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
             declared = m.int_item_price_history_daily(m.stg_item_price_history(
                 spark.createDataFrame([], schemas.ITEM_PRICE_HISTORY_RAW))).schema
             out[name] = spark.read.schema(declared).parquet(wh.path(name)).drop("price_month")
+        elif name == "dim_item":
+            out[name] = spark.read.parquet(wh.path(name)).select(*m.DIM_COLUMNS)
         else:
             out[name] = spark.read.parquet(wh.path(name))
     return out
@@ -199,21 +253,17 @@ def run_exports(spark: SparkSession, wh: Warehouse, export_root: str) -> dict[st
 
 def run_daily(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, history_pages: DataFrame,
               run_ts: _dt.datetime, load_id: str, export_root: str | None = None, grain: str = "day",
-              as_of: _dt.date | None = None, max_failed_pages: int | None = 0, lookback_days: int = 0,
-              dev_page_limit: int | None = None, gate: bool = True) -> dict:
+              as_of: _dt.date | None = None, max_failed_pages: int | None = None, lookback_days: int = 0,
+              dev_page_limit: int | None = None, gate: bool = True, max_failed_share: float | None = None) -> dict:
     """Extract/load, gate, transform, test, export — one daily batch.
 
-    A failed page (404 is none) beyond `max_failed_pages` stops the run before the models, a failed data test
-    before the exports; None and `gate=False` let them pass.
+    The models take this load and all that earlier runs have left pending. Failed pages do not stop the run unless
+    `max_failed_pages` or `max_failed_share` say so; a failed data test stops it before the exports
+    (`gate=False` lets it pass).
     """
     ingest = run_ingest(spark, wh, listing_pages, history_pages, run_ts, load_id, grain, max_failed_pages,
-                        dev_page_limit)
-    items = inc.read_loads(spark, wh.path("items_raw"), schemas.ITEMS_RAW)
-    hist = inc.read_loads(spark, wh.path("item_price_history_raw"), schemas.ITEM_PRICE_HISTORY_RAW)
-    new_hist = m.stg_item_price_history_projected(hist.where(F.col("load_id") == load_id).drop("load_id"))
-    info = run_models(spark, wh, items.drop("load_id"), hist.drop("load_id"), new_history=new_hist, load_id=load_id,
-                      new_items=items.where(F.col("load_id") == load_id).drop("load_id"),
-                      lookback_days=lookback_days)
+                        dev_page_limit, max_failed_share)
+    info = run_models(spark, wh, lookback_days)
     results = run_tests(spark, wh, as_of=as_of, gate=gate)
     exports = run_exports(spark, wh, export_root) if export_root else {}
     return {"ingest": ingest, "models": info, "tests": results, "exports": exports}

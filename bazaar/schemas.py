@@ -56,6 +56,12 @@ HISTORY_PAGE = T.StructType([
     T.StructField("body", T.StringType()),
 ])
 
+# A page that yielded no rows.
+PAGE_ERROR = T.StructType([
+    T.StructField("market_hash_name", T.StringType()),
+    T.StructField("reason", T.StringType()),
+])
+
 # --- raw tables ---------------------------------------------------------------------
 ITEMS_RAW = T.StructType([
     T.StructField("sell_listings", T.LongType()),

@@ -7,9 +7,9 @@ checkpoint), and `foreachBatch` runs the same extractor as the batch path:
 * the per-item marks come from the state committed by the previous micro-batch
   (state folders are keyed by batch id and count only when complete; a missing state is
   re-derived from the data written by earlier batches, never from the current one);
-* the records are written partitioned by batch id with dynamic overwrite, so a
+* the records are written to the batch's own folder, which is replaced whole, so a
   replayed micro-batch (after a failure) replaces its own output instead of
-  appending twice; the errors and page outcomes of a batch are kept beside it in the same way
+  appending twice, also when it has fewer rows or none; the errors and page outcomes of a batch are kept beside it in the same way
   (`<sink>_errors`, `<sink>_outcomes`); then the state of that batch is committed.
 """
 
@@ -47,8 +47,8 @@ def _state_before(spark: SparkSession, sink: str, state_root: str, batch_id: int
 
 def make_batch_writer(sink: str, state_root: str, grain: str = "day"):
     def keep(df: DataFrame, path: str, batch_id: int) -> None:
-        (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        # the batch's folder is replaced whole, also when a replay has no row for it
+        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession

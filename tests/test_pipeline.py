@@ -230,13 +230,15 @@ def test_first_run_without_history_builds_a_fact_with_zero_sales(spark, tmp_dir)
     assert set(out["exports"]) == {"rpt_market_metrics_daily", "rpt_commodity_velocity_daily", "rpt_item_metrics_latest"}
 
 
-def test_gates_stop_the_run_by_default(spark, tmp_dir):
+def test_gates_stop_the_run(spark, tmp_dir):
     import os
     wh = Warehouse(f"{tmp_dir}/a")
-    with pytest.raises(qa.BuildFailed, match="load failed"):
-        run_daily(spark, wh, listing(spark, record("A")), history(spark, ("A", 429, "")), DAY1, "0001",
-                  export_root=wh.path("exports"))
+    for bound in ({"max_failed_pages": 0}, {"max_failed_share": 0.4}):
+        with pytest.raises(qa.BuildFailed, match="load failed"):
+            run_daily(spark, wh, listing(spark, record("A")), history(spark, ("A", 429, ""), ("B", 404, "")), DAY1,
+                      "0001", export_root=wh.path("exports"), **bound)
     assert not os.path.exists(wh.path("fct_market_daily")) and not os.path.exists(wh.path("exports"))
+    assert wh.ledger(spark).pending() == ["0001"]
     wh = Warehouse(f"{tmp_dir}/b")
     with pytest.raises(qa.BuildFailed, match="bid_price_usd"):
         run_daily(spark, wh, listing(spark, record("A", text="")), history(spark, ("A", 404, "")), DAY1, "0001",
@@ -260,14 +262,18 @@ def test_lookback_reaches_the_reports(spark, tmp_dir):
 
 def test_quarantine_keeps_each_row_in_its_load(spark, tmp_dir):
     from bazaar.plans.pipeline import load_items, run_models
+    from bazaar.sources import loads
     wh = Warehouse(tmp_dir)
     items = load_items(listing(spark, record("A"), record("B"), record("B", classid="13")), DAY1, "0001")
     undated = F.when(F.col("asset_description__market_hash_name") == "A", F.col("snapshot_timestamp"))
     items = items.withColumn("snapshot_timestamp", undated)
     more = load_items(listing(spark, record("A")), DAY2, "0002")
     none = spark.createDataFrame([], schemas.ITEM_PRICE_HISTORY_RAW)
-    run_models(spark, wh, items, none, load_id="0001")
-    run_models(spark, wh, items.unionByName(more), none, load_id="0002", new_items=more)
+    for load_id, rows_ in (("0001", items), ("0002", more)):
+        loads.publish_load(rows_, wh.path("items_raw"), load_id, "snapshot_timestamp")
+        loads.publish_load(none, wh.path("item_price_history_raw"), load_id, "date", by="month")
+        wh.ledger(spark).mark(load_id, loads.EXTRACTED)
+        run_models(spark, wh)
     bad = spark.read.parquet(wh.path("_quarantine/stg_items"))
     assert [(r.item_name, r.class_id) for r in bad.orderBy("class_id").collect()] == [("B", 12), ("B", 13)]
     assert spark.read.parquet(wh.path("fct_market_daily")).count() == 2
@@ -277,7 +283,8 @@ def test_raw_tables_have_the_declared_layout(spark, daily_run):
     import os
     wh = daily_run[0]
     assert sorted(os.listdir(wh.path("items_raw/load_id=0001")))[-1:] == ["_day=2026-01-01"]
-    assert all(x.startswith("_month=") for x in os.listdir(wh.path("item_price_history_raw/load_id=0001")))
+    held = [x for x in os.listdir(wh.path("item_price_history_raw/load_id=0001")) if "SUCCESS" not in x]
+    assert held and all(x.startswith("_month=") for x in held)
 
 
 def test_contract_sees_order_and_extra_columns(spark):
