@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 
 from bazaar.session import materialize, scratch_path
 
-__all__ = ["SPACE", "UPPER", "LOWER", "ascii_lower", "bounded_batches", "gapless", "hash52", "hash_sample",
-           "level_quotas", "mark_of", "materialize", "scratch_path", "table", "take_rows", "text_or_empty", "unit_draw"]
+__all__ = ["SPACE", "UPPER", "LOWER", "ascii_lower", "bounded_batches", "drop_rows", "gapless", "hash52", "hash_sample",
+           "level_quotas", "mark_of", "materialize", "may_be_marked", "scratch_path", "table", "take_rows",
+           "text_or_empty", "unit_draw"]
+
+#: Bits of one row of a filter, and the most that a filter has (32 MB).
+BITMAP = 1 << 15
+FILTER_BITS = 1 << 28
 
 #: The white space of the contracts: space and the five ASCII control characters 9-13.
 SPACE = " \t\n\x0b\x0c\r"
@@ -110,6 +115,48 @@ def take_rows(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str, *mo
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
+def may_be_marked(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str, out: str,
+                  most_bits: int = FILTER_BITS) -> DataFrame:
+    """`docs` with the boolean `out`: false only for rows whose mark is surely not among `marks` (__llm_id, __llm_th).
+
+    A bit per hash, 16 to 32 bits a mark and at most `most_bits`, in rows of `BITMAP` bits that are broadcast. Rows that
+    are not marked can so pass by a join, and their texts need not move. A fuller filter lets more rows through, no other.
+    """
+    n = marks.count()
+    bits = min(max(BITMAP, 1 << (16 * n).bit_length()), most_bits)
+
+    def cell(*parts: Column) -> Column:
+        return F.pmod(F.xxhash64(*parts), F.lit(bits))
+
+    at = cell(F.col("__llm_id"), F.col("__llm_th"))
+    rows = marks.groupBy(F.floor(at / BITMAP).alias("__llm_bucket")).agg(
+        F.bitmap_construct_agg(at % BITMAP).alias("__llm_bits"))
+    own = docs.withColumn("__llm_cell", cell(F.col(id_col), F.xxhash64(text_or_empty(text_col))))
+    found = own.join(F.broadcast(rows), F.floor(F.col("__llm_cell") / BITMAP) == F.col("__llm_bucket"), "left")
+    spot = F.col("__llm_cell") % BITMAP
+    byte = F.conv(F.hex(F.substring("__llm_bits", F.floor(spot / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.call_function("shiftright", byte, (spot % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return found.withColumn(out, F.coalesce(hit, F.lit(False))).drop("__llm_cell", "__llm_bucket", "__llm_bits")
+
+
+def drop_rows(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of `docs` without those that `marks` takes away; the texts of rows without a mark do not move.
+
+    `marks` is a written table (__llm_id, __llm_th, __llm_copies, __llm_rows) of the marks that lose rows: of the
+    __llm_rows rows of a mark __llm_copies stay.
+    """
+    flagged = may_be_marked(docs, marks, id_col, text_col, "__llm_maybe")
+    stay = flagged.filter(~F.col("__llm_maybe")).drop("__llm_maybe")
+    met = flagged.filter("__llm_maybe").join(
+        marks, F.col(id_col).eqNullSafe(F.col("__llm_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__llm_th")), "left")
+    nth = F.row_number().over(Window.partitionBy("__llm_id", "__llm_th").orderBy(
+        F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])))
+    some = met.filter("__llm_copies > 0").withColumn("__llm_nth", nth).filter(F.col("__llm_nth") <= F.col("__llm_copies"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return (stay.select(*columns).unionByName(met.filter("__llm_th is null").select(*columns))
+            .unionByName(some.select(*columns)))
+
+
 def level_quotas(counts: dict, total: int, most: int | None = None) -> dict:
     """How many of each group's rows to draw: alike for all, at most what a group has (and `most`), `total` in all."""
     out, left = {}, total

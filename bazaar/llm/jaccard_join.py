@@ -10,10 +10,11 @@ the start. Two nodes link when 100 * |x & y| >= percent * |x | y|.
    shares fewer of them with others, all others together, links with nothing and leaves. The nodes
    left that share a prefix n-gram join the group of the smallest node that has it, so that the groups of many
    shared n-grams coincide. The windows over frequent n-grams are salted by their counters.
-3. Each group is joined in blocks of about `BLOCK` sets, every pair of blocks in one task:
-   the sets of one block, ordered by frequency within the task, form a trie; all sets of the other
-   descend it together, so that a shared path adds to the overlaps once; a set leaves a subtree
-   as soon as its overlap and what may still come cannot reach the bound. A task
+3. Each group is cut along its set sizes into blocks of about `BLOCK` sets and `BLOCK_NGRAMS` n-grams. Pairs of
+   blocks whose sizes can link are one task each, neighbours first; pairs that their links have connected
+   wholly are not compared. In a task the sets of one block, ordered by frequency within the task, form a trie; all sets
+   of the other descend it together, so that a shared path adds to the overlaps once; a set leaves a
+   subtree as soon as its overlap and what may still come cannot reach the bound. A task
    returns a forest of the links it found, at most one per node, so no link between
    components is lost and a group of copies never turns into all its pairs.
 4. Components by alternating large and small stars, each round written out.
@@ -22,7 +23,7 @@ The prefixes and the sets are made from the texts where they are needed and neve
 of fixed size lets only the sets through whose nodes have a group.
 
 Defined cases: of fewer than n words the whole sequence is the one n-gram; null, empty and blank texts have
-the empty set and link with nothing; repeated rows and equal texts link; a null id is larger than any
+the empty set and link with nothing; very long texts are read whole; repeated rows and equal texts link; a null id is larger than any
 other, and a component of null ids only has a null component_id; an empty table gives an empty result; extra
 columns are not read by `components`, and `representatives` returns them unchanged.
 """
@@ -39,12 +40,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.llm import wordhash
-from bazaar.llm.common import bounded_batches, mark_of, materialize, take_rows, text_or_empty
+from bazaar.llm.common import bounded_batches, drop_rows, mark_of, materialize, text_or_empty
 from bazaar.llm.exact_dedup import bloom, may_hold
 
 CELLS = 1 << 24
 SLICE = 1 << 18
 BLOCK = 1024
+#: N-grams of a block: 8 MB of hashes.
+BLOCK_NGRAMS = 1 << 20
 SHARED = 20
 #: A window over one n-gram holds about this many rows; more frequent n-grams are salted.
 GROUP = 20_000
@@ -69,6 +72,10 @@ def _rough(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.rint(8 * np.log2(counts + 1.0)), 255).astype(np.uint8)
 
 
+#: The byte of a counter that is exactly 1.
+ONCE = int(_rough(np.array([1]))[0])
+
+
 def _sign_and_count(n: int, cells: int, part: int):
     """Of each text (id as a string, th, text): size and signature of its set; at the end the n-gram counters."""
     columns = ["id", "th", "n", "h", "s", "slice", "small", "cell", "count"]
@@ -134,7 +141,8 @@ def _needed(size: int, percent: int) -> int:
 
 
 def _prefixes(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
-    """(s, token, salts): each text's prefix n-grams, and over how many windows each n-gram is dealt."""
+    """(s, token, salts, part): each text's prefix n-grams, over how many windows each n-gram is dealt and to which
+    of them the text's node goes. N-grams that no other document has, by their counter, are left out."""
 
     @F.pandas_udf("s long, token array<long>, salts array<int>")
     def prefixed(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -147,6 +155,7 @@ def _prefixes(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
                 c = counts.value[_cell(x, cells)]
                 least = _needed(len(x), percent)
                 first = np.argsort(c, kind="stable")[:len(x) - least + min(SHARED, least)]
+                first = first[c[first] != ONCE]
                 names.append(_short(signature(x)) if len(x) else 0)
                 tokens.append(x[first].view(np.int64))
                 dealt.append(salts[c[first]])
@@ -154,19 +163,21 @@ def _prefixes(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
                                 "salts": pd.Series(dealt, dtype="object")})
 
     made = docs.select(prefixed("text").alias("p"))
-    return made.select("p.s", F.explode(F.arrays_zip("p.token", "p.salts")).alias("x")).select(
+    rows = made.select("p.s", F.explode(F.arrays_zip("p.token", "p.salts")).alias("x")).select(
         "s", F.col("x.token").alias("token"), F.col("x.salts").alias("salts"))
+    return rows.withColumn("part", F.pmod(F.xxhash64("s"), F.col("salts")))
 
 
 def _meeting(rows: DataFrame) -> DataFrame:
-    """The rows (s, token, salts) whose n-gram another node has, with the smallest node of their window."""
-    own = Window.partitionBy("token", F.pmod(F.xxhash64("s"), F.col("salts")))
+    """The rows (s, token, salts, part) whose n-gram another node has, with the smallest node of their window."""
+    own = Window.partitionBy("token", "part")
     return (rows.withColumn("lead", F.min("s").over(own)).withColumn("last", F.max("s").over(own))
             .filter("lead <> last or salts > 1").drop("last"))
 
 
 def _groups(nodes: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """(grp, node): the nodes that share a prefix n-gram, by the smallest of them."""
+    # rows of copies are equal and share a window, so that telling them once needs no further shuffle
     met = materialize(_meeting(prefixes).drop("lead").distinct(), "op6-met")
     # a partner holds at least ceil(t * ceil(t * n)) n-grams of its own overlap, and shares as many up to SHARED
     least = F.ceil(F.lit(percent) * F.ceil(F.lit(percent) * F.col("n") / 100) / 100)
@@ -305,20 +316,41 @@ def _join_blocks(percent: int):
     return run
 
 
-def _links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame, n: int, percent: int, block: int) -> DataFrame:
-    """(a, b), a > b: verified links that connect all linked nodes."""
-    spark = docs.sparkSession
-    members = materialize(_groups(nodes, prefixes, percent), "op6-members")
-    sizes = members.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
-    blocks = sizes.filter("size > 1").select("grp", F.ceil(F.col("size") / block).cast("int").alias("blocks"))
-    # the group's rows meet their number of blocks: both sides plain shuffles, so that Spark can split a hot group
-    placed = members.join(materialize(blocks, "op6-blocks"), "grp").withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    placed = placed.select("grp", "node", "own", other).select(
-        "grp", "node", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+def _blocks(members: DataFrame, block: int) -> DataFrame:
+    """(grp, node, n, own): the nodes (grp, node, n) of each group of more than one in blocks that rise with the set size.
+
+    A block has about `block` sets and `BLOCK_NGRAMS` n-grams at most (a larger set is a block of its own). No task holds a
+    group: the sets of one size are counted, the counts summed along the sizes, and a hash spreads
+    equal sizes over their stretch.
+    """
+    load = F.greatest(F.lit(1.0 / block), F.col("n") / F.lit(float(BLOCK_NGRAMS)))
+    sizes = members.groupBy("grp", "n").agg(F.count(F.lit(1)).alias("c")).withColumn("load", F.col("c") * load)
+    along = Window.partitionBy("grp").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("base", F.coalesce(F.sum("load").over(along), F.lit(0.0)))
+    sizes = sizes.withColumn("all", F.sum("c").over(Window.partitionBy("grp"))).filter("all > 1").drop("all", "c")
+    share = F.shiftrightunsigned(F.xxhash64("node"), 11).cast("double") / F.lit(float(2 ** 53))
+    # both sides plain shuffles, so that Spark can split a hot group
+    return members.join(materialize(sizes, "op6-sizes"), ["grp", "n"]).withColumn(
+        "own", F.floor(F.col("base") + F.col("load") * share).cast("int")).select("grp", "node", "n", "own")
+
+
+def _pairs(blocks: DataFrame, percent: int) -> DataFrame:
+    """(grp, i, j, i <= j): pairs of blocks with sizes that can link."""
+    ranges = materialize(blocks.groupBy("grp", "own").agg(F.min("n").alias("least"), F.max("n").alias("most")), "op6-ranges")
+    i = ranges.select("grp", F.col("own").alias("i"), F.col("most").alias("most_i"))
+    j = ranges.select("grp", F.col("own").alias("j"), F.col("least").alias("least_j"))
+    return i.join(j, "grp").filter((F.col("i") <= F.col("j")) & (100 * F.col("most_i") >= percent * F.col("least_j"))
+                                   ).select("grp", "i", "j")
+
+
+def _compare(docs: DataFrame, nodes: DataFrame, blocks: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b), a > b: a written forest of the links between the sets of each pair of blocks."""
+    one = blocks.join(pairs, (blocks["grp"] == pairs["grp"]) & (blocks["own"] == pairs["i"]))
+    two = blocks.join(pairs.filter("i < j"), (blocks["grp"] == pairs["grp"]) & (blocks["own"] == pairs["j"]))
+    placed = one.select(blocks["grp"], "node", "own", "i", "j").unionByName(
+        two.select(blocks["grp"], "node", "own", "i", "j"))
     placed = materialize(placed.join(nodes.select("node", "h"), "node"), "op6-placed")
-    filt = spark.sparkContext.broadcast(bloom(placed.select("h").distinct(), "once"))
+    filt = docs.sparkSession.sparkContext.broadcast(bloom(placed.select("h").distinct(), "once"))
 
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -333,7 +365,32 @@ def _links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame, n: int, perce
     own = made.groupBy("h").agg(F.first("set").alias("set"))
     rows = (placed.join(own, "h").select("grp", "i", "j", "own", "node", "set")
             .repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j"))
-    return rows.mapInPandas(_join_blocks(percent), "a long, b long").distinct()
+    return materialize(rows.mapInPandas(_join_blocks(percent), "a long, b long").distinct(), "op6-links")
+
+
+def _links(docs: DataFrame, nodes: DataFrame, prefixes: DataFrame, n: int, percent: int, block: int) -> DataFrame:
+    """(a, b), a > b: verified links that connect all linked nodes.
+
+    Blocks of neighbouring sizes are compared first. Of the other pairs of blocks those remain whose nodes
+    are not all connected by then: a family of near copies is connected along its sizes, so its pairs are few.
+    """
+    members = materialize(_groups(nodes, prefixes, percent).join(nodes.select("node", "n"), "node"), "op6-members")
+    blocks = materialize(_blocks(members, block), "op6-blocks")
+    pairs = materialize(_pairs(blocks, percent), "op6-pairs")
+    links = _compare(docs, nodes, blocks, pairs.filter("j - i <= 1"), n, percent)
+    far = pairs.filter("j - i > 1")
+    if far.isEmpty():
+        return links
+    roots = materialize(connected(links), "op6-roots")
+    rooted = blocks.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    whole = materialize(rooted.groupBy("grp", "own").agg(F.min("root").alias("r"), F.max("root").alias("top"))
+                        .filter("r = top").drop("top"), "op6-whole")
+    done = far.join(whole.select("grp", F.col("own").alias("i"), F.col("r").alias("r_i")), ["grp", "i"]).join(
+        whole.select("grp", F.col("own").alias("j"), F.col("r").alias("r_j")), ["grp", "j"]).filter("r_i = r_j")
+    left = materialize(far.join(done.select("grp", "i", "j"), ["grp", "i", "j"], "left_anti"), "op6-pairs")
+    if left.isEmpty():
+        return links
+    return links.unionByName(_compare(docs, nodes, blocks, left, n, percent)).distinct()
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -404,10 +461,10 @@ def representatives(docs: DataFrame, n: int = 4, percent: int = 85, id_col: str
             .unionByName(own.withColumn("kept", nth == 1)))
     marks = (kept.groupBy("__llm_id", "__llm_th").agg(F.sum(F.col("kept").cast("long")).alias("__llm_copies")))
     total = rows.groupBy("__llm_id", "__llm_th").agg(F.count(F.lit(1)).alias("__llm_rows"))
-    total = total.select(F.col("__llm_id").alias("i"), F.col("__llm_th").alias("t"), "__llm_rows")
-    marks = marks.filter("__llm_copies > 0").join(
-        total, F.col("__llm_id").eqNullSafe(F.col("i")) & (F.col("__llm_th") == F.col("t"))).drop("i", "t")
-    return take_rows(docs, materialize(marks, "op6-kept"), id_col, text_col)
+    marks = marks.select(F.col("__llm_id").alias("i"), F.col("__llm_th").alias("t"), "__llm_copies")
+    lost = total.join(marks, F.col("__llm_id").eqNullSafe(F.col("i")) & (F.col("__llm_th") == F.col("t")), "left")
+    lost = lost.withColumn("__llm_copies", F.coalesce("__llm_copies", F.lit(0))).filter("__llm_copies < __llm_rows")
+    return drop_rows(docs, materialize(lost.drop("i", "t"), "op6-lost"), id_col, text_col)
 
 
 SQL = r"""

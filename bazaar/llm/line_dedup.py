@@ -9,8 +9,8 @@ along that order, the first row of each run is its first occurrence; the runs of
 hash (at most `SLICES`) give its number of documents and the largest of them.
 
 Every other document loses the line. What leaves the shuffle is, per document, the compressed bitmap
-of dropped positions: words of 32 positions, only those that are not zero. The texts move
-once, to meet their bitmaps.
+of dropped positions: words of 32 positions, only those that are not zero. Documents without a bitmap pass by
+the join, told by a filter sized by the bitmaps; the texts of the others move once, to meet theirs.
 
 DataFrame functions only.
 
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaar.llm.common import SPACE, ascii_lower, materialize, text_or_empty
+from bazaar.llm.common import SPACE, ascii_lower, materialize, may_be_marked, text_or_empty
 
 SLICES = 64
 WORD = 32
@@ -80,10 +80,14 @@ def keep_bitmaps(docs: DataFrame, min_len: int = 40, min_docs: int = 5, id_col:
 def _with_kept(docs: DataFrame, id_col: str, text_col: str, min_len: int, min_docs: int) -> DataFrame:
     """`docs` with __llm_lines (number), __llm_kept (lines that stay, null: all of them)."""
     bitmaps = materialize(keep_bitmaps(docs, min_len, min_docs, id_col, text_col), "op4-bitmaps").select(
-        F.col("doc").alias("__llm_doc"), F.col("th").alias("__llm_th"), F.col("dropped").alias("__llm_dropped"))
+        F.col("doc").alias("__llm_id"), F.col("th").alias("__llm_th"), F.col("dropped").alias("__llm_dropped"))
     text = text_or_empty(text_col)
-    joined = docs.join(bitmaps, F.col(id_col).eqNullSafe(F.col("__llm_doc"))
-                       & (F.xxhash64(text) == F.col("__llm_th")), "left")
+    flagged = may_be_marked(docs, bitmaps, id_col, text_col, "__llm_maybe")
+    whole = flagged.filter(~F.col("__llm_maybe")).withColumn(
+        "__llm_dropped", F.lit(None).cast(bitmaps.schema["__llm_dropped"].dataType))
+    met = flagged.filter("__llm_maybe").join(bitmaps, F.col(id_col).eqNullSafe(F.col("__llm_id"))
+                                             & (F.xxhash64(text) == F.col("__llm_th")), "left")
+    joined = whole.unionByName(met.drop("__llm_id", "__llm_th"))
 
     def stays(_: Column, i: Column) -> Column:
         bits = F.coalesce(F.element_at("__llm_dropped", F.floor(i / WORD).cast("int")), F.lit(0).cast("long"))
@@ -92,7 +96,7 @@ def _with_kept(docs: DataFrame, id_col: str, text_col: str, min_len: int, min_do
     return (joined
             .withColumn("__llm_lines", F.size(split_lines(text)).cast("long"))
             .withColumn("__llm_kept", F.when(F.col("__llm_dropped").isNotNull(), F.filter(split_lines(text), stays)))
-            .drop("__llm_doc", "__llm_th", "__llm_dropped"))
+            .drop("__llm_dropped", "__llm_maybe"))
 
 
 def line_dedup(docs: DataFrame, min_len: int = 40, min_docs: int = 5, id_col: str = "doc_id",
