@@ -72,10 +72,6 @@ def _rough(counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.rint(8 * np.log2(counts + 1.0)), 255).astype(np.uint8)
 
 
-#: The byte of a counter that is exactly 1.
-ONCE = int(_rough(np.array([1]))[0])
-
-
 def _sign_and_count(n: int, cells: int, part: int):
     """Of each text (id as a string, th, text): size and signature of its set; at the end the n-gram counters."""
     columns = ["id", "th", "n", "h", "s", "slice", "small", "cell", "count"]
@@ -142,7 +138,7 @@ def _needed(size: int, percent: int) -> int:
 
 def _prefixes(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
     """(s, token, salts, part): each text's prefix n-grams, over how many windows each n-gram is dealt and to which
-    of them the text's node goes. N-grams that no other document has, by their counter, are left out."""
+    of them the text's node goes."""
 
     @F.pandas_udf("s long, token array<long>, salts array<int>")
     def prefixed(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -155,7 +151,6 @@ def _prefixes(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
                 c = counts.value[_cell(x, cells)]
                 least = _needed(len(x), percent)
                 first = np.argsort(c, kind="stable")[:len(x) - least + min(SHARED, least)]
-                first = first[c[first] != ONCE]
                 names.append(_short(signature(x)) if len(x) else 0)
                 tokens.append(x[first].view(np.int64))
                 dealt.append(salts[c[first]])

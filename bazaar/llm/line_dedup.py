@@ -85,7 +85,8 @@ def _with_kept(docs: DataFrame, id_col: str, text_col: str, min_len: int, min_do
     flagged = may_be_marked(docs, bitmaps, id_col, text_col, "__llm_maybe")
     whole = flagged.filter(~F.col("__llm_maybe")).withColumn(
         "__llm_dropped", F.lit(None).cast(bitmaps.schema["__llm_dropped"].dataType))
-    met = flagged.filter("__llm_maybe").join(bitmaps, F.col(id_col).eqNullSafe(F.col("__llm_id"))
+    # the same join at every size: bitmaps grow with the documents
+    met = flagged.filter("__llm_maybe").join(bitmaps.hint("merge"), F.col(id_col).eqNullSafe(F.col("__llm_id"))
                                              & (F.xxhash64(text) == F.col("__llm_th")), "left")
     joined = whole.unionByName(met.drop("__llm_id", "__llm_th"))
 
