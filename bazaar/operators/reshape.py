@@ -31,10 +31,12 @@ def share_of_total(df: DataFrame, value: str, within: Sequence[str], out: str =
     """value / sum(value) over rows with the same `within` key (stacked bars to 100 %),
     via a pre-aggregated total joined back.
 
-    The totals are aggregated map-side (one row per key and task) and written, so the join back is one
+    The input is written once and read for the totals and for the join, so whatever it takes to make it is done
+    once. The totals are aggregated map-side (one row per key and task), and the join back is one
     of two plain sides: Spark broadcasts the totals while they are small, and splits a hot key otherwise.
     """
-    totals = materialize(df.groupBy(*within).agg(F.sum(F.col(value)).alias("__total")), "share-totals")
+    df = materialize(df, "share-rows")
+    totals = df.groupBy(*within).agg(F.sum(F.col(value)).alias("__total"))
     # the join is null-safe on the group keys so a NULL group gets its own total
     t = totals.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(within)], "__total")
     cond = None

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from bazaar.sources.folders import exists as _exists
 
 # Rows per output file; keeps files of a hot partition bounded.
 MAX_RECORDS_PER_FILE = 5_000_000
+#: The folder of an export that says what was exported.
+EXPORTED = "_exported"
 
 
 class EmptyExportError(RuntimeError):
@@ -61,9 +67,15 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), clus
 
 
 def export_parquet(df: DataFrame, root: str, name: str) -> str:
-    """Post-build export of a report: SELECT * to `<root>/<name>/`, overwrite."""
+    """Post-build export of a report: SELECT * to `<root>/<name>/`, overwrite.
+
+    Beside the shards, out of the readers' sight, stands what was exported: the schema and the shards' names.
+    """
     out = f"{root.rstrip('/')}/{name}"
     df.write.mode("overwrite").parquet(out)
+    spark = df.sparkSession
+    shards = [(df.schema.json(), f.rsplit("/", 1)[1]) for f in _parquet_files(spark, out)]
+    spark.createDataFrame(shards, "columns string, shard string").coalesce(1).write.parquet(f"{out}/{EXPORTED}")
     return out
 
 
@@ -88,33 +100,25 @@ def guard_nonempty_export(spark: SparkSession, folder: str) -> list[str]:
     return files
 
 
-def _column_names(batches):
-    """(path, columns) of Parquet files given as bytes."""
-    import pandas as pd
-    import pyarrow as pa
-    import pyarrow.parquet as pq
-    for b in batches:
-        yield pd.DataFrame({"path": b["path"], "columns": [
-            "\n".join(pq.read_schema(pa.BufferReader(c)).names) for c in b["content"]]})
-
-
 def read_export(spark: SparkSession, folder: str) -> DataFrame:
     """All shards of an export as one frame, after the empty and schema checks.
 
-    Shards must share one schema, as a plain concatenation requires. Spark merges the
-    shards' schemas in one distributed job (which fails on conflicting types); the column
-    names of every shard are read by the executors and only shards that differ come back.
+    Shards must share one schema, as a plain concatenation requires. What `export_parquet` noted vouches for its own
+    shards; only files that it did not write are looked at, each by Spark's own reader, which reads their
+    footers alone. No file is read whole.
     """
-    guard_nonempty_export(spark, folder)
-    merged = spark.read.option("mergeSchema", "true").parquet(folder).schema
-    names = "\n".join(merged.fieldNames())
-    shards = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
-    other = (shards.select("path", "content").mapInPandas(_column_names, "path string, columns string")
-             .where(F.col("columns") != names).first())
-    if other:
-        raise ShardSchemaError(f"shard {other['path']} has columns {other['columns'].split()}, "
-                               f"the export has {merged.fieldNames()}")
-    return spark.read.schema(merged).parquet(folder)
+    files = guard_nonempty_export(spark, folder)
+    noted = []
+    if _exists(spark, f"{folder}/{EXPORTED}"):
+        noted = spark.read.schema("columns string, shard string").parquet(f"{folder}/{EXPORTED}").collect()
+    own = {r.shard for r in noted}
+    want = T.StructType.fromJson(json.loads(noted[0].columns)) if noted else spark.read.parquet(files[0]).schema
+    for f in files:
+        if f.rsplit("/", 1)[1] not in own:
+            got = spark.read.parquet(f).schema
+            if [(c.name, c.dataType) for c in got] != [(c.name, c.dataType) for c in want]:
+                raise ShardSchemaError(f"shard {f} has {got.simpleString()}, the export has {want.simpleString()}")
+    return spark.read.schema(want).parquet(folder)
 
 
 def merge_parquet_shards(spark: SparkSession, folder: str, out: str, files: int = 1) -> str:

@@ -131,6 +131,13 @@ def test_export_guards(spark, tmp_dir):
     b.write.mode("append").parquet(f"{tmp_dir}/exp/t")
     with pytest.raises(ShardSchemaError):
         read_export(spark, f"{tmp_dir}/exp/t")
+    for other in (b, a.drop("b"), a.withColumn("a", F.col("a").cast("int"))):  # more, fewer, other types beside an export
+        out = export_parquet(a, f"{tmp_dir}/noted", "t")
+        assert rows(read_export(spark, out)) == [(1, "x")]
+        other.write.mode("append").parquet(out)
+        with pytest.raises(ShardSchemaError):
+            read_export(spark, out)
+    assert "content" not in read_export(spark, export_parquet(a, f"{tmp_dir}/noted", "t"))._jdf.queryExecution().toString()
     export_parquet(spark.range(10).repartition(3), f"{tmp_dir}/ok", "r")
     merge_parquet_shards(spark, f"{tmp_dir}/ok/r", f"{tmp_dir}/ok/merged")
     assert len(guard_nonempty_export(spark, f"{tmp_dir}/ok/merged")) == 1
