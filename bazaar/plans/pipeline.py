@@ -24,6 +24,7 @@ from bazaar.operators import ingest as ig
 from bazaar.operators import quality as qa
 from bazaar.plans import incremental as inc
 from bazaar.plans import models as m
+from bazaar.plans import partials as pt
 from bazaar.sources import folders as fs
 from bazaar.sources import loads
 from bazaar.sources import raw as src
@@ -114,12 +115,14 @@ def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, his
 
 # --- transform ------------------------------------------------------------------------
 
-def run_models(spark: SparkSession, wh: Warehouse, lookback_days: int = 0, full: bool = False) -> dict:
+def run_models(spark: SparkSession, wh: Warehouse, lookback_days: int = 0, full: bool = False,
+               late_sales: bool = False) -> dict:
     """Build every model from the raw tables; incremental where the targets exist.
 
     Taken are all loads that are extracted and not yet modelled; at the end the ledger says that they are. Without
     any, nothing is done. `full` rebuilds everything from all extracted loads. `lookback_days` widens the
-    fact and, with it, the reports. Listing rows without a snapshot date are quarantined, each in the load that
+    fact and, with it, the reports. `late_sales` also brings sales of still earlier days into the fact and the reports, by
+    difference (`bazaar.plans.partials`); without it they stay out until a full build, as in the reference. Listing rows without a snapshot date are quarantined, each in the load that
     brought it, and kept out of the fact, so full and incremental runs agree (SURVEY D8).
     """
     ledger = wh.ledger(spark)
@@ -129,6 +132,7 @@ def run_models(spark: SparkSession, wh: Warehouse, lookback_days: int = 0, full:
     items_path, hist_path = wh.path("items_raw"), wh.path("item_price_history_raw")
     for name in ("dim_item", "rpt_item_metrics_latest"):
         fs.settle_table(spark, wh.path(name))
+    pt.finish_change(spark, wh.root.rstrip("/"))
 
     def items(**bounds):
         return m.stg_items_projected(loads.read_finished(spark, items_path, schemas.ITEMS_RAW, ledger, **bounds))
@@ -195,6 +199,13 @@ def run_models(spark: SparkSession, wh: Warehouse, lookback_days: int = 0, full:
     info["rpt_commodity_velocity_daily"] = by_day(
         "rpt_commodity_velocity_daily", lambda since: m.rpt_commodity_velocity_daily(fct_from(since), since),
         ["is_commodity"])
+    info["day_partials"] = by_day("day_partials", lambda since: pt.day_partials(fct_from(since)), ["is_commodity"])
+    since = info["fct_market_daily"]["since"]
+    if late_sales and since is not None:
+        keys = touched.select("item_name", F.to_date("priced_at").alias("day"))
+        info["late_sales"] = pt.correct_late_sales(
+            spark, wh.root.rstrip("/"), spark.read.schema(fct_schema).parquet(wh.path("fct_market_daily")),
+            spark.read.schema(daily_schema).parquet(daily_path), keys, since)
     fs.swap_table(spark, wh.path("rpt_item_metrics_latest"), lambda out: write_table(
         m.rpt_item_metrics_latest(fct_from(None)), out,
         cluster_by=["item_name", "item_type", "bucket_group_name"], dynamic=False))
@@ -254,7 +265,8 @@ def run_exports(spark: SparkSession, wh: Warehouse, export_root: str) -> dict[st
 def run_daily(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, history_pages: DataFrame,
               run_ts: _dt.datetime, load_id: str, export_root: str | None = None, grain: str = "day",
               as_of: _dt.date | None = None, max_failed_pages: int | None = None, lookback_days: int = 0,
-              dev_page_limit: int | None = None, gate: bool = True, max_failed_share: float | None = None) -> dict:
+              dev_page_limit: int | None = None, gate: bool = True, max_failed_share: float | None = None,
+              late_sales: bool = False) -> dict:
     """Extract/load, gate, transform, test, export — one daily batch.
 
     The models take this load and all that earlier runs have left pending. Failed pages do not stop the run unless
@@ -263,7 +275,7 @@ def run_daily(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, hist
     """
     ingest = run_ingest(spark, wh, listing_pages, history_pages, run_ts, load_id, grain, max_failed_pages,
                         dev_page_limit, max_failed_share)
-    info = run_models(spark, wh, lookback_days)
+    info = run_models(spark, wh, lookback_days, late_sales=late_sales)
     results = run_tests(spark, wh, as_of=as_of, gate=gate)
     exports = run_exports(spark, wh, export_root) if export_root else {}
     return {"ingest": ingest, "models": info, "tests": results, "exports": exports}

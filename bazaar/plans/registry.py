@@ -53,16 +53,16 @@ def kinds(spec: str) -> dict[str, str]:
     return out
 
 
-def register(name: str, oracle: str | None = None):
+def register(name: str, oracle: str | None = None, queries: dict = QUERIES, oracles: dict = ORACLE):
     def deco(fn: Builder) -> Builder:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
             return present(fn(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
-        QUERIES[name] = run
+        queries[name] = run
         if oracle is not None:
-            ORACLE[name] = normalize_rounding(oracle)
+            oracles[name] = normalize_rounding(oracle)
         return run
     return deco
 
