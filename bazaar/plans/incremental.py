@@ -90,21 +90,53 @@ def incremental_since(mark: _dt.date | None, lookback_days: int = 0) -> _dt.date
     return base - _dt.timedelta(days=int(lookback_days))
 
 
+def require_bound(df: DataFrame, path: str, column: str) -> DataFrame:
+    """Refuse a query whose plan scans the table at `path` without a partition filter on `column`.
+
+    What counts is what reaches the scan, however the query is written: a bound behind a projection, an aggregate by
+    day or a view passes, one on another column, or one that other rows get around by OR, does not. "Is not
+    null" is no bound.
+    """
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    table = jvm.org.apache.hadoop.fs.Path(path)
+    table = table.getFileSystem(conf).makeQualified(table).toString().rstrip("/")
+    leaves = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        if leaf.getClass().getSimpleName() != "FileSourceScanExec":
+            continue
+        roots = leaf.relation().location().rootPaths()
+        roots = [roots.apply(i).toString() for i in range(roots.size())]
+        if not any(r == table or r.startswith(f"{table}/") for r in roots):
+            continue
+        filters = leaf.partitionFilters()
+        bound = False
+        for f in (filters.apply(i) for i in range(filters.size())):
+            names = f.references().toSeq()
+            names = {names.apply(i).name() for i in range(names.size())}
+            bound = bound or (column in names and f.getClass().getSimpleName() != "IsNotNull")
+        if not bound:
+            raise PartitionFilterRequired(f"reading {path} requires a filter on {column}")
+    return df
+
+
 def read_guarded(spark: SparkSession, path: str, column: str, lower=None, upper=None,
-                 required: bool = True, schema: T.StructType | None = None) -> DataFrame:
-    """Read a partitioned table; refuse an unbounded read when `required`.
+                 required: bool = True, schema: T.StructType | None = None,
+                 build: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Read a partitioned table, or the query that `build` makes of it; refuse an unbounded read when `required`.
 
-    Accepts the bounds used by the reports: `column >= lower` and optionally
-    `column <= upper`; both literals, so the scan prunes partitions.
+    Accepts the bounds used by the reports, `column >= lower` and optionally
+    `column <= upper`; both literals, so the scan prunes partitions. Whatever bounds the read, the plan must show
+    it (`require_bound`).
     """
-    if required and lower is None and upper is None:
-        raise PartitionFilterRequired(f"reading {path} requires a filter on {column}")
     df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     if lower is not None:
         df = df.where(F.col(column) >= F.lit(str(lower)).cast("date"))
     if upper is not None:
         df = df.where(F.col(column) <= F.lit(str(upper)).cast("date"))
-    return df
+    if build is not None:
+        df = build(df)
+    return require_bound(df, path, column) if required else df
 
 
 def publish_partitions(df: DataFrame, target: str, partition_col: str, recomputed: Callable[[_dt.date], bool],

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from bazaar import schemas
 from bazaar.operators import ingest as ig
 from bazaar.operators import quality as qa
+from bazaar.operators import search
 from bazaar.plans import incremental as inc
 from bazaar.plans import models as m
 from bazaar.plans import partials as pt
@@ -248,6 +249,16 @@ def run_tests(spark: SparkSession, wh: Warehouse, as_of: _dt.date | None = None,
     return results
 
 
+def index_latest(spark: SparkSession, wh: Warehouse) -> None:
+    """Build the explorer's search index of the latest report, once after each run that changes it."""
+    search.build_search_index(spark.read.parquet(wh.path("rpt_item_metrics_latest")).select(*m.RPT_LATEST_COLUMNS),
+                              wh.path("search_index"))
+
+
+def search_latest(spark: SparkSession, wh: Warehouse, query: str) -> DataFrame:
+    return search.search_indexed(spark, wh.path("search_index"), query)
+
+
 #: The partition columns of the written reports.
 REPORT_PARTITIONS = {"rpt_market_metrics_daily": ("market_date",), "rpt_commodity_velocity_daily": ("market_date",)}
 

@@ -1,4 +1,4 @@
-"""Queries over kept structures (stored aggregates), each held to the SQL of a full rebuild.
+"""Queries over kept structures (stored aggregates, a search index), each held to the SQL of a full rebuild.
 
 They stand beside the inventory's queries: the results are those of an inventory query, worked out the
 kept way.
@@ -10,11 +10,13 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
+from bazaar.operators.search import build_search_index, search_indexed
 from bazaar.plans import models as m
 from bazaar.plans import partials as pt
 from bazaar.plans import registry as base
 from bazaar.plans.registry import K_RPT_COMMODITY, K_RPT_MARKET, model_oracle
-from bazaar.session import materialize
+from bazaar.plans.registry_ops import SEARCH_QUERY
+from bazaar.session import materialize, scratch_path
 from bazaar.sources import fixtures
 
 QUERIES: dict[str, base.Builder] = {}
@@ -45,3 +47,11 @@ def q_late_sales_market(spark, d):
 def q_late_sales_commodity(spark, d):
     """The same by commodity flag."""
     return pt.rpt_commodity_velocity_daily(_after_late_weekends(spark, d))
+
+
+@register("search_by_index", base.ORACLE["filter_search"])
+def q_search_by_index(spark, d):
+    """The search of `filter_search` by a word-start index of the report."""
+    path = scratch_path(spark, "search-index")
+    build_search_index(base.rpt_latest(spark, d), path)
+    return search_indexed(spark, path, SEARCH_QUERY)
