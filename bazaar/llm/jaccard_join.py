@@ -9,7 +9,9 @@ the start. Two nodes link when 100 * |x & y| >= percent * |x | y|.
    (as many as a small set can hold). Only these prefixes are shuffled, as pairs of numbers. A node that
    shares fewer of them with others, all others together, links with nothing and leaves. The nodes
    left that share a prefix n-gram join the group of the smallest node that has it, so that the groups of many
-   shared n-grams coincide. The windows over frequent n-grams are salted by their counters.
+   shared n-grams coincide. A node's name begins with its size class: the nodes of one n-gram are sorted by name
+   and cut wherever two sizes in a row are too far apart to link, and what stands alone there has not met
+   anybody. The windows over frequent n-grams are salted by their counters.
 3. Each group is cut along its set sizes into blocks of about `BLOCK` sets and `BLOCK_NGRAMS` n-grams. Pairs of
    blocks whose sizes can link are one task each, neighbours first; pairs that their links have connected
    wholly are not compared. In a task the sets of one block, ordered by frequency within the task, form a trie; all sets
@@ -31,6 +33,7 @@ columns are not read by `components`, and `representatives` returns them unchang
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -51,6 +54,8 @@ BLOCK_NGRAMS = 1 << 20
 SHARED = 20
 #: A window over one n-gram holds about this many rows; more frequent n-grams are salted.
 GROUP = 20_000
+#: Size classes an octave, in a node's name: 32 octaves fill its first 8 bits.
+CLASSES = 8
 
 
 def _cell(shingles: np.ndarray, cells: int) -> np.ndarray:
@@ -61,10 +66,16 @@ def signature(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=32).digest()
 
 
-def _short(sig: bytes) -> int:
-    """A signature's first 64 bits, the name of a node while candidates are sought. Different sets that share
-    it only become candidates together."""
-    return int.from_bytes(sig[:8], "little", signed=True)
+def _short(sig: bytes, size: int) -> int:
+    """The name of a node while candidates are sought: 8 bits of the size's logarithm, 56 bits of the signature.
+    Names rise with the size class. Different sets that share a name only become candidates together."""
+    size_class = min(int(CLASSES * math.log2(size)), 255) - 128
+    return (size_class << 56) + int.from_bytes(sig[:7], "little")
+
+
+def _reach(percent: int) -> int:
+    """How many size classes apart two sets that link can be."""
+    return math.ceil(CLASSES * math.log2(100 / percent) + 1e-6)
 
 
 def _rough(counts: np.ndarray) -> np.ndarray:
@@ -87,7 +98,7 @@ def _sign_and_count(n: int, cells: int, part: int):
             sigs = [signature(x) if len(x) else None for x in sets]
             yield pd.DataFrame({"id": b["id"], "th": b["th"], "n": np.array([len(x) for x in sets], dtype=np.int64),
                                 "h": pd.Series(sigs, dtype="object"),
-                                "s": pd.Series([_short(x) if x else 0 for x in sigs], dtype="int64"),
+                                "s": pd.Series([_short(g, len(x)) if g else 0 for g, x in zip(sigs, sets)], dtype="int64"),
                                 "slice": -1, "small": None, "cell": None, "count": None})[columns]
         for k in range(0, cells, part):
             piece = own[k:k + part]
@@ -151,7 +162,7 @@ def _prefixes(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
                 c = counts.value[_cell(x, cells)]
                 least = _needed(len(x), percent)
                 first = np.argsort(c, kind="stable")[:len(x) - least + min(SHARED, least)]
-                names.append(_short(signature(x)) if len(x) else 0)
+                names.append(_short(signature(x), len(x)) if len(x) else 0)
                 tokens.append(x[first].view(np.int64))
                 dealt.append(salts[c[first]])
             yield pd.DataFrame({"s": np.array(names, dtype=np.int64), "token": pd.Series(tokens, dtype="object"),
@@ -163,25 +174,33 @@ def _prefixes(docs: DataFrame, counts, n: int, percent: int) -> DataFrame:
     return rows.withColumn("part", F.pmod(F.xxhash64("s"), F.col("salts")))
 
 
-def _meeting(rows: DataFrame) -> DataFrame:
-    """The rows (s, token, salts, part) whose n-gram another node has, with the smallest node of their window."""
-    own = Window.partitionBy("token", "part")
-    return (rows.withColumn("lead", F.min("s").over(own)).withColumn("last", F.max("s").over(own))
-            .filter("lead <> last or salts > 1").drop("last"))
+def _meeting(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows (s, token, salts, part) whose n-gram another node of a near size has, with the smallest node of their run.
+
+    A run is a stretch of the window's nodes, by name, without a gap in the size classes that no link can cross.
+    """
+    along = Window.partitionBy("token", "part").orderBy("s")
+    gap = F.shiftright("s", 56) - F.shiftright(F.lag("s").over(along), 56) > _reach(percent)
+    cut = rows.withColumn("gap", F.when(gap, 1).otherwise(0))
+    runs = cut.withColumn("run", F.sum("gap").over(along)).drop("gap")
+    own = Window.partitionBy("token", "part", "run")
+    return (runs.withColumn("lead", F.min("s").over(own)).withColumn("last", F.max("s").over(own))
+            .filter("lead <> last or salts > 1").drop("last", "run"))
 
 
 def _groups(nodes: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     """(grp, node): the nodes that share a prefix n-gram, by the smallest of them."""
     # rows of copies are equal and share a window, so that telling them once needs no further shuffle
-    met = materialize(_meeting(prefixes).drop("lead").distinct(), "op6-met")
+    met = materialize(_meeting(prefixes, percent).drop("lead").distinct(), "op6-met")
     # a partner holds at least ceil(t * ceil(t * n)) n-grams of its own overlap, and shares as many up to SHARED
     least = F.ceil(F.lit(percent) * F.ceil(F.lit(percent) * F.col("n") / 100) / 100)
     for _ in range(2):
         shares = met.groupBy("s").agg(F.count(F.lit(1)).alias("shares"))
         able = nodes.select("s", F.least(F.lit(SHARED), least).alias("need")).join(shares, "s").filter(
             "shares >= need").select("s").distinct()
-        met = materialize(_meeting(met.join(materialize(able, "op6-able"), "s", "left_semi")).drop("lead"), "op6-met")
-    led = materialize(_meeting(met), "op6-led")
+        able_rows = met.join(materialize(able, "op6-able"), "s", "left_semi")
+        met = materialize(_meeting(able_rows, percent).drop("lead"), "op6-met")
+    led = materialize(_meeting(met, percent), "op6-led")
     plain = led.filter("salts = 1").select(F.col("lead").alias("grp"), "s")
     hot = led.filter("salts > 1")
     tops = hot.groupBy("token").agg(F.min("lead").alias("grp"), F.max("s").alias("last")).filter("grp <> last")

@@ -131,6 +131,25 @@ def test_jaccard_components(spark, near, empty, monkeypatch, n, percent, block,
     assert jaccard_join.components(empty, n=n, percent=percent).count() == 0
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85, 99, 100])
+def test_names_keep_sizes_that_can_link_in_reach(percent):
+    for size in [*range(1, 3000), 10 ** 5, 10 ** 6 + 1, 2 ** 31 - 1]:
+        least = -(-percent * size // 100)  # the smallest set that may link with one of this size
+        gap = (jaccard_join._short(b"\xff" * 32, size) >> 56) - (jaccard_join._short(b"\0" * 32, least) >> 56)
+        assert 0 <= gap <= jaccard_join._reach(percent)
+
+
+def test_nodes_meet_within_runs_of_near_sizes(spark):
+    def name(size, k):
+        return jaccard_join._short(bytes([k]) * 32, size)
+    sizes = {"a": 100, "b": 117, "c": 136, "d": 400, "e": 9000}  # a, b, c are a chain; d and e stand alone
+    names = {k: name(n, i) for i, (k, n) in enumerate(sizes.items())}
+    rows = [(names[k], 7, 1, 0) for k in "abcde"] + [(names["d"], 7, 1, 0)] + [(names["e"], 8, 2, 0)]
+    met = jaccard_join._meeting(spark.createDataFrame(rows, "s long, token long, salts int, part int"), 85)
+    assert {(r["s"], r["token"], r["lead"]) for r in met.collect()} == (
+        {(names[k], 7, names["a"]) for k in "abc"} | {(names["e"], 8, names["e"])})  # salted windows keep all
+
+
 def test_representatives(near, empty):
     frame = with_clashes(near)
     got = jaccard_join.representatives(frame, n=5, percent=80)
