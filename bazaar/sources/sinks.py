@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,49 @@ class ShardSchemaError(ValueError):
     """Parquet shards of one export disagree on their schema."""
 
 
-def layout(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> DataFrame:
+def _number(df: DataFrame, column: str) -> Column:
+    """A column as a double that keeps its order; texts by their first six bytes."""
+    c = F.col(f"`{column}`")
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
+        c = F.conv(head, 16, 10)
+    elif isinstance(kind, T.DateType):
+        c = F.unix_date(c)
+    elif isinstance(kind, T.BooleanType):
+        c = c.cast("int")
+    return c.cast("double")
+
+
+def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 8) -> Column:
+    """A key that orders rows along a space-filling curve over several columns.
+
+    Each column is cut at 2**bits - 1 of its quantiles, from one aggregation over all rows (of few values, some cuts
+    are equal and cell numbers are left out); the bits of the cells' numbers are dealt in turn, so that neighbours on
+    the curve are near in every column. Equal numbers share a cell: texts alike in their first six bytes are not told
+    apart. Nulls are in cell 0, with the smallest values.
+    """
+    if not 0 < bits * len(columns) < 64:
+        raise ValueError("the key of a space-filling order has 1 to 63 bits")
+    shares = [k / 2 ** bits for k in range(1, 2 ** bits)]
+    cuts = df.agg(*[F.percentile_approx(_number(df, c), shares, 10_000).alias(f"c{i}")
+                    for i, c in enumerate(columns)]).first()
+
+    def cell_of(column: str, at: Sequence[float] | None) -> Column:
+        number = _number(df, column)
+        passed = F.filter(F.array(*[F.lit(x) for x in at or ()]).cast("array<double>"), lambda x: x < number)
+        return F.when(number.isNotNull(), F.size(passed)).otherwise(0)
+
+    key = F.lit(0).cast("bigint")
+    cells = [cell_of(c, at) for c, at in zip(columns, cuts)]
+    for bit in reversed(range(bits)):
+        for cell in cells:
+            key = F.shiftleft(key, 1).bitwiseOR(F.shiftright(cell, bit).bitwiseAND(F.lit(1)).cast("bigint"))
+    return key
+
+
+def layout(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
+           interleave: bool = False) -> DataFrame:
     """Shape a frame for a partitioned, clustered write.
 
     Range-partitioning on (partition columns, cluster columns) sends each task a
@@ -34,6 +76,9 @@ def layout(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence
     cluster key instead of landing in one. Sorting inside the task clusters the
     rows, so Parquet min/max statistics skip row groups on the cluster key. The number
     of ranges is left open, so that adaptive execution fits it to the size written.
+
+    That order skips by its first cluster column; `interleave` orders by a space-filling curve over all of them, at the
+    cost of one aggregation beforehand, and skips by each.
     """
     keys = list(partition_by) + list(cluster_by)
     if not keys:
@@ -42,6 +87,10 @@ def layout(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence
     # even a single hot (partition, cluster) value over several tasks; being a pure
     # function of the row, a retried task sends every row to the same place
     spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    if interleave and len(cluster_by) > 1:
+        made = df.withColumn("__curve", interleaved(df, cluster_by))
+        return (made.repartitionByRange(*[F.col(k) for k in partition_by], F.col("__curve"), spread)
+                .sortWithinPartitions(*partition_by, "__curve", *cluster_by).drop("__curve"))
     return (df.repartitionByRange(*[F.col(k) for k in keys], spread)
               .sortWithinPartitions(*keys))
 
@@ -55,10 +104,10 @@ def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
-                mode: str = "overwrite", dynamic: bool = True) -> None:
+                mode: str = "overwrite", dynamic: bool = True, interleave: bool = False) -> None:
     """Materialise a model. With partitions and `dynamic`, only the partitions present
     in `df` are replaced (insert-overwrite); otherwise the table is rebuilt."""
-    shaped = layout(df, partition_by, cluster_by)
+    shaped = layout(df, partition_by, cluster_by, interleave)
     w = shaped.write.mode(mode).format("parquet").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     if partition_by:
         w = w.partitionBy(*partition_by)
