@@ -44,7 +44,18 @@ OUTCOME_OTHER = "failed"
 
 def explode_results(pages: DataFrame, results: str = "results") -> DataFrame:
     """API result pages -> one row per listing record (the `results` array)."""
-    return pages.select(F.explode(F.col(results)).alias("__r")).select("__r.*")
+    return explode_once(pages.select(F.col(results).alias("__rs")), "__rs", "__r").select("__r.*")
+
+
+def explode_once(df: DataFrame, array: str, item: str, pos: str = "__at") -> DataFrame:
+    """`posexplode` of a column, whose expression is worked out once per row.
+
+    Ahead of a plain explode Spark asks whether the array has elements, and works a parsed array out again for each of
+    those questions; the outer form is not asked, and its row for a missing or empty array, which alone has no
+    position, is dropped.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c != array]
+    return df.select(*rest, F.posexplode_outer(array).alias(pos, item)).where(F.col(pos).isNotNull())
 
 
 def parse_results_pages(pages_text: DataFrame, body: str = "body", place: tuple[str, str] | None = None) -> DataFrame:
@@ -57,7 +68,7 @@ def parse_results_pages(pages_text: DataFrame, body: str = "body", place: tuple[
     parsed = pages_text.select(page.alias("__page"), F.from_json(F.col(body), schemas.RESULTS_PAGE).alias("__p"))
     if place is None:
         return explode_results(parsed.select("__p.*"))
-    placed = parsed.select("__page", F.posexplode("__p.results").alias("__pos", "__r"))
+    placed = explode_once(parsed.select("__page", F.col("__p.results").alias("__rs")), "__rs", "__r", "__pos")
     return placed.select(F.col("__page").alias(place[0]), F.col("__pos").alias(place[1]), "__r.*")
 
 

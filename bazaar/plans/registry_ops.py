@@ -28,7 +28,7 @@ from bazaar.plans.registry import (_GROUP_MEASURES, _LABEL, BUCKET_ORACLE, K_DAI
                                    rpt_market, stacked, stg_history, stg_items)
 from bazaar import schemas
 from bazaar.schemas import REPORT_CONTRACTS
-from bazaar.session import scratch_path
+from bazaar.session import materialize, scratch_path
 from bazaar.sources import fixtures
 from bazaar.sources.sinks import (export_parquet, guard_nonempty_export, layout, merge_parquet_shards,
                                   read_export, write_append, write_table)
@@ -384,8 +384,8 @@ def q_parse_series_json(spark, d):
 
 def _all_points(spark, d):
     pages = fixtures.history_pages(spark, d)
-    pts = pages.select("market_hash_name",
-                       F.explode(ig.parse_series_json(ig.extract_series_text("body"))).alias("p"))
+    pts = ig.explode_once(pages.select("market_hash_name", ig.parse_series_json(ig.extract_series_text("body"))
+                                       .alias("pts")), "pts", "p")
     return pts.select("market_hash_name",
                       ig.parse_point_date(F.get("p", 0)).alias("date"),
                       ig.parse_point_price(F.get("p", 1)).alias("price"),
@@ -1073,7 +1073,6 @@ def q_gate_build(spark, d):
     them; the gate raises on any failure. The models are built once and written to the
     shared checkpoint folder (lineage cut), so the test branches read them instead of
     recomputing them."""
-    from bazaar.session import materialize
     stg = materialize(stg_items(spark, d), "gate-stg")
     dl = materialize(daily(spark, d), "gate-daily")
     f = materialize(m.fct_market_daily(stg, dl), "gate-fct")

@@ -93,38 +93,44 @@ BAD_POINT_SIZE = 45
 FAKE_POINT = '["not a date","1","1"]'
 
 
-def listing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """items_raw rows nested back into API records, with the redundant fields present."""
-    r = items_raw(spark, sf_dir)
-    asset = F.struct(
-        F.col("asset_description__market_hash_name").alias("name"),
-        F.col("asset_description__market_hash_name").alias("market_name"),
-        F.lit(1).cast("bigint").alias("appid"),
+#: What a listing record holds, each value once; its other fields repeat the name or are fixed.
+RECORD_VALUES = ("asset_description__market_hash_name", "sell_listings", "sell_price", "sell_price_text",
+                 "sale_price_text", "asset_description__classid", "asset_description__background_color",
+                 "asset_description__tradable", "asset_description__name_color", "asset_description__type",
+                 "asset_description__commodity", "asset_description__market_bucket_group_name",
+                 "asset_description__market_bucket_group_id")
+
+
+def _record(v) -> F.Column:
+    """The API record of the values `v(name)`, with the redundant fields present."""
+    def asset(name: str) -> F.Column:
+        return v(f"asset_description__{name}").alias(name)
+
+    name = v("asset_description__market_hash_name")
+    description = F.struct(
+        name.alias("name"), name.alias("market_name"), F.lit(1).cast("bigint").alias("appid"),
         F.lit("icon").alias("icon_url"),
-        F.col("asset_description__classid").alias("classid"),
-        F.col("asset_description__background_color").alias("background_color"),
-        F.col("asset_description__tradable").alias("tradable"),
-        F.col("asset_description__name_color").alias("name_color"),
-        F.col("asset_description__type").alias("type"),
-        F.col("asset_description__market_hash_name").alias("market_hash_name"),
-        F.col("asset_description__commodity").alias("commodity"),
-        F.col("asset_description__market_bucket_group_name").alias("market_bucket_group_name"),
-        F.col("asset_description__market_bucket_group_id").alias("market_bucket_group_id"),
-    )
-    return r.select(
-        F.col("snapshot_timestamp"), F.col("_dlt_load_id"), F.col("_dlt_id"),
-        F.struct(F.col("asset_description__market_hash_name").alias("name"),
-                 F.col("asset_description__market_hash_name").alias("hash_name"),
-                 F.lit("icon").alias("app_icon"), F.lit("Market").alias("app_name"),
-                 "sell_listings", "sell_price", "sell_price_text", "sale_price_text",
-                 asset.alias("asset_description")).alias("rec"))
+        *[asset(x) for x in ("classid", "background_color", "tradable", "name_color", "type", "market_hash_name",
+                             "commodity", "market_bucket_group_name", "market_bucket_group_id")])
+    return F.struct(name.alias("name"), name.alias("hash_name"), F.lit("icon").alias("app_icon"),
+                    F.lit("Market").alias("app_name"),
+                    *[v(x).alias(x) for x in ("sell_listings", "sell_price", "sell_price_text", "sale_price_text")],
+                    description.alias("asset_description"))
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archived API result pages (page_no from 1, body JSON): the lines of one order are one page."""
-    pages = (listing_records(spark, sf_dir).groupBy((F.col("_dlt_load_id").cast("bigint") + 1).alias("page_no"))
-             .agg(F.array_sort(F.collect_list(F.struct("_dlt_id", "rec"))).alias("rows")))
-    results = F.transform("rows", lambda x: x["rec"])
+    """Archived API result pages (page_no from 1, body JSON): the lines of one order are one page.
+
+    Lines meet by page as their plain values, before they are collected: what a record repeats is added where the page
+    is written, and no task sorts its input by page ahead of the shuffle. The values are in the record's order, so
+    that lines of one id sort as their records would.
+    """
+    lines = (items_raw(spark, sf_dir)
+             .select((F.col("_dlt_load_id").cast("bigint") + 1).alias("page_no"),
+                     F.struct("_dlt_id", *RECORD_VALUES).alias("line"))
+             .repartition("page_no"))
+    pages = lines.groupBy("page_no").agg(F.array_sort(F.collect_list("line")).alias("rows"))
+    results = F.transform("rows", lambda x: _record(lambda name: x[name]))
     return pages.select("page_no", F.to_json(F.struct(F.size("rows").cast("bigint").alias("total_count"),
                                                       results.alias("results"))).alias("body"))
 
