@@ -922,8 +922,9 @@ def q_order_by_name(spark, d):
     split one very frequent name over several tasks.
     """
     r = _records(spark, d)
-    return r.select(F.col("asset_description.market_hash_name").alias("market_hash_name"), "sell_price").orderBy(
-        "market_hash_name", "sell_price")
+    named = r.select(F.col("asset_description.market_hash_name").alias("market_hash_name"), "sell_price")
+    # a sort looks at its input twice, for the ranges and for the rows: the pages are parsed once
+    return materialize(named, "named").orderBy("market_hash_name", "sell_price")
 
 
 @register("concat_tables", M(presented(K_RPT_MARKET, "rpt_market_metrics_daily"), "rpt_market_metrics_daily"))

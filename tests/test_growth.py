@@ -37,6 +37,13 @@ def test_explode_once_keeps_null_items_and_drops_empty_arrays(spark):
     assert [tuple(r) for r in got] == [(1, 0, "a"), (1, 1, None), (4, 0, "b")]
 
 
+def test_a_sort_by_name_parses_no_page_twice(spark):
+    df = QUERIES["order_by_name"](spark, SF)
+    assert "from_json" not in plan(df, "optimizedPlan")
+    names = [(r.market_hash_name, r.sell_price) for r in df.collect()]
+    assert names == sorted(names) and len(names) == fixtures.items_raw(spark, SF).count()
+
+
 def test_pages_hold_the_records_in_line_order(spark):
     page = fixtures.listing_pages(spark, SF).orderBy("page_no").limit(20)
     got = ig.parse_results_pages(page, place=("__page", "__pos")).select(
