@@ -13,6 +13,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaar.functions import scalar as fx
 from bazaar.operators.dedup import keep_first, keep_top_ties
@@ -53,9 +54,18 @@ STG_ITEMS_ORDER = ["_dlt_load_id", "ask_count", "ask_price_cents", "bid_price_us
 
 
 def stg_items(items_raw: DataFrame) -> DataFrame:
-    """One row per (item_name, snapshot_date): newest load, then most asks, then a total order."""
-    return keep_first(stg_items_projected(items_raw), ["item_name", "snapshot_date"], STG_ITEMS_ORDER,
-                      tiebreak="rest")
+    """One row per (item_name, snapshot_date): newest load, then most asks, then a total order.
+
+    With prices in whole cents, as declared, the dollars say nothing that the cents do not; they are worked out for
+    the rows kept, so that narrower rows are sorted and moved.
+    """
+    rows = stg_items_projected(items_raw)
+    whole_cents = isinstance(items_raw.schema["sell_price"].dataType, T.LongType)
+    moved = rows.drop("ask_price_usd") if whole_cents else rows
+    kept = keep_first(moved, ["item_name", "snapshot_date"], STG_ITEMS_ORDER, tiebreak="rest")
+    if whole_cents:
+        kept = kept.withColumn("ask_price_usd", fx.cents_to_usd("ask_price_cents"))
+    return kept.select(*rows.columns)
 
 
 def stg_item_price_history_projected(history_raw: DataFrame) -> DataFrame:
