@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from bazaar.plans import dashboard as dash
 from bazaar.plans import models as m
 from bazaar.plans.oracle import normalize_rounding, presented, with_models
+from bazaar.plans.partials import MEASURES
 from bazaar.session import configure, materialize
 from bazaar.sources import fixtures
 
@@ -216,8 +217,8 @@ K_Q_COMMODITY = kinds("is_commodity market_date total_estimated_trade_volume_usd
 
 
 def written_fct(spark, d):
-    """The fact as the dashboard's reports find it: written once, read by all of them."""
-    return materialize(fct(spark, d), "dashboard-fct")
+    """The fact as the dashboard's reports find it: written once, read by all of them; the columns that they read."""
+    return materialize(fct(spark, d).select("is_commodity", "market_date", *MEASURES), "dashboard-fct", "zstd")
 
 
 @register("q_commodity_metrics", with_models(presented(K_Q_COMMODITY, "q"), "fct_market_daily",
