@@ -29,11 +29,14 @@ def _after_late_weekends(spark, d):
     raw = fixtures.item_price_history_raw(spark, d)
     late = F.dayofweek("date").isin(1, 7)
     early = m.int_item_price_history_daily(m.stg_item_price_history(raw.where(~late)))
-    fct = materialize(m.fct_market_daily(base.stg_items(spark, d), early), "early-fct")
+    fct = materialize(m.fct_market_daily(base.stg_items(spark, d), early), "early-fct", "zstd")
     fct = fct.where(F.col("market_date") >= F.lit(str(m.REPORT_FLOOR)).cast("date"))
     points = m.stg_item_price_history(raw.where(late))
     keys = points.select("item_name", F.to_date("priced_at").alias("day")).distinct()
-    changed = materialize(pt.changed_rows(fct, m.int_item_price_history_daily(points), keys), "late-rows")
+    changed = pt.changed_rows(fct, m.int_item_price_history_daily(points), keys)
+    read = ("is_commodity", "market_date", *pt.MEASURES)   # of a changed row, by its day's aggregates
+    changed = materialize(changed.select(*[F.struct(*[f"{side}.{c}" for c in read]).alias(side)
+                                           for side in ("before", "after")]), "late-rows", "zstd")
     return pt.corrected(pt.day_partials(fct), changed.select("before.*"), changed.select("after.*"))
 
 
