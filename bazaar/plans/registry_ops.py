@@ -1074,9 +1074,11 @@ def q_gate_build(spark, d):
     them; the gate raises on any failure. The models are built once and written to the
     shared checkpoint folder (lineage cut), so the test branches read them instead of
     recomputing them."""
-    stg = materialize(stg_items(spark, d), "gate-stg")
-    dl = materialize(daily(spark, d), "gate-daily")
-    f = materialize(m.fct_market_daily(stg, dl), "gate-fct")
+    # of the staged listings, what the dimension and the fact take from them
+    stg = stg_items(spark, d).select(*m.DIM_COLUMNS, "ask_count", "ask_price_usd", "bid_price_usd")
+    stg = materialize(stg, "gate-stg", "zstd")
+    dl = materialize(daily(spark, d), "gate-daily", "zstd")
+    f = materialize(m.fct_market_daily(stg, dl), "gate-fct", "zstd")
     tables = {"int_item_price_history_daily": dl, "dim_item": m.dim_item(stg), "fct_market_daily": f,
               # each table is tested in one pass, so none of these is computed twice
               "rpt_commodity_velocity_daily": m.rpt_commodity_velocity_daily(f),
