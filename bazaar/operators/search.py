@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from bazaar.session import materialize
 from bazaar.sources import folders as fs
 from bazaar.sources.sinks import write_table
 
@@ -71,9 +72,12 @@ def build_search_index(df: DataFrame, path: str, key: str = "item_name", columns
 
     `postings` (start, hash of the key) are sorted by start, so that a probe skips row groups, and a frequent start is
     spread over files. `rows` are the rows themselves, in buckets of the hash. A NULL key is a key like others.
+    Both are laid out in ranges, which takes two looks at each: `df` is worked out once, its rows and their starts are
+    written ahead of that.
     """
-    rows = df.withColumn("_hash", F.xxhash64(key))
+    rows = materialize(df.withColumn("_hash", F.xxhash64(key)), "search-rows", "zstd")
     starts = rows.select("_hash", F.explode(word_starts(_text(df, list(columns or df.columns)))).alias("start")).distinct()
+    starts = materialize(starts, "search-starts", "zstd")
     rows = rows.withColumn("_bucket", F.pmod("_hash", F.lit(ROW_BUCKETS)).cast("int"))
 
     def write(out: str) -> None:
