@@ -26,6 +26,7 @@ from bazaar.operators import search
 from bazaar.plans import incremental as inc
 from bazaar.plans import models as m
 from bazaar.plans import partials as pt
+from bazaar.session import materialize
 from bazaar.sources import folders as fs
 from bazaar.sources import loads
 from bazaar.sources import raw as src
@@ -85,7 +86,8 @@ def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, his
     for name in ("items_raw", "item_price_history_raw", "_errors"):
         loads.settle(spark, wh.path(name))
     ledger.reopen(load_id)
-    items = load_items(listing_pages, run_ts, load_id, dev_page_limit=dev_page_limit)
+    # written as they come first: laying them out takes two looks, and the pages are to be parsed once
+    items = materialize(load_items(listing_pages, run_ts, load_id, dev_page_limit=dev_page_limit), "load-items", "zstd")
     publish_load(items, wh.path("items_raw"), load_id, "snapshot_timestamp",
                  cluster_by=("asset_description__market_hash_name",))
     if dev_page_limit is not None:  # the history of the listed items only

@@ -109,6 +109,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), clus
     in `df` are replaced (insert-overwrite); otherwise the table is rebuilt."""
     shaped = layout(df, partition_by, cluster_by, interleave)
     w = shaped.write.mode(mode).format("parquet").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    w = w.option("compression", "zstd")   # decimals and row ids take much less than by the default
     if partition_by:
         w = w.partitionBy(*partition_by)
         w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
