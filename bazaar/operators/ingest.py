@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from bazaar import schemas
 from bazaar.functions.scalar import col_of
-from bazaar.session import materialize
+from bazaar.session import materialize_at
 
 # The series is the JavaScript variable `line1` embedded in the page;
 # each point is [date text, price, volume text] and the first 11 characters of the
@@ -202,6 +202,7 @@ class Extracted:
     errors: DataFrame       # one row per failed page: market_hash_name, reason
     outcomes: DataFrame     # per page: market_hash_name, status, outcome, severity, has_series
     pages: DataFrame        # per page: key, status, has_series, mark, taken points, ok flag (a written table)
+    pages_path: str         # its folder, which may be deleted once all of these have been read
 
 
 def extract_price_history(pages: DataFrame, state: DataFrame | None = None, grain: str = "day",
@@ -245,7 +246,7 @@ def extract_price_history(pages: DataFrame, state: DataFrame | None = None, grai
         typed = base.select(*own, "mark", "bad_json", F.filter(
             "typed", lambda t: t["date"].isNull() | (t["date"] > F.col("mark"))).alias("points"))
     fine = ~F.col("has_series") | (~F.col("bad_json") & F.coalesce(all_points_ok(F.col("points")), F.lit(False)))
-    judged = materialize(typed.select(*own, "mark", "bad_json", "points", fine.alias("ok")), "judged-pages")
+    judged, path = materialize_at(typed.select(*own, "mark", "bad_json", "points", fine.alias("ok")), "judged-pages", "zstd")
     outcomes = judged.select(key, "status", page_outcome("status").alias("outcome"),
                              outcome_severity("status").alias("severity"), "has_series")
     failed = judged.where(~F.col("ok"))
@@ -256,7 +257,7 @@ def extract_price_history(pages: DataFrame, state: DataFrame | None = None, grai
         good = good.join(failed.select(key).distinct(), key, "left_anti")
     records = good.select(F.col(key), F.inline("points")).select(
         F.col(key).alias("market_hash_name"), F.col("date"), F.col("price"), F.col("volume"))
-    return Extracted(records=records, errors=errors, outcomes=outcomes, pages=judged)
+    return Extracted(records=records, errors=errors, outcomes=outcomes, pages=judged, pages_path=path)
 
 
 def advance_state(state: DataFrame | None, records: DataFrame, key: str = "market_hash_name",

@@ -26,7 +26,7 @@ from bazaar.operators import search
 from bazaar.plans import incremental as inc
 from bazaar.plans import models as m
 from bazaar.plans import partials as pt
-from bazaar.session import materialize
+from bazaar.session import materialize_at
 from bazaar.sources import folders as fs
 from bazaar.sources import loads
 from bazaar.sources import raw as src
@@ -59,17 +59,25 @@ def load_items(listing_pages: DataFrame, run_ts: _dt.datetime, load_id: str, bod
     """
     if dev_page_limit is not None:
         listing_pages = ig.first_pages(listing_pages, dev_page_limit)
+    return keyed_items(parsed_items(listing_pages, run_ts, body), load_id)
+
+
+def parsed_items(listing_pages: DataFrame, run_ts: _dt.datetime, body: str = "body") -> DataFrame:
+    """API result pages -> records with their place, `__page` and `__pos` (stamped, pruned, flattened)."""
     recs = ig.parse_results_pages(listing_pages, body, place=("__page", "__pos"))
-    flat = ig.flatten_struct(ig.prune_redundant(ig.stamp_snapshot(recs, run_ts)))
-    flat = ig.add_load_metadata(flat, load_id, ["__page", "__pos"])
-    return src.conform(flat, schemas.ITEMS_RAW, "items_raw")
+    return ig.flatten_struct(ig.prune_redundant(ig.stamp_snapshot(recs, run_ts)))
 
 
-def load_history(history_pages: DataFrame, state: DataFrame | None, load_id: str, grain: str = "day") -> ig.Extracted:
-    ex = ig.extract_price_history(history_pages, state, grain=grain)
-    recs = ig.add_load_metadata(ex.records, load_id, ["market_hash_name", "date"])
-    ex.records = src.conform(recs, schemas.ITEM_PRICE_HISTORY_RAW, "item_price_history_raw")
-    return ex
+def keyed_items(records: DataFrame, load_id: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Records with their place -> items_raw rows, and the columns to keep."""
+    rows = ig.add_load_metadata(records, load_id, ["__page", "__pos"])
+    return src.conform(rows, schemas.ITEMS_RAW, "items_raw", keep)
+
+
+def keyed_history(records: DataFrame, load_id: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Price records -> item_price_history_raw rows, and the columns to keep."""
+    rows = ig.add_load_metadata(records, load_id, ["market_hash_name", "date"])
+    return src.conform(rows, schemas.ITEM_PRICE_HISTORY_RAW, "item_price_history_raw", keep)
 
 
 def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, history_pages: DataFrame,
@@ -86,10 +94,15 @@ def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, his
     for name in ("items_raw", "item_price_history_raw", "_errors"):
         loads.settle(spark, wh.path(name))
     ledger.reopen(load_id)
-    # written as they come first: laying them out takes two looks, and the pages are to be parsed once
-    items = materialize(load_items(listing_pages, run_ts, load_id, dev_page_limit=dev_page_limit), "load-items", "zstd")
+    if dev_page_limit is not None:
+        listing_pages = ig.first_pages(listing_pages, dev_page_limit)
+    # written as they come first: laying them out takes two looks, and the pages are to be parsed once. The row ids,
+    # half of a row's bytes on disk, are added where the rows are written
+    items, items_path = materialize_at(parsed_items(listing_pages, run_ts), "load-items", "zstd")
     publish_load(items, wh.path("items_raw"), load_id, "snapshot_timestamp",
-                 cluster_by=("asset_description__market_hash_name",))
+                 cluster_by=("asset_description__market_hash_name",),
+                 finish=lambda rows: keyed_items(rows, load_id, keep=("_day",)))
+    fs.delete(spark, items_path)
     if dev_page_limit is not None:  # the history of the listed items only
         listed = inc.read_loads(spark, wh.path("items_raw"), schemas.ITEMS_RAW).where(F.col("load_id") == load_id)
         names = listed.select(F.col("asset_description__market_hash_name").alias("market_hash_name")).distinct()
@@ -99,8 +112,9 @@ def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, his
         else None
     state = inc.read_state(spark, wh.path("_state"), prior, before_load_id=load_id, grain=grain,
                            data_path=hist_path)
-    ex = load_history(history_pages, state, load_id, grain)
-    publish_load(ex.records, hist_path, load_id, "date", by="month", cluster_by=("market_hash_name", "date"))
+    ex = ig.extract_price_history(history_pages, state, grain=grain)
+    publish_load(ex.records, hist_path, load_id, "date", by="month", cluster_by=("market_hash_name", "date"),
+                 finish=lambda rows: keyed_history(rows, load_id, keep=("_month",)))
     written = inc.read_loads(spark, hist_path, schemas.ITEM_PRICE_HISTORY_RAW).where(F.col("load_id") == load_id)
     mark_type = schemas.state_schema(grain)["last_seen"].dataType
     inc.commit_state(ig.advance_state(state, written, as_type=mark_type), wh.path("_state"), load_id)
@@ -111,6 +125,7 @@ def run_ingest(spark: SparkSession, wh: Warehouse, listing_pages: DataFrame, his
     # one row per outcome class: bounded, safe to bring to the driver for the gate
     counts = ig.outcome_counts(ex.outcomes)
     counts = spark.createDataFrame(counts.collect(), counts.schema)
+    fs.delete(spark, ex.pages_path)
     ledger.mark(load_id, loads.EXTRACTED, run_ts, qa.failed_pages(counts))
     qa.gate_load(counts, max_failed_pages, max_failed_share=max_failed_share)
     return {"outcomes": counts, "errors": errors}

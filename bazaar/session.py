@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -102,12 +103,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Spark's setting by which what a query has shuffled is deleted when the query ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """For writes, whose shuffles nobody reads again: their files go as each write ends, instead of whenever the
+    driver next collects its garbage, so that a job of several writes holds those of one at a time. The session's own
+    setting comes back afterwards."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
+def materialize_at(df, name: str, codec: str | None = None):
+    """As `materialize`; returns the frame and its folder, for callers who delete it once they have read it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with shuffles_freed(spark):
+        df.write.mode("overwrite").parquet(path, compression=codec)
+    return spark.read.parquet(path), path
+
+
 def materialize(df, name: str, codec: str | None = None):
     """Cut the lineage of `df`: write it once as Parquet under the shared checkpoint
     folder and return the frame read back (computed once, unlike an RDD checkpoint of
     an unpersisted frame, and readable by any executor after a loss). `codec` names the
     files' compression (None: the session's); wide frames take less disk by `zstd`."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path, compression=codec)
-    return spark.read.parquet(path)
+    return materialize_at(df, name, codec)[0]

@@ -26,45 +26,56 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.repartition(int(spread)) if spread else df
 
 
-def _load_id(l) -> F.Column:
+def _load_id(orderkey: F.Column) -> F.Column:
     # fixed width so that text order is load order
-    return F.lpad(l["l_orderkey"].cast("string"), 12, "0")
+    return F.lpad(orderkey.cast("string"), 12, "0")
 
 
-def _row_id(l) -> F.Column:
+def _row_id(load_id: F.Column, linenumber: F.Column, suppkey: F.Column) -> F.Column:
     # load id, line number and supplier: carries the tie-break order through staging
-    return F.concat_ws("-", _load_id(l), F.lpad(l["l_linenumber"].cast("string"), 4, "0"),
-                       F.lpad(l["l_suppkey"].cast("string"), 10, "0"))
+    return F.concat_ws("-", load_id, F.lpad(linenumber.cast("string"), 4, "0"), F.lpad(suppkey.cast("string"), 10, "0"))
 
 
 def _money_text(c: F.Column) -> F.Column:
     return F.concat(F.lit("$"), F.format_number(c, 2))
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each lineitem beside its part."""
+    l = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part")
+    return l.join(p, l["l_partkey"] == p["p_partkey"], "inner")
+
+
+def _values(v) -> dict[str, F.Column]:
+    """What a listing says of a line and its part, whose columns are `v(name)`."""
+    ext2 = v("l_extendedprice").cast("decimal(18,2)")
+    sale = (ext2 * (F.lit(1).cast("decimal(4,2)") - v("l_discount").cast("decimal(4,2)"))).cast("decimal(18,2)")
+    return {
+        "sell_listings": v("l_quantity").cast("bigint"),
+        "sell_price": F.round(v("l_extendedprice") * 100).cast("bigint"),
+        "sell_price_text": _money_text(ext2),
+        "sale_price_text": _money_text(sale),
+        "asset_description__classid": v("l_suppkey").cast("string"),
+        "asset_description__background_color": F.lit(None).cast("string"),
+        "asset_description__tradable": (v("l_linenumber") % 2).cast("bigint"),
+        "asset_description__name_color": v("p_name"),
+        "asset_description__type": v("p_type"),
+        "asset_description__market_hash_name": F.concat(F.lit("ITEM-"), v("l_partkey").cast("string")),
+        "asset_description__commodity": (v("p_size") % 2).cast("bigint"),
+        "asset_description__market_bucket_group_name": v("p_brand"),
+        "asset_description__market_bucket_group_id": v("p_brand"),
+    }
+
+
 def items_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw listing row per lineitem, attributes from its part."""
-    l = table(spark, sf_dir, "lineitem").alias("l")
-    p = table(spark, sf_dir, "part").alias("p")
-    j = l.join(p, F.col("l.l_partkey") == F.col("p.p_partkey"), "inner")
-    ext2 = F.col("l.l_extendedprice").cast("decimal(18,2)")
-    sale = (ext2 * (F.lit(1).cast("decimal(4,2)") - F.col("l.l_discount").cast("decimal(4,2)"))).cast("decimal(18,2)")
-    out = j.select(
-        F.col("l.l_quantity").cast("bigint").alias("sell_listings"),
-        F.round(F.col("l.l_extendedprice") * 100).cast("bigint").alias("sell_price"),
-        _money_text(ext2).alias("sell_price_text"),
-        _money_text(sale).alias("sale_price_text"),
-        F.col("l.l_shipdate").cast("timestamp").alias("snapshot_timestamp"),
-        F.col("l.l_suppkey").cast("string").alias("asset_description__classid"),
-        F.lit(None).cast("string").alias("asset_description__background_color"),
-        (F.col("l.l_linenumber") % 2).cast("bigint").alias("asset_description__tradable"),
-        F.col("p.p_name").alias("asset_description__name_color"),
-        F.col("p.p_type").alias("asset_description__type"),
-        F.concat(F.lit("ITEM-"), F.col("l.l_partkey").cast("string")).alias("asset_description__market_hash_name"),
-        (F.col("p.p_size") % 2).cast("bigint").alias("asset_description__commodity"),
-        F.col("p.p_brand").alias("asset_description__market_bucket_group_name"),
-        F.col("p.p_brand").alias("asset_description__market_bucket_group_id"),
-        _load_id(l).alias("_dlt_load_id"),
-        _row_id(l).alias("_dlt_id"),
+    load_id = _load_id(F.col("l_orderkey"))
+    out = _lines(spark, sf_dir).select(
+        *[c.alias(name) for name, c in _values(F.col).items()],
+        F.col("l_shipdate").cast("timestamp").alias("snapshot_timestamp"),
+        load_id.alias("_dlt_load_id"),
+        _row_id(load_id, F.col("l_linenumber"), F.col("l_suppkey")).alias("_dlt_id"),
     )
     return conform(out, schemas.ITEMS_RAW, "items_raw")
 
@@ -77,8 +88,8 @@ def item_price_history_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("timestamp").alias("date"),
         F.col("l_extendedprice").cast(schemas.MONEY).alias("price"),
         F.col("l_quantity").cast("bigint").alias("volume"),
-        _load_id(l).alias("_dlt_load_id"),
-        _row_id(l).alias("_dlt_id"),
+        _load_id(l["l_orderkey"]).alias("_dlt_load_id"),
+        _row_id(_load_id(l["l_orderkey"]), l["l_linenumber"], l["l_suppkey"]).alias("_dlt_id"),
     )
     return conform(out, schemas.ITEM_PRICE_HISTORY_RAW, "item_price_history_raw")
 
@@ -118,18 +129,29 @@ def _record(v) -> F.Column:
                     description.alias("asset_description"))
 
 
+#: What a page's lines are made from, beside the order that the page stands for.
+LINE_VALUES = ("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "p_name",
+               "p_brand", "p_type", "p_size")
+
+
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archived API result pages (page_no from 1, body JSON): the lines of one order are one page.
 
-    Lines meet by page as their plain values, before they are collected: what a record repeats is added where the page
-    is written, and no task sorts its input by page ahead of the shuffle. The values are in the record's order, so
-    that lines of one id sort as their records would.
+    Lines meet by page as the tables have them, before they are collected: their texts and what a record repeats are made
+    where the page is written, and no task sorts its input by page ahead of the shuffle. The values are in the
+    record's order, so that lines of one id sort as their records would.
     """
-    lines = (items_raw(spark, sf_dir)
-             .select((F.col("_dlt_load_id").cast("bigint") + 1).alias("page_no"),
-                     F.struct("_dlt_id", *RECORD_VALUES).alias("line"))
-             .repartition("page_no"))
-    pages = lines.groupBy("page_no").agg(F.array_sort(F.collect_list("line")).alias("rows"))
+    page = (_load_id(F.col("l_orderkey")).cast("bigint") + 1).alias("page_no")
+    lines = _lines(spark, sf_dir).select(page, *LINE_VALUES).repartition("page_no")
+    load_id = _load_id(F.col("page_no") - 1)
+
+    def row(x) -> F.Column:
+        values = _values(lambda name: x[name])
+        return F.struct(_row_id(load_id, x["l_linenumber"], x["l_suppkey"]).alias("_dlt_id"),
+                        *[values[name].alias(name) for name in RECORD_VALUES])
+
+    pages = lines.groupBy("page_no").agg(F.collect_list(F.struct(*LINE_VALUES)).alias("lines"))
+    pages = pages.select("page_no", F.array_sort(F.transform("lines", row)).alias("rows"))
     results = F.transform("rows", lambda x: _record(lambda name: x[name]))
     return pages.select("page_no", F.to_json(F.struct(F.size("rows").cast("bigint").alias("total_count"),
                                                       results.alias("results"))).alias("body"))
@@ -143,12 +165,16 @@ def history_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from bazaar.plans.models import stg_item_price_history  # the deduplicated series
     h = stg_item_price_history(item_price_history_raw(spark, sf_dir))
-    point = F.array(F.concat(F.date_format("priced_at", "MMM dd yyyy"), F.lit(" 01: +0")),
-                    F.col("median_sale_price_usd").cast("string"), F.col("units_sold").cast("string"))
-    per_month = (h.groupBy("item_name", F.trunc(F.to_date("priced_at"), "MM").alias("month"))
-                 .agg(F.array_sort(F.collect_list(F.struct(F.col("priced_at").alias("t"), point.alias("p"))))
+    # an item's points, one per instant, meet once: its months are collected and find its part where they lie; the
+    # points become texts where the page is written
+    points = h.select("item_name", "priced_at", "median_sale_price_usd", "units_sold").repartition("item_name")
+    per_month = (points.groupBy("item_name", F.trunc(F.to_date("priced_at"), "MM").alias("month"))
+                 .agg(F.array_sort(F.collect_list(F.struct("priced_at", "median_sale_price_usd", "units_sold")))
                       .alias("pts")))
-    body = F.concat(F.lit("var line1="), F.to_json(F.transform("pts", lambda x: x["p"])), F.lit(";"))
+    texts = F.transform("pts", lambda x: F.array(
+        F.concat(F.date_format(x["priced_at"], "MMM dd yyyy"), F.lit(" 01: +0")),
+        x["median_sale_price_usd"].cast("string"), x["units_sold"].cast("string")))
+    body = F.concat(F.lit("var line1="), F.to_json(texts), F.lit(";"))
     part = table(spark, sf_dir, "part").select(
         F.concat(F.lit("ITEM-"), F.col("p_partkey").cast("string")).alias("item_name"), "p_size")
     pm = per_month.select("item_name", "month", body.alias("body")).join(part, "item_name", "left")

@@ -12,7 +12,7 @@ pending, whatever stopped it (a gate, a crash), and the next run models all pend
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,10 +72,10 @@ def settle(spark: SparkSession, path: str) -> None:
 
 
 def publish_load(df: DataFrame, path: str, load_id: str, stamp: str | None = None, by: str = "day",
-                 cluster_by: tuple[str, ...] = ()) -> None:
+                 cluster_by: tuple[str, ...] = (), finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Write one load's rows as a unit, partitioned by the day or month of `stamp` and clustered.
 
-    Whatever an earlier attempt left is set aside as a whole, also when `df` is empty.
+    Whatever an earlier attempt left is set aside as a whole, also when `df` is empty. `finish` is that of `write_table`.
     """
     spark, path = df.sparkSession, path.rstrip("/")
     attempt, place = f"{path}/_attempt/load_id={load_id}", f"{path}/load_id={load_id}"
@@ -83,7 +83,7 @@ def publish_load(df: DataFrame, path: str, load_id: str, stamp: str | None = Non
     if stamp is not None:
         df = df.withColumn(f"_{by}", F.to_date(stamp) if by == "day" else F.trunc(F.to_date(stamp), "MM"))
         parts = [f"_{by}"]
-    write_table(df, attempt, parts, cluster_by, mode="overwrite", dynamic=False)
+    write_table(df, attempt, parts, cluster_by, mode="overwrite", dynamic=False, finish=finish)
     if fs.exists(spark, place):
         kept = f"{path}/_retired/load_id={load_id}"
         fs.move(spark, place, f"{kept}/attempt={len(fs.children(spark, kept))}")

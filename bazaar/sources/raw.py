@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,14 +48,14 @@ def _check_columns(actual: T.StructType, declared: T.StructType, what: str) -> N
         raise SchemaDriftError(f"{what}: {'; '.join(drift)}")
 
 
-def conform(df: DataFrame, declared: T.StructType, what: str = "source") -> DataFrame:
+def conform(df: DataFrame, declared: T.StructType, what: str = "source", keep: Sequence[str] = ()) -> DataFrame:
     """Select the declared columns in declared order, cast to the declared types.
 
     Fails when a declared column is absent or of a type whose values the declared one may not hold. Extra columns are dropped (column pruning
-    then keeps them out of the scan).
+    then keeps them out of the scan), but for those in `keep`, which follow as they are.
     """
     _check_columns(df.schema, declared, what)
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in declared.fields])
+    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in declared.fields] + [F.col(c) for c in keep])
 
 
 def read_source(spark: SparkSession, path: str, declared: T.StructType, what: str = "source") -> DataFrame:

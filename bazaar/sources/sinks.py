@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bazaar.session import shuffles_freed
 from bazaar.sources.folders import exists as _exists
 
 # Rows per output file; keeps files of a hot partition bounded.
@@ -104,16 +105,23 @@ def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
-                mode: str = "overwrite", dynamic: bool = True, interleave: bool = False) -> None:
+                mode: str = "overwrite", dynamic: bool = True, interleave: bool = False,
+                finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """Materialise a model. With partitions and `dynamic`, only the partitions present
-    in `df` are replaced (insert-overwrite); otherwise the table is rebuilt."""
+    in `df` are replaced (insert-overwrite); otherwise the table is rebuilt.
+
+    `finish` makes the table's rows of those of `df`, each by itself, once they lie where they are written: columns
+    that follow from others need not be moved. It keeps the partition columns."""
     shaped = layout(df, partition_by, cluster_by, interleave)
+    if finish is not None:
+        shaped = finish(shaped)
     w = shaped.write.mode(mode).format("parquet").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     w = w.option("compression", "zstd")   # decimals and row ids take much less than by the default
     if partition_by:
         w = w.partitionBy(*partition_by)
         w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-    w.save(path)
+    with shuffles_freed(df.sparkSession):
+        w.save(path)
 
 
 def export_parquet(df: DataFrame, root: str, name: str) -> str:
