@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaar.functions.scalar import col_of
 
@@ -20,6 +21,13 @@ def _desc(c) -> Column:
     return c if isinstance(c, Column) else F.col(c).desc_nulls_last()
 
 
+def by_width(df: DataFrame) -> DataFrame:
+    """The columns in an order in which moved rows compress best: fixed widths, then texts, then wide decimals."""
+    def width(f: T.StructField) -> int:
+        return 1 if isinstance(f.dataType, T.StringType) else 2 if isinstance(f.dataType, T.DecimalType) else 0
+    return df.select(*[F.col(f"`{f.name}`") for f in sorted(df.schema.fields, key=width)])
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence, tiebreak: Sequence[str] | str | None = "rest",
                rank_col: str = "__rn") -> DataFrame:
     """One row per `keys`, the first by `order` (strings mean DESC NULLS LAST).

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bazaar.functions import scalar as fx
-from bazaar.operators.dedup import keep_first, keep_top_ties
+from bazaar.operators.dedup import by_width, keep_first, keep_top_ties
 from bazaar.schemas import MONEY
 
 EPOCH = _dt.date(1970, 1, 1)
@@ -53,19 +53,23 @@ STG_ITEMS_ORDER = ["_dlt_load_id", "ask_count", "ask_price_cents", "bid_price_us
                    "bucket_group_name", "item_type", "name_color", "is_tradable", "is_commodity", "_dlt_id"]
 
 
-def stg_items(items_raw: DataFrame) -> DataFrame:
+def stg_items(items_raw: DataFrame, row_ids: bool = True) -> DataFrame:
     """One row per (item_name, snapshot_date): newest load, then most asks, then a total order.
 
     With prices in whole cents, as declared, the dollars say nothing that the cents do not; they are worked out for
-    the rows kept, so that narrower rows are sorted and moved.
+    the rows kept, so that narrower rows are sorted and moved. For the same reason `row_ids=False` leaves `_dlt_id` out,
+    which is then last in the order: it chooses among rows that are alike in every other column.
     """
     rows = stg_items_projected(items_raw)
     whole_cents = isinstance(items_raw.schema["sell_price"].dataType, T.LongType)
     moved = rows.drop("ask_price_usd") if whole_cents else rows
-    kept = keep_first(moved, ["item_name", "snapshot_date"], STG_ITEMS_ORDER, tiebreak="rest")
+    order = STG_ITEMS_ORDER
+    if whole_cents and not row_ids:
+        moved, order = moved.drop("_dlt_id"), [c for c in order if c != "_dlt_id"]
+    kept = keep_first(by_width(moved), ["item_name", "snapshot_date"], order, tiebreak="rest")
     if whole_cents:
         kept = kept.withColumn("ask_price_usd", fx.cents_to_usd("ask_price_cents"))
-    return kept.select(*rows.columns)
+    return kept.select(*[c for c in rows.columns if row_ids or c != "_dlt_id"])
 
 
 def stg_item_price_history_projected(history_raw: DataFrame) -> DataFrame:
@@ -145,8 +149,29 @@ FCT_COLUMNS = ["item_name", "is_commodity", "item_type", "bucket_group_name", "a
                "bid_ask_spread_pct", "turnover_rate", "bid_ask_ratio", "market_date"]
 
 
+#: What the fact holds, but for the KPIs, which follow from it.
+FCT_BASE = ["item_name", "is_commodity", "item_type", "bucket_group_name", "ask_count", "ask_price_usd",
+            "bid_price_usd", "units_sold", "total_estimated_trade_volume_usd", "avg_median_sale_price_usd", "market_date"]
+
+
 def fct_market_daily(stg: DataFrame, daily: DataFrame, since: _dt.date | None = None) -> DataFrame:
-    """Daily fact: snapshot LEFT JOIN daily history on (item, day) + three KPIs.
+    """Daily fact: snapshot LEFT JOIN daily history on (item, day) + three KPIs."""
+    return fct_measured(fct_joined(stg, daily, since))
+
+
+def fct_measured(rows: DataFrame) -> DataFrame:
+    """The fact's rows with their three KPIs, each worked out from its own row: writers of the fact move the rows first."""
+    return rows.select(
+        *FCT_BASE[:-1],
+        fx.bid_ask_spread("ask_price_usd", "bid_price_usd").alias("bid_ask_spread_pct"),
+        fx.turnover_rate("units_sold", "ask_count").alias("turnover_rate"),
+        fx.bid_ask_ratio("bid_price_usd", "ask_price_usd").alias("bid_ask_ratio"),
+        "market_date",
+    )
+
+
+def fct_joined(stg: DataFrame, daily: DataFrame, since: _dt.date | None = None) -> DataFrame:
+    """The fact ahead of its KPIs: snapshot LEFT JOIN daily history on (item, day), of the days from `since` on.
 
     Both sides are unique per key (dedup / group by), so the join never fans out.
     The left side comes out of the dedup window hash-partitioned by
@@ -174,9 +199,6 @@ def fct_market_daily(stg: DataFrame, daily: DataFrame, since: _dt.date | None =
         fx.money(F.coalesce(F.col("h.total_estimated_trade_volume_usd"), F.lit(0).cast(MONEY)))
         .alias("total_estimated_trade_volume_usd"),
         F.col("h.avg_median_sale_price_usd").alias("avg_median_sale_price_usd"),
-        fx.bid_ask_spread("s.ask_price_usd", "s.bid_price_usd").alias("bid_ask_spread_pct"),
-        fx.turnover_rate(units, "s.ask_count").alias("turnover_rate"),
-        fx.bid_ask_ratio("s.bid_price_usd", "s.ask_price_usd").alias("bid_ask_ratio"),
         F.col("s.snapshot_date").alias("market_date"),
     )
 

@@ -82,8 +82,13 @@ def daily(spark, d):
     return m.int_item_price_history_daily(stg_history(spark, d))
 
 
+def listings(spark, d):
+    """The staged listings without row ids: what the fact is made of."""
+    return m.stg_items(fixtures.items_raw(spark, d), row_ids=False)
+
+
 def fct(spark, d):
-    return m.fct_market_daily(stg_items(spark, d), daily(spark, d))
+    return m.fct_market_daily(listings(spark, d), daily(spark, d))
 
 
 def rpt_market(spark, d):

@@ -24,7 +24,7 @@ from bazaar.plans import incremental as inc
 from bazaar.plans import models as m
 from bazaar.plans.oracle import presented, with_models
 from bazaar.plans.registry import (_GROUP_MEASURES, _LABEL, BUCKET_ORACLE, K_DAILY, K_DIM, K_FCT, K_RPT_COMMODITY, K_RPT_LATEST, K_RPT_MARKET,
-                                   K_STG_HISTORY, daily, fct, kinds, register, rpt_commodity, rpt_latest,
+                                   K_STG_HISTORY, daily, fct, kinds, listings, register, rpt_commodity, rpt_latest,
                                    rpt_market, stacked, stg_history, stg_items)
 from bazaar import schemas
 from bazaar.schemas import REPORT_CONTRACTS
@@ -173,7 +173,8 @@ def q_sink_partition_cluster(spark, d):
 
 def _fct_table(spark, d):
     return _fresh(spark, "fct_market_daily", lambda p: write_table(
-        fct(spark, d), p, ["market_date"], ["item_name"], mode="overwrite", dynamic=False))
+        m.fct_joined(listings(spark, d), daily(spark, d)), p, ["market_date"], ["item_name"], mode="overwrite",
+        dynamic=False, finish=m.fct_measured, staged="fct-rows"))
 
 
 @register("mat_view", M(presented(K_STG_HISTORY, "stg_item_price_history"), "stg_item_price_history"))

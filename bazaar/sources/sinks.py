@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaar.session import shuffles_freed
+from bazaar.session import materialize_at, shuffles_freed
+from bazaar.sources.folders import delete as _delete
 from bazaar.sources.folders import exists as _exists
 
 # Rows per output file; keeps files of a hot partition bounded.
@@ -96,6 +98,36 @@ def layout(df: DataFrame, partition_by: Sequence[str] = (), cluster_by: Sequence
               .sortWithinPartitions(*keys))
 
 
+#: The digits of a decimal that moves as one 8-byte number.
+NARROW = 18
+
+
+def narrowed(df: DataFrame, keys: Sequence[str] = ()) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """A frame that moves in fewer bytes, and what makes the rows of it again, to the last digit.
+
+    A wide decimal takes 24 bytes of a moved row, whose values rarely need more than 8. Those that fit move as decimals of
+    18 digits and the same scale; a row that has one that does not fit carries its wide decimals beside them. `keys`
+    stay as they are.
+    """
+    wide = [f for f in df.schema.fields if isinstance(f.dataType, T.DecimalType) and f.dataType.precision > NARROW
+            and f.dataType.scale <= NARROW and f.name not in keys]
+    if not wide:
+        return df, lambda rows: rows
+    names = {f.name for f in wide}
+    short = {f.name: F.col(f"`{f.name}`").try_cast(T.DecimalType(NARROW, f.dataType.scale)) for f in wide}
+    too_wide = [F.col(f"`{f.name}`").isNotNull() & short[f.name].isNull() for f in wide]
+    moved = df.select(*[short[c].alias(c) if c in names else F.col(f"`{c}`") for c in df.columns],
+                      F.when(reduce(Column.__or__, too_wide), F.struct(*[F.col(f"`{f.name}`") for f in wide]))
+                      .alias("__wide"))
+
+    def whole(rows: DataFrame) -> DataFrame:
+        types = {f.name: f.dataType for f in wide}
+        return rows.select(*[
+            F.when(F.col("__wide").isNotNull(), F.col("__wide")[c]).otherwise(F.col(f"`{c}`").cast(types[c])).alias(c)
+            if c in types else F.col(f"`{c}`") for c in df.columns])
+    return moved, whole
+
+
 def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Append-only load (no dedup): the raw tables."""
     w = df.write.mode("append").format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -106,13 +138,19 @@ def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
                 mode: str = "overwrite", dynamic: bool = True, interleave: bool = False,
-                finish: Callable[[DataFrame], DataFrame] | None = None) -> None:
+                finish: Callable[[DataFrame], DataFrame] | None = None, staged: str | None = None) -> None:
     """Materialise a model. With partitions and `dynamic`, only the partitions present
     in `df` are replaced (insert-overwrite); otherwise the table is rebuilt.
 
     `finish` makes the table's rows of those of `df`, each by itself, once they lie where they are written: columns
-    that follow from others need not be moved. It keeps the partition columns."""
-    shaped = layout(df, partition_by, cluster_by, interleave)
+    that follow from others need not be moved. It keeps the partition columns. `staged` names a scratch table of the
+    rows as they come, for rows that take shuffles to make: these are made once, though a layout takes two looks, and
+    gone from disk when the rows move."""
+    spark, scratch = df.sparkSession, None
+    if staged is not None:
+        df, scratch = materialize_at(df, staged, "zstd")
+    moved, whole = narrowed(df, [*partition_by, *cluster_by])
+    shaped = whole(layout(moved, partition_by, cluster_by, interleave))
     if finish is not None:
         shaped = finish(shaped)
     w = shaped.write.mode(mode).format("parquet").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
@@ -120,8 +158,10 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), clus
     if partition_by:
         w = w.partitionBy(*partition_by)
         w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-    with shuffles_freed(df.sparkSession):
+    with shuffles_freed(spark):
         w.save(path)
+    if scratch is not None:
+        _delete(spark, scratch)
 
 
 def export_parquet(df: DataFrame, root: str, name: str) -> str:

@@ -3,12 +3,14 @@
 import datetime as dt
 import glob
 import time
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from bazaar import schemas
 from bazaar.plans import incremental as inc
-from bazaar.plans import pipeline
+from bazaar.plans import models as m
+from bazaar.plans import pipeline, registry, registry_ops
 from bazaar.session import FREE_SHUFFLES, checkpoint_dir, materialize, shuffles_freed
 from bazaar.sources import fixtures, loads, sinks
 
@@ -123,3 +125,64 @@ def test_pages_are_made_of_what_the_tables_hold(spark, tmp_dir):
     assert {r.page_no: r.body for r in whole.collect()} == pages
     body = fixtures.history_pages(spark, tmp_dir).where("market_hash_name = 'ITEM-1'").collect()
     assert {r.body for r in body} == {'var line1=[["May 06 2001 01: +0","1234.500000000","2"]];'} and len(body) == 2
+
+
+def test_narrowed_rows_come_back_to_the_last_digit(spark, tmp_dir):
+    big, least = Decimal("12345678901234567890123456789.123456789"), Decimal("0.000000001")
+    edge = Decimal("999999999.999999999")
+    rows = [(1, edge, Decimal("-1.5"), "a"), (2, edge + least, None, "b"), (3, None, None, None), (4, -big, least, "d"),
+            (5, None, big, "e"), (6, Decimal("0"), -edge, "f")]
+    df = spark.createDataFrame(rows, "k int, a decimal(38,9), b decimal(38,9), c string").withColumn(
+        "s", F.col("k").cast("decimal(10,2)"))
+    moved, whole = sinks.narrowed(df)
+    assert {f.name: f.dataType.simpleString() for f in moved.schema if f.name in "abs"} == {
+        "a": "decimal(18,9)", "b": "decimal(18,9)", "s": "decimal(10,2)"}
+    assert {r.k for r in moved.where("__wide IS NOT NULL").collect()} == {2, 4, 5}
+    back = whole(moved)
+    assert [(f.name, f.dataType) for f in back.schema] == [(f.name, f.dataType) for f in df.schema]
+    assert sorted(back.collect()) == sorted(df.collect())
+    keyed, same = sinks.narrowed(df.select("k", "a"), ["a"])
+    assert keyed.columns == ["k", "a"] and same(keyed) is keyed
+    sinks.write_table(df, f"{tmp_dir}/t", ["k"], ["c"], dynamic=False, staged="test-staged")
+    assert not glob.glob(f"{checkpoint_dir(spark).removeprefix('file://')}/test-staged-*")
+    got = spark.read.parquet(f"{tmp_dir}/t").select(*df.columns)
+    assert got.schema == df.schema and sorted(got.collect()) == sorted(df.collect())
+
+
+def _written(monkeypatch, columns: list) -> None:
+    """Notes the columns of the rows that `write_table` lays out, and what it is asked to stage."""
+    kept = sinks.layout
+
+    def noted(df, *a, **b):
+        columns.append((df.columns, plan(df)))
+        return kept(df, *a, **b)
+    monkeypatch.setattr(sinks, "layout", noted)
+
+
+def test_the_fact_moves_narrow_and_is_made_once(spark, monkeypatch):
+    seen, shuffles = [], shuffle_files(spark)
+    _written(monkeypatch, seen)
+    path = registry_ops._fct_table(spark, SF)
+    (columns, made), = seen
+    assert not {"bid_ask_spread_pct", "turnover_rate", "bid_ask_ratio", "_dlt_id"} & set(columns)
+    assert "Window" not in made and "Join" not in made  # the layout's two looks are at written rows
+    assert gone(spark, shuffles)
+    assert not glob.glob(f"{checkpoint_dir(spark).removeprefix('file://')}/fct-rows-*")
+    whole = registry.fct(spark, SF)
+    got = spark.read.parquet(path).select(*whole.columns)
+    assert whole.columns == m.FCT_COLUMNS and [f.dataType for f in got.schema] == [f.dataType for f in whole.schema]
+    assert got.exceptAll(whole).count() == whole.exceptAll(got).count() == 0
+
+
+def test_listings_without_row_ids_are_the_same_rows(spark):
+    raw = fixtures.items_raw(spark, SF).limit(300)
+    name = "asset_description__market_hash_name"
+    alike = raw.unionByName(raw.withColumn("_dlt_id", F.concat("_dlt_id", F.lit("-2")))).unionByName(
+        raw.withColumn("_dlt_id", F.lit(None).cast("string"))).unionByName(
+        raw.where(f"{name} < 'ITEM-15'").withColumn("asset_description__classid", F.lit("9"))).unionByName(
+        raw.limit(3).withColumn(name, F.lit(None).cast("string")))
+    for rows in (alike, alike.withColumn("sell_price", F.col("sell_price").cast("string"))):
+        want, got = m.stg_items(rows).drop("_dlt_id"), m.stg_items(rows, row_ids=False)
+        assert got.columns == want.columns
+        assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    assert "_dlt_id" not in plan(m.stg_items(alike, row_ids=False)).split("Window", 1)[1].split("\n", 1)[0]
