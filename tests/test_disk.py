@@ -186,3 +186,11 @@ def test_listings_without_row_ids_are_the_same_rows(spark):
         assert got.columns == want.columns
         assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
     assert "_dlt_id" not in plan(m.stg_items(alike, row_ids=False)).split("Window", 1)[1].split("\n", 1)[0]
+
+
+def test_a_bounded_read_finds_all_its_rows_and_nothing_else_is_kept(spark):
+    shuffles = shuffle_files(spark)
+    df = registry.QUERIES["require_partition_filter"](spark, SF)
+    assert gone(spark, shuffles)  # the write's shuffles do not wait for the read
+    want = registry.present(registry.fct(spark, SF).where("market_date >= DATE '1999-01-01'"))
+    assert df.exceptAll(want).count() == want.exceptAll(df).count() == 0 and want.count() > 0
