@@ -140,15 +140,15 @@ def read_guarded(spark: SparkSession, path: str, column: str, lower=None, upper=
 
 
 def publish_partitions(df: DataFrame, target: str, partition_col: str, recomputed: Callable[[_dt.date], bool],
-                       cluster_by: Sequence[str] = ()) -> list[_dt.date]:
+                       cluster_by: Sequence[str] = (), **how) -> list[_dt.date]:
     """Replace the date partitions that `recomputed` names by the rows of `df`, written aside first.
 
     `df` may read the target. A recomputed partition without rows goes. Each partition is swapped on its own:
-    a crash in between is mended by running again.
+    a crash in between is mended by running again. `how` goes to `write_table`.
     """
     spark, aside = df.sparkSession, f"{target.rstrip('/')}/_next"
     fs.delete(spark, aside)
-    write_table(df, aside, [partition_col], cluster_by, mode="overwrite", dynamic=False)
+    write_table(df, aside, [partition_col], cluster_by, mode="overwrite", dynamic=False, **how)
     fresh = partition_values(spark, aside, partition_col)
     for day in partition_values(spark, target, partition_col):
         if day in fresh or recomputed(_dt.date.fromisoformat(day)):
@@ -161,22 +161,23 @@ def publish_partitions(df: DataFrame, target: str, partition_col: str, recompute
 
 def materialize_incremental(spark: SparkSession, target: str, build: Callable[[_dt.date | None], DataFrame],
                             partition_col: str, cluster_by: Sequence[str] = (), lookback_days: int = 0,
-                            reach_back: _dt.date | None = None) -> dict:
+                            reach_back: _dt.date | None = None, **how) -> dict:
     """Build and write a day-partitioned model.
 
     First run (no target): `build(None)` is the full refresh, written whole.
     Later runs: `build(since)` with since = coalesce(max(partition_col), 1970-01-01)
     - lookback, or `reach_back` where that is earlier (the first day of loads that come late); the days from there on are
-    replaced.
+    replaced. `how` goes to `write_table`.
     """
     mark = table_mark(spark, target, partition_col)
     if mark is None:
-        fs.swap_table(spark, target, lambda out: write_table(build(None), out, [partition_col], cluster_by, dynamic=False))
+        fs.swap_table(spark, target, lambda out: write_table(build(None), out, [partition_col], cluster_by, dynamic=False,
+                                                             **how))
         return {"mode": "full", "since": None}
     since = incremental_since(mark, lookback_days)
     if reach_back is not None:
         since = min(since, reach_back)
-    publish_partitions(build(since), target, partition_col, lambda day: day >= since, cluster_by)
+    publish_partitions(build(since), target, partition_col, lambda day: day >= since, cluster_by, **how)
     return {"mode": "incremental", "since": since}
 
 

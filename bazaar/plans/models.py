@@ -182,6 +182,7 @@ def fct_joined(stg: DataFrame, daily: DataFrame, since: _dt.date | None = None)
     s = stg
     if since is not None:
         s = s.where(F.col("snapshot_date") >= fx.as_date(since))
+        daily = daily.where(F.col("price_date") >= fx.as_date(since))  # earlier days would find no snapshot
     s = s.alias("s")
     h = daily.alias("h")
     j = s.join(h, (F.col("s.item_name") == F.col("h.item_name")) & (F.col("s.snapshot_date") == F.col("h.price_date")),

@@ -197,15 +197,16 @@ def run_models(spark: SparkSession, wh: Warehouse, lookback_days: int = 0, full:
 
     reach_back = min(days, default=None)
 
-    def by_day(name, build, cluster_by=()):
+    def by_day(name, build, cluster_by=(), **how):
         if full:
             fs.swap_table(spark, wh.path(name), lambda out: write_table(build(None), out, ["market_date"], cluster_by,
-                                                                        dynamic=False))
+                                                                        dynamic=False, **how))
             return {"mode": "full", "since": None}
-        return inc.materialize_incremental(spark, wh.path(name), build, "market_date", cluster_by, lookback_days, reach_back)
+        return inc.materialize_incremental(spark, wh.path(name), build, "market_date", cluster_by, lookback_days, reach_back,
+                                           **how)
 
-    info["fct_market_daily"] = by_day("fct_market_daily", lambda since: m.fct_market_daily(stg, daily(since), since),
-                                      ["item_name"])
+    info["fct_market_daily"] = by_day("fct_market_daily", lambda since: m.fct_joined(stg, daily(since), since),
+                                      ["item_name"], finish=m.fct_measured, staged="fct-rows")
     fct_schema = m.fct_market_daily(stg, daily(None)).schema
 
     def fct_from(since):

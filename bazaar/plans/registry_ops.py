@@ -659,13 +659,13 @@ def q_fn_date_sub_today(spark, d):
 def q_filter_incremental_hwm(spark, d):
     """Fact built in two runs: the second recomputes days >= the table's max day only."""
     def write(p):
-        stg = stg_items(spark, d)
+        stg = listings(spark, d)
         dl = daily(spark, d)
-        first = stg.where(F.col("snapshot_date") < F.lit(str(SPLIT_DAY)).cast("date"))
-        inc.materialize_incremental(spark, p, lambda since: m.fct_market_daily(first, dl, since), "market_date",
-                                    ["item_name"])
-        inc.materialize_incremental(spark, p, lambda since: m.fct_market_daily(stg, dl, since), "market_date",
-                                    ["item_name"])
+        split = F.lit(str(SPLIT_DAY)).cast("date")
+        first, first_dl = stg.where(F.col("snapshot_date") < split), dl.where(F.col("price_date") < split)
+        for s, h in ((first, first_dl), (stg, dl)):
+            inc.materialize_incremental(spark, p, lambda since, s=s, h=h: m.fct_joined(s, h, since), "market_date",
+                                        ["item_name"], finish=m.fct_measured, staged="fct-rows")
     path = _fresh(spark, "fct_incremental", write)
     return spark.read.parquet(path).select(*m.FCT_COLUMNS)
 

@@ -194,3 +194,25 @@ def test_a_bounded_read_finds_all_its_rows_and_nothing_else_is_kept(spark):
     assert gone(spark, shuffles)  # the write's shuffles do not wait for the read
     want = registry.present(registry.fct(spark, SF).where("market_date >= DATE '1999-01-01'"))
     assert df.exceptAll(want).count() == want.exceptAll(df).count() == 0 and want.count() > 0
+
+
+def test_an_incremental_run_reads_the_sales_of_its_days(spark, monkeypatch):
+    stg, dl = registry.listings(spark, SF), registry.daily(spark, SF)
+    since = registry_ops.SPLIT_DAY
+    sales = [ln for ln in plan(m.fct_joined(stg, dl, since)).splitlines() if "l_returnflag" in ln and "Filter" in ln]
+    assert sales and all(">= 1998-06-01" in ln for ln in sales)
+    got, want = m.fct_market_daily(stg, dl, since), m.fct_market_daily(stg, dl).where("market_date >= DATE '1998-06-01'")
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and want.count() > 0
+
+
+def test_both_runs_of_the_fact_move_narrow_and_keep_nothing(spark, monkeypatch):
+    seen, shuffles = [], shuffle_files(spark)
+    _written(monkeypatch, seen)
+    df = registry.QUERIES["filter_incremental_hwm"](spark, SF)
+    assert len(seen) == 2 and gone(spark, shuffles)
+    for columns, made in seen:
+        assert not {"bid_ask_spread_pct", "turnover_rate", "bid_ask_ratio", "_dlt_id"} & set(columns)
+        assert "Window" not in made and "Join" not in made
+    assert not glob.glob(f"{checkpoint_dir(spark).removeprefix('file://')}/fct-rows-*")
+    want = registry.QUERIES["fct_market_daily"](spark, SF)
+    assert df.exceptAll(want).count() == want.exceptAll(df).count() == 0
