@@ -5,13 +5,14 @@ import glob
 import time
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from bazaar import schemas
+from bazaar import schemas, session
 from bazaar.plans import incremental as inc
 from bazaar.plans import models as m
 from bazaar.plans import pipeline, registry, registry_ops
-from bazaar.session import FREE_SHUFFLES, checkpoint_dir, materialize, shuffles_freed
+from bazaar.session import FREE_SHUFFLES, materialize, shuffles_freed
 from bazaar.sources import fixtures, loads, sinks
 
 SF = "/root/testdata/sf0.001"
@@ -22,6 +23,22 @@ def plan(df, kind: str = "optimizedPlan") -> str:
     return getattr(df._jdf.queryExecution(), kind)().toString()
 
 
+@pytest.fixture
+def scratch(tmp_dir, monkeypatch):
+    """Scratch tables go to a folder of the test's own; lists those of some names."""
+    made = []
+
+    def place(spark, name):
+        made.append(name)
+        return f"{tmp_dir}/scratch/{name}-{len(made)}"
+    monkeypatch.setattr(session, "scratch_path", place)
+
+    def left(*names):
+        assert set(names) <= set(made)
+        return [f for name in names for f in glob.glob(f"{tmp_dir}/scratch/{name}-*")]
+    return left
+
+
 def shuffle_files(spark) -> set[str]:
     files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
@@ -73,7 +90,7 @@ def test_derived_columns_are_worked_out_after_the_move(spark, tmp_dir, monkeypat
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
 
 
-def test_an_ingest_run_keeps_no_scratch_table_and_moves_no_row_ids(spark, tmp_dir, monkeypatch):
+def test_an_ingest_run_keeps_no_scratch_table_and_moves_no_row_ids(spark, tmp_dir, scratch, monkeypatch):
     seen = []
 
     def noted(df, path, *a, **b):
@@ -81,15 +98,11 @@ def test_an_ingest_run_keeps_no_scratch_table_and_moves_no_row_ids(spark, tmp_di
         return sinks.write_table(df, path, *a, **b)
     monkeypatch.setattr(loads, "write_table", noted)
 
-    def scratch():
-        root = checkpoint_dir(spark).removeprefix("file://")
-        return {f for name in ("load-items", "judged-pages") for f in glob.glob(f"{root}/{name}-*")}
-    before, shuffles = scratch(), shuffle_files(spark)
     wh = pipeline.Warehouse(f"{tmp_dir}/wh")
     listing = fixtures.listing_pages(spark, SF).where("page_no < 50")
     history = fixtures.history_pages(spark, SF).drop("month").where("market_hash_name < 'ITEM-12'")
     pipeline.run_ingest(spark, wh, listing, history, DAY, "0001")
-    assert scratch() == before
+    assert glob.glob(f"{tmp_dir}/wh/items_raw/*") and not scratch("load-items", "judged-pages")
     for table in ("/items_raw/", "/item_price_history_raw/"):
         plans = [p for path, p, _ in seen if table in path]
         assert plans and not any("sha2(" in p or "_dlt_id" in p for p in plans)
@@ -127,7 +140,7 @@ def test_pages_are_made_of_what_the_tables_hold(spark, tmp_dir):
     assert {r.body for r in body} == {'var line1=[["May 06 2001 01: +0","1234.500000000","2"]];'} and len(body) == 2
 
 
-def test_narrowed_rows_come_back_to_the_last_digit(spark, tmp_dir):
+def test_narrowed_rows_come_back_to_the_last_digit(spark, tmp_dir, scratch):
     big, least = Decimal("12345678901234567890123456789.123456789"), Decimal("0.000000001")
     edge = Decimal("999999999.999999999")
     rows = [(1, edge, Decimal("-1.5"), "a"), (2, edge + least, None, "b"), (3, None, None, None), (4, -big, least, "d"),
@@ -144,7 +157,7 @@ def test_narrowed_rows_come_back_to_the_last_digit(spark, tmp_dir):
     keyed, same = sinks.narrowed(df.select("k", "a"), ["a"])
     assert keyed.columns == ["k", "a"] and same(keyed) is keyed
     sinks.write_table(df, f"{tmp_dir}/t", ["k"], ["c"], dynamic=False, staged="test-staged")
-    assert not glob.glob(f"{checkpoint_dir(spark).removeprefix('file://')}/test-staged-*")
+    assert not scratch("test-staged")
     got = spark.read.parquet(f"{tmp_dir}/t").select(*df.columns)
     assert got.schema == df.schema and sorted(got.collect()) == sorted(df.collect())
 
@@ -159,7 +172,7 @@ def _written(monkeypatch, columns: list) -> None:
     monkeypatch.setattr(sinks, "layout", noted)
 
 
-def test_the_fact_moves_narrow_and_is_made_once(spark, monkeypatch):
+def test_the_fact_moves_narrow_and_is_made_once(spark, scratch, monkeypatch):
     seen, shuffles = [], shuffle_files(spark)
     _written(monkeypatch, seen)
     path = registry_ops._fct_table(spark, SF)
@@ -167,7 +180,7 @@ def test_the_fact_moves_narrow_and_is_made_once(spark, monkeypatch):
     assert not {"bid_ask_spread_pct", "turnover_rate", "bid_ask_ratio", "_dlt_id"} & set(columns)
     assert "Window" not in made and "Join" not in made  # the layout's two looks are at written rows
     assert gone(spark, shuffles)
-    assert not glob.glob(f"{checkpoint_dir(spark).removeprefix('file://')}/fct-rows-*")
+    assert not scratch("fct-rows")
     whole = registry.fct(spark, SF)
     got = spark.read.parquet(path).select(*whole.columns)
     assert whole.columns == m.FCT_COLUMNS and [f.dataType for f in got.schema] == [f.dataType for f in whole.schema]
@@ -196,7 +209,7 @@ def test_a_bounded_read_finds_all_its_rows_and_nothing_else_is_kept(spark):
     assert df.exceptAll(want).count() == want.exceptAll(df).count() == 0 and want.count() > 0
 
 
-def test_an_incremental_run_reads_the_sales_of_its_days(spark, monkeypatch):
+def test_an_incremental_run_reads_the_sales_of_its_days(spark):
     stg, dl = registry.listings(spark, SF), registry.daily(spark, SF)
     since = registry_ops.SPLIT_DAY
     sales = [ln for ln in plan(m.fct_joined(stg, dl, since)).splitlines() if "l_returnflag" in ln and "Filter" in ln]
@@ -205,7 +218,7 @@ def test_an_incremental_run_reads_the_sales_of_its_days(spark, monkeypatch):
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and want.count() > 0
 
 
-def test_both_runs_of_the_fact_move_narrow_and_keep_nothing(spark, monkeypatch):
+def test_both_runs_of_the_fact_move_narrow_and_keep_nothing(spark, scratch, monkeypatch):
     seen, shuffles = [], shuffle_files(spark)
     _written(monkeypatch, seen)
     df = registry.QUERIES["filter_incremental_hwm"](spark, SF)
@@ -213,6 +226,6 @@ def test_both_runs_of_the_fact_move_narrow_and_keep_nothing(spark, monkeypatch):
     for columns, made in seen:
         assert not {"bid_ask_spread_pct", "turnover_rate", "bid_ask_ratio", "_dlt_id"} & set(columns)
         assert "Window" not in made and "Join" not in made
-    assert not glob.glob(f"{checkpoint_dir(spark).removeprefix('file://')}/fct-rows-*")
+    assert not scratch("fct-rows")
     want = registry.QUERIES["fct_market_daily"](spark, SF)
     assert df.exceptAll(want).count() == want.exceptAll(df).count() == 0
